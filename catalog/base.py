@@ -16,7 +16,7 @@ ORACLES: dict[str, str] = {}
 
 KEYS = {
     "documents": "doc_id", "conversations": "conv_id", "embeddings": "vec_id",
-    "orders": "o_orderkey", "customer": "c_custkey", "part": "p_partkey",
+    "orders": "o_orderkey", "customer": "c_custkey", "part": "p_partkey", "lineitem": "l_orderkey",
 }
 
 

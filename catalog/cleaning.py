@@ -116,7 +116,7 @@ def standardize_currency(spark, sf):
         F.lit(" per $"), F.col("l_quantity").cast("decimal(18,1)").cast("string"),
         F.lit(" units"),
     )
-    return table(spark, sf, "lineitem").select(
+    return table(spark, sf, "lineitem", True).select(
         "l_orderkey", "l_linenumber", "l_partkey", T.standardize_currency(text).alias("result")
     )
 
@@ -131,7 +131,7 @@ def expand_contractions(spark, sf):
         F.lit("They've said "), F.col("c_name"), F.lit(" can't pay, it’s late; we won't "),
         F.lit("wait, you'd know: "), F.col("c_mktsegment"), F.lit(" isn't fun"),
     )
-    return table(spark, sf, "customer").select(
+    return table(spark, sf, "customer", True).select(
         "c_custkey", T.expand_contractions(T.lower_text(text)).alias("result")
     )
 

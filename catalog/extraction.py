@@ -40,7 +40,7 @@ def people(spark, sf):
         F.lit("@shop.example.com, (415) 555-"),
         F.lpad((key % 10000).cast("string"), 4, "0"), F.lit(" or 1-212-555-0199."),
     )
-    return table(spark, sf, "customer").select("c_custkey", text.alias("text"))
+    return table(spark, sf, "customer", True).select("c_custkey", text.alias("text"))
 
 
 def _people(name, column, sql, out="result"):
@@ -106,14 +106,13 @@ def sql_after_name(x, joint, prepositions):
     )
 
 
-def sql_city(x):
-    word = sql_after_name(x, ": ", "from|of|in")
-    return f"CASE WHEN {word} IN {in_list(CITIES)} THEN {word} END"
-
-
-def sql_company(x):
-    word = sql_after_name(x, " ", "at|of|from")
-    return f"CASE WHEN {word} NOT IN {in_list(CITIES)} THEN {word} END"
+SQL_CANDIDATES = f"""
+  SELECT *, {sql_after_name('text', ': ', 'from|of|in')} AS city_word,
+         {sql_after_name('text', ' ', 'at|of|from')} AS company_word
+  FROM ({SQL_PEOPLE})
+"""
+SQL_CITY = f"CASE WHEN city_word IN {in_list(CITIES)} THEN city_word END"
+SQL_COMPANY = f"CASE WHEN company_word NOT IN {in_list(CITIES)} THEN company_word END"
 
 
 @query(
@@ -159,13 +158,13 @@ def first_phones(spark, sf):
     )
 
 
-@query("extract_city", f"SELECT c_custkey, {sql_city('text')} AS city FROM ({SQL_PEOPLE})")
+@query("extract_city", f"SELECT c_custkey, {SQL_CITY} AS city FROM ({SQL_CANDIDATES})")
 def extract_city(spark, sf):
     found = extract.extract_city(people(spark, sf), "text", extract.city_table(spark))
     return found.select("c_custkey", F.col("City").alias("city"))
 
 
-@query("extract_company", f"SELECT c_custkey, {sql_company('text')} AS company FROM ({SQL_PEOPLE})")
+@query("extract_company", f"SELECT c_custkey, {SQL_COMPANY} AS company FROM ({SQL_CANDIDATES})")
 def extract_company(spark, sf):
     found = extract.extract_company(people(spark, sf), "text", extract.city_table(spark))
     return found.select("c_custkey", F.col("Company name").alias("company"))
@@ -197,15 +196,15 @@ _ENTITY_SQL = {
     "First_Name": sql_first("text", 1), "Last_Name": sql_first("text", 2),
     "Address": sql_address("text"), "Email": sql_email("text"),
     "Phone_1": f"{sql_phones('text')}[1]", "Phone_2": f"{sql_phones('text')}[2]",
-    "City": sql_city("text"), "County": sql_county("text"), "State": sql_state("text"),
-    "Company name": sql_company("text"),
+    "City": SQL_CITY, "County": sql_county("text"), "State": sql_state("text"),
+    "Company name": SQL_COMPANY,
 }
 
 
 @query(
     "extract_entities",
     "SELECT c_custkey, " + ", ".join(f'{v} AS "{k}"' for k, v in _ENTITY_SQL.items())
-    + f" FROM ({SQL_PEOPLE})",
+    + f" FROM ({SQL_CANDIDATES})",
 )
 def extract_entities(spark, sf):
     return extract.extract_entities(people(spark, sf), "c_custkey", "text")

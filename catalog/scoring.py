@@ -10,6 +10,7 @@ from catalog.tables import SQL_PREDICTIONS, predictions
 from prosemill.operators import evaluate as E
 from prosemill.operators import sentiment as S
 from prosemill.operators.terms import word_counts
+from prosemill.session import cut_lineage
 
 _ONE = f"SELECT * FROM ({SQL_PREDICTIONS}) WHERE model = 'short' AND embedding = 'high'"
 
@@ -106,11 +107,13 @@ SQL_LEXICON = f"""
 
 def lexicon(spark, sf):
     size = F.length("word")
-    return word_counts(documents(spark, sf), doc_tokens()).where("n >= 10").select(
-        "word",
-        (size % 9 - 4).cast("double").alias("valence"),
-        ((size % 5 - 2) / 2).alias("polarity"),
-        ((size % 4) / 4).alias("subjectivity"),
+    return cut_lineage(
+        word_counts(documents(spark, sf), doc_tokens()).where("n >= 10").select(
+            "word",
+            (size % 9 - 4).cast("double").alias("valence"),
+            ((size % 5 - 2) / 2).alias("polarity"),
+            ((size % 4) / 4).alias("subjectivity"),
+        )
     )
 
 

@@ -176,7 +176,7 @@ SQL_REVIEWS = f"SELECT o_orderkey, {_OVERALL} AS overall, o_totalprice FROM orde
 
 
 def reviews(spark, sf):
-    return table(spark, sf, "orders").select(
+    return table(spark, sf, "orders", True).select(
         "o_orderkey", F.substring("o_orderpriority", 1, 1).cast("double").alias("overall"), "o_totalprice"
     )
 
@@ -420,7 +420,7 @@ def sample_n(spark, sf):
 )
 def sample_fraction(spark, sf):
     return sampling.sample_fraction(
-        table(spark, sf, "orders").select("o_orderkey", "o_totalprice"), "o_orderkey", 0.5
+        table(spark, sf, "orders", True).select("o_orderkey", "o_totalprice"), "o_orderkey", 0.5
     )
 
 
@@ -441,7 +441,7 @@ def balance_classes(spark, sf):
       <= ceil(0.25 * (SELECT count(*) FROM orders)) THEN 'test' ELSE 'train' END AS split FROM orders""",
 )
 def train_test_split(spark, sf):
-    return sampling.train_test_split(table(spark, sf, "orders").select("o_orderkey"), "o_orderkey", 0.25)
+    return sampling.train_test_split(table(spark, sf, "orders", True).select("o_orderkey"), "o_orderkey", 0.25)
 
 
 @query(

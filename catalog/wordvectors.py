@@ -11,6 +11,7 @@ from prosemill.operators import neighbours
 from prosemill.operators import vectors as O
 from prosemill.operators.scaling import with_position
 from prosemill.operators.terms import word_counts
+from prosemill.session import cut_lineage
 
 D = 64
 _DOUBLES = "list_transform(embedding, lambda x: CAST(x AS DOUBLE))"
@@ -29,8 +30,10 @@ def word_vectors(spark, sf):
         word_counts(documents(spark, sf), doc_tokens()), [F.desc("n"), F.col("word")], "place"
     )
     rows = with_position(table(spark, sf, "embeddings").select("vec_id", "embedding"), [F.col("vec_id")], "place")
-    return words.join(rows, "place").select(
-        "word", F.col("embedding").cast("array<double>").alias("vector")
+    return cut_lineage(
+        words.join(rows, "place").select(
+            "word", F.col("embedding").cast("array<double>").alias("vector")
+        )
     )
 
 

@@ -386,7 +386,7 @@ def isolation_forest(
     flagged = int(round(contamination * n))
     if flagged == 0:
         return scored.withColumn("outlier", F.lit(False))
-    cut, below = nth_smallest(scored, -F.col("score"), flagged)
+    cut, _, _ = nth_smallest(scored, -F.col("score"), flagged)
     return scored.withColumn("outlier", F.col("score") >= F.lit(-cut))
 
 

@@ -26,9 +26,11 @@ def _first_by_hash(df: DataFrame, id_col: str, n: int, seed: int) -> Column:
     h = id_hash(id_col, seed)
     if n <= 0:
         return F.lit(False)
-    cut, below = nth_smallest(df.select(id_col), h, n)
+    cut, below, equal = nth_smallest(df.select(id_col), h, n, (0, (1 << 60) - 1))
     if cut is None:
-        return F.lit(False)
+        return F.lit(True)
+    if below + equal == n:
+        return h <= F.lit(cut)
     tied = df.select(id_col).where(h == F.lit(cut))
     last = tied.orderBy(id_col).limit(n - below).agg(F.max(id_col)).first()[0]
     return (h < F.lit(cut)) | ((h == F.lit(cut)) & (F.col(id_col) <= F.lit(last)))

@@ -17,7 +17,7 @@ from pyspark.sql.window import Window
 from prosemill.session import cut_lineage
 
 # A dimension of at most this many (narrow) rows is broadcast.
-BROADCAST_ROWS = 200_000
+BROADCAST_ROWS = 1_000_000
 # A key with more than this share of the rows is salted (so at most 1/share keys).
 HOT_SHARE = 0.001
 SALTS = 64
@@ -46,7 +46,8 @@ def lookup_join(
 ) -> DataFrame:
     """Join rows with a dimension that is unique on `key` (inner, left, left_semi, left_anti).
 
-    A dimension checked to be small is broadcast.  Otherwise both sides shuffle:
+    A dimension checked to be small is broadcast (the check reads it, so hand in
+    a table or a checkpointed result, not a long computation).  Otherwise both sides shuffle:
     rows of hot keys spread over `salts` partitions by the hash of the whole
     row, and only the matching (at most salts/share) dimension rows are copied.
     """
@@ -100,26 +101,32 @@ def with_position(df: DataFrame, order: Sequence[Column], name: str = "position"
     )
 
 
-def nth_smallest(df: DataFrame, value: Column, n: int, bins: int = 2048):
-    """(v, below): the n-th smallest value (1-based) and how many rows are below it.
+def nth_smallest(
+    df: DataFrame, value: Column, n: int, span: tuple | None = None, bins: int = 4096,
+    few: int = 10_000,
+):
+    """(v, below, equal): the n-th smallest value (1-based), the rows below it and equal to it.
 
-    Narrows a histogram to the bin that holds the n-th row until that bin is one
-    value.  Each round is one scan that shuffles at most `bins` rows per task.
+    Narrows a histogram to the bin that holds the n-th row until that bin has
+    few distinct values left to count.  Each round is one scan that shuffles at
+    most `bins` rows per task.  `span` is a known (low, high) of the values.
     """
     scope = df.select(value.alias("v")).where(F.col("v").isNotNull())
-    lo, hi = scope.agg(F.min("v"), F.max("v")).first()
-    if lo is None or n < 1:
-        return None, 0
-    below = 0
-    while lo < hi:
-        v, span = F.col("v"), hi - lo
+    v = F.col("v")
+    if n < 1:
+        return None, 0, 0
+    lo, hi = span or scope.agg(F.min("v"), F.max("v")).first()
+    if lo is None:
+        return None, 0, 0
+    below, inside = 0, None
+    while lo < hi and (inside is None or inside > few):
         if isinstance(lo, int):
-            width = span // bins + 1
-            b = F.floor((v - F.lit(lo)) / F.lit(width)).cast("int") if span < (1 << 52) else (
-                F.expr(f"cast((v - {lo}L) div {width}L as int)")
-            )
+            width = (hi - lo) // bins + 1
+            b = F.expr(f"cast((v - {lo}L) div {width}L as int)")
         else:
-            b = F.least(F.floor((v - F.lit(lo)) / F.lit(span) * bins), F.lit(bins - 1)).cast("int")
+            b = F.least(
+                F.floor((v - F.lit(lo)) / F.lit(hi - lo) * bins), F.lit(bins - 1)
+            ).cast("int")
         hist = (
             scope.where(v.between(F.lit(lo), F.lit(hi)))
             .groupBy(b.alias("b"))
@@ -127,19 +134,33 @@ def nth_smallest(df: DataFrame, value: Column, n: int, bins: int = 2048):
             .orderBy("b")
             .collect()
         )
+        found = None
         for row in hist:
             if below + row.n >= n:
+                found = row
                 break
             below += row.n
-        else:
-            return hi, below - row.n
-        if (row.lo, row.hi) == (lo, hi) and len(hist) == 1:
-            # one bin holds everything although lo < hi: split at float resolution
-            first = scope.where(v == F.lit(lo)).count()
-            if below + first >= n:
-                return lo, below
-            below += first
-            lo = scope.where(v > F.lit(lo)).agg(F.min("v")).first()[0]
+        if found is None:
+            return None, below, 0
+        if (found.lo, found.hi, found.n) == (lo, hi, inside):
+            # values too close for a finer histogram: step over the smallest one
+            equal = scope.where(v == F.lit(lo)).count()
+            if below + equal >= n:
+                return lo, below, equal
+            below += equal
+            lo = scope.where((v > F.lit(lo)) & (v <= F.lit(hi))).agg(F.min("v")).first()[0]
+            inside = found.n - equal
             continue
-        lo, hi = row.lo, row.hi
-    return lo, below
+        lo, hi, inside = found.lo, found.hi, found.n
+    counts = (
+        scope.where(v.between(F.lit(lo), F.lit(hi)))
+        .groupBy("v")
+        .agg(F.count(F.lit(1)).alias("n"))
+        .orderBy("v")
+        .collect()
+    )
+    for row in counts:
+        if below + row.n >= n:
+            return row.v, below, row.n
+        below += row.n
+    return None, below, 0

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from prosemill.operators.scaling import lookup_join
 from prosemill.operators.terms import word_counts
+from prosemill.session import cut_lineage
 
 
 def _deletions(word: Column) -> Column:
@@ -78,18 +79,18 @@ def correct_spelling(
     times are the dictionary.
     """
     words = df.select(id_col, F.posexplode_outer(tokens).alias("pos", "word"))
-    counts = word_counts(df, tokens)
+    counts = cut_lineage(word_counts(df, tokens))
     if dictionary is None:
         known = counts.where(F.col("n") >= min_count)
         unknown = counts.where(F.col("n") < min_count)
     else:
         known = dictionary
         unknown = counts.join(dictionary.select("word"), "word", "left_anti")
-    fixes = spelling_map(unknown.select("word"), known, min_chars)
+    fixes = cut_lineage(spelling_map(unknown.select("word"), known, min_chars))
     fixed = lookup_join(words, fixes, "word", "left").withColumn(
         "word", F.coalesce("corrected", "word")
     )
-    ordered = F.array_sort(
+    ordered = F.sort_array(
         F.collect_list(F.when(F.col("word").isNotNull(), F.struct("pos", "word")))
     )
     return fixed.groupBy(id_col).agg(ordered["word"].alias("tokens"))

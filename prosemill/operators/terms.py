@@ -12,6 +12,7 @@ from pyspark.sql.window import Window
 from prosemill import dims
 from prosemill.functions.text import drop_stopwords, tokenize_terms
 from prosemill.operators.scaling import lookup_join, with_position
+from prosemill.session import cut_lineage
 
 
 def exploded(df: DataFrame, keep: Sequence[str], tokens: Column, name: str = "word") -> DataFrame:
@@ -135,8 +136,10 @@ def tfidf(
     """
     tokens = drop_stopwords(tokenize_terms(F.lower(text)), stop)
     docs = df.count()
-    weights = document_frequency(df, id_col, tokens, min_df, max_df).select(
-        "term", (F.log(F.lit(1.0 + docs) / (1 + F.col("df"))) + 1).alias("idf")
+    weights = cut_lineage(
+        document_frequency(df, id_col, tokens, min_df, max_df).select(
+            "term", (F.log(F.lit(1.0 + docs) / (1 + F.col("df"))) + 1).alias("idf")
+        )
     )
     tf = term_frequency(df, id_col, tokens)
     raw = lookup_join(tf, weights, "term").withColumn("raw", F.col("tf") * F.col("idf"))
@@ -162,7 +165,7 @@ def to_sequence(df: DataFrame, id_col: str, tokens: Column, index: DataFrame) ->
     pairs = F.collect_list(
         F.when(F.col("token_id").isNotNull(), F.struct("pos", "token_id"))
     )
-    return hits.groupBy(id_col).agg(F.array_sort(pairs)["token_id"].alias("seq"))
+    return hits.groupBy(id_col).agg(F.sort_array(pairs)["token_id"].alias("seq"))
 
 
 def sequence_length(df: DataFrame, word_count: Column) -> int:
