@@ -223,5 +223,5 @@ def knn_graph(spark, sf):
     SELECT round(avg(coalesce((b - a) / greatest(a, b), 0)), 6) AS silhouette FROM s""",
 )
 def silhouette(spark, sf):
-    s = neighbours.silhouette(table(spark, sf, "embeddings", True), "vec_id", "embedding", "label")
+    s = neighbours.silhouette(table(spark, sf, "embeddings", True), "embedding", "label")
     return s.select(r6("silhouette").alias("silhouette"))

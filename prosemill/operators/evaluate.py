@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-MAX_CLASSES = 2_000
+MAX_CLASSES = 1_000
 
 
 def class_list(df: DataFrame, *cols: str) -> list:
@@ -26,11 +26,17 @@ def class_list(df: DataFrame, *cols: str) -> list:
 def confusion_matrix(
     df: DataFrame, label: str, pred: str, classes: Sequence | None = None
 ) -> DataFrame:
-    """(label, pred, n) for every pair of classes, zero where none."""
+    """(label, pred, n) for every pair of classes, zero where none.
+
+    The counts have at most classes x classes rows, which is the size broadcast.
+    """
     classes = list(classes) if classes is not None else class_list(df, label, pred)
     kind = df.schema[label].dataType.simpleString()
     every = F.array(*[F.lit(c).cast(kind) for c in classes])
-    counts = df.groupBy(F.col(label).alias("label"), F.col(pred).cast(kind).alias("pred")).agg(
+    if len(classes) > MAX_CLASSES:
+        raise ValueError(f"more than {MAX_CLASSES} classes")
+    listed = df.where(F.col(label).isin(classes) & F.col(pred).isin(classes))
+    counts = listed.groupBy(F.col(label).alias("label"), F.col(pred).cast(kind).alias("pred")).agg(
         F.count(F.lit(1)).alias("n")
     )
     grid = (

@@ -245,11 +245,11 @@ def cv_median(scores: DataFrame) -> DataFrame:
     return scores.groupBy("k").agg(F.percentile("log_likelihood", 0.5).alias("cv_median"))
 
 
-def _silhouette(df: DataFrame, id_col: str, features: str, metric: str) -> float:
+def _silhouette(df: DataFrame, features: str, metric: str) -> float:
     if metric == "squaredEuclidean":
         return silhouette_squared(df, features)
-    rows = df.select(id_col, vector_to_array(features).alias("vec"), "cluster")
-    return exact_silhouette(rows, id_col, "vec", "cluster").first()[0]
+    rows = df.select(vector_to_array(features).alias("vec"), "cluster")
+    return exact_silhouette(rows, "vec", "cluster").first()[0]
 
 
 def sweep_k_gmm(
@@ -267,7 +267,7 @@ def sweep_k_gmm(
             cv = gmm_cv_likelihood(data, id_col, k, features, folds, **options)
             rows.append(
                 (k, float(cv_median(cv).first()["cv_median"]),
-                 float(_silhouette(labelled, id_col, features, metric)), float(bic))
+                 float(_silhouette(labelled, features, metric)), float(bic))
             )
     finally:
         data.unpersist()
@@ -285,8 +285,7 @@ def sweep_k_kmeans(
     data = df.select(id_col, features).persist()
     try:
         rows = [
-            (k, float(_silhouette(kmeans(data, k, features, **options).transform(data), id_col,
-                                  features, metric)))
+            (k, float(_silhouette(kmeans(data, k, features, **options).transform(data), features, metric)))
             for k in ks
         ]
     finally:

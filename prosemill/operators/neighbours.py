@@ -19,6 +19,7 @@ from pyspark.sql.window import Window
 
 from prosemill.functions.vectors import l2_normalize
 from prosemill.operators.sampling import sample_n
+from prosemill.operators.scaling import lookup_join
 from prosemill.session import cut_lineage
 
 # Distances are compared after rounding to this many places, ties by id.
@@ -56,6 +57,53 @@ def knn_graph(
 ) -> DataFrame:
     """(id, nbr, dist, rank): the k nearest rows by cosine distance, exact, for every row.
 
+    Rows with the same direction are one group, represented by its smallest id.
+    The neighbours of the representatives give the k + 1 nearest rows of each
+    group; every row takes that list without itself.  A group of any size thus
+    costs one search.  Distances count to nine places, ties by id.  Ids must be
+    whole numbers.
+    """
+    rows = cut_lineage(
+        df.select(F.col(id_col).cast("long").alias("id"), l2_normalize(F.col(vec_col)).alias("vec"))
+        .withColumn("key", F.md5(F.array_join(F.transform("vec", lambda x: (x + 0.0).cast("string")), ",")))
+    )
+    # a limit on a row number is applied before the shuffle as well as after it
+    few = F.row_number().over(Window.partitionBy("key").orderBy("id"))
+    members = cut_lineage(rows.withColumn("n", few).where(F.col("n") <= k + 1))
+    heads = members.where("n = 1").select("id", "vec", "key")
+    near = _distinct_knn(heads.select("id", "vec"), k, block_rows, max_cells)
+    groups = near.select("id", "nbr", "dist").unionByName(
+        heads.select("id", F.col("id").alias("nbr"), F.lit(0.0).alias("dist"))
+    )
+    of_head = members.join(heads.select("key", F.col("id").alias("nbr")), "key").select(
+        "nbr", F.col("id").alias("member")
+    )
+    candidates = groups.join(of_head, "nbr").select("id", F.col("member").alias("nbr"), "dist")
+    best = F.row_number().over(Window.partitionBy("id").orderBy("dist", "nbr"))
+    lists = (
+        candidates.withColumn("n", best)
+        .where(F.col("n") <= k + 1)
+        .groupBy("id")
+        .agg(F.sort_array(F.collect_list(F.struct("dist", "nbr"))).alias("list"))
+        .join(heads.select("id", "key"), "id")
+        .select("key", "list")
+    )
+    lists = cut_lineage(lists)
+    mine = lookup_join(rows.select("id", "key"), lists, "key", max_rows=100_000).select(
+        "id",
+        F.posexplode(
+            F.slice(F.filter("list", lambda x: x["nbr"] != F.col("id")), 1, k)
+        ).alias("at", "hit"),
+    )
+    return mine.select(
+        F.col("id").alias(id_col), F.col("hit.nbr").alias("nbr"), F.col("hit.dist").alias("dist"),
+        (F.col("at") + 1).alias("rank"),
+    )
+
+
+def _distinct_knn(unit: DataFrame, k: int, block_rows: int, max_cells: int) -> DataFrame:
+    """(id, nbr, dist, rank) for distinct unit vectors (id, vec).
+
     1. Unit vectors are assigned to the nearest of at most `max_cells` pivots;
        cells are split into blocks of about `block_rows` rows.
     2. Each row finds its k nearest in its own block, which bounds its k-th
@@ -63,16 +111,12 @@ def knn_graph(
     3. Triangle inequalities on the pivots rule out cells that cannot hold a
        nearer row; the row visits the blocks of the remaining cells.
     4. The candidates of all visited blocks are merged.
-    Ids must be whole numbers.
     """
-    unit = cut_lineage(
-        df.select(F.col(id_col).cast("long").alias("id"), l2_normalize(F.col(vec_col)).alias("vec"))
-    )
     n = unit.count()
     cells = max(1, min(max_cells, n // block_rows))
     pivots = np.array([r.vec for r in sample_n(unit, "id", cells).orderBy("id").collect()])
     if not len(pivots):
-        return _rank(unit.select("id", F.col("id").alias("nbr"), F.lit(0.0).alias("dist")), id_col, k)
+        return _rank(unit.select("id", F.col("id").alias("nbr"), F.lit(0.0).alias("dist")), k)
 
     def place(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
@@ -102,7 +146,7 @@ def knn_graph(
 
     first = rows.groupBy("cell", "block").applyInPandas(own_block, "id long, nbr long, dist double")
     if n <= 1 or (len(blocks) == 1 and max(blocks.values()) == 1):
-        return _rank(first, id_col, k)
+        return _rank(first, k)
     first = cut_lineage(first)
     bound = first.groupBy("id").agg(
         F.when(F.count(F.lit(1)) >= k, F.max("dist")).alias("bound")
@@ -150,7 +194,7 @@ def knn_graph(
     # one count per visited cell: (row, block) visits, spread evenly over its blocks
     load = {r.cell: r.n for r in going.groupBy("cell").agg(F.count(F.lit(1)).alias("n")).collect()}
     if not load:
-        return _rank(first, id_col, k)
+        return _rank(first, k)
     chunks = {c: max(1, math.ceil(m / blocks[c] / block_rows)) for c, m in load.items()}
     per_target = F.create_map(*[F.lit(x) for kv in chunks.items() for x in kv])
     chunk = F.pmod(F.xxhash64("id", F.lit(7)), F.element_at(per_target, F.col("cell"))).cast("int")
@@ -169,33 +213,35 @@ def knn_graph(
     more = guests.groupBy(*keys).cogroup(hosts.groupBy(*keys)).applyInPandas(
         meet, "id long, nbr long, dist double"
     )
-    return _rank(first.unionByName(more), id_col, k)
+    return _rank(first.unionByName(more), k)
 
 
-def _rank(found: DataFrame, id_col: str, k: int) -> DataFrame:
+def _rank(found: DataFrame, k: int) -> DataFrame:
     w = Window.partitionBy("id").orderBy("dist", "nbr")
     return (
         found.where(F.col("id") != F.col("nbr"))
         .withColumn("rank", F.row_number().over(w))
         .where(F.col("rank") <= k)
-        .select(F.col("id").alias(id_col), "nbr", "dist", "rank")
+        .select("id", "nbr", "dist", "rank")
     )
 
 
-def silhouette_rows(
-    df: DataFrame, id_col: str, vec_col: str, cluster: str, block_rows: int = 4096
+def silhouette(
+    df: DataFrame, vec_col: str, cluster: str, block_rows: int = 4096
 ) -> DataFrame:
-    """(id, cluster, s): the Euclidean silhouette of every row, exact.
+    """Mean Euclidean silhouette, exact.
 
-    Needs the distance of every two rows; for data beyond a few million rows use
-    `silhouette_squared`, which needs one pass.
+    Copies of a row within a cluster are one weighted row.  Needs the distance
+    of every two distinct rows; for more than a few million of them use the
+    squared distance, which needs one pass.
     """
     rows = cut_lineage(
-        df.select(
-            F.col(id_col).cast("long").alias("id"),
-            F.col(vec_col).cast("array<double>").alias("vec"),
+        df.groupBy(
+            F.transform(F.col(vec_col), lambda x: x.cast("double") + 0.0).alias("vec"),
             F.col(cluster).cast("int").alias("cluster"),
         )
+        .agg(F.count(F.lit(1)).alias("copies"))
+        .withColumn("id", F.md5(F.concat_ws(",", F.col("cluster").cast("string"), F.transform("vec", lambda x: x.cast("string")))))
     )
     n = rows.count()
     blocks = max(1, math.ceil(n / block_rows))
@@ -203,16 +249,16 @@ def silhouette_rows(
     every = F.explode(F.sequence(F.lit(0), F.lit(blocks - 1)))
     left = mine.withColumn("b", every)
     right = mine.withColumnRenamed("a", "b").withColumn("a", every)
+    schema = "id string, cluster int, copies long, other int, total double"
 
     def meet(a: pd.DataFrame, b: pd.DataFrame) -> pd.DataFrame:
         if not len(a) or not len(b):
-            return pd.DataFrame(
-                {"id": pd.Series(dtype="int64"), "cluster": pd.Series(dtype="int32"),
-                 "other": pd.Series(dtype="int32"), "total": pd.Series(dtype="float64")}
+            return pd.DataFrame(columns=["id", "cluster", "copies", "other", "total"]).astype(
+                {"cluster": "int32", "copies": "int64", "other": "int32", "total": "float64"}
             )
         x, y = _matrix(a.vec), _matrix(b.vec)
         kinds, code = np.unique(b.cluster.to_numpy(), return_inverse=True)
-        member = np.eye(len(kinds))[code]
+        member = np.eye(len(kinds))[code] * b.copies.to_numpy()[:, None]
         y2 = (y * y).sum(axis=1)
         totals = []
         for at in range(0, len(x), 512):
@@ -220,39 +266,34 @@ def silhouette_rows(
             d2 = (part * part).sum(axis=1)[:, None] + y2 - 2 * part @ y.T
             d2[a.id.to_numpy()[at:at + 512, None] == b.id.to_numpy()[None, :]] = 0
             totals.append(np.sqrt(np.maximum(d2, 0)) @ member)
-        total = np.concatenate(totals)
+        wide = len(kinds)
         return pd.DataFrame(
             {
-                "id": np.repeat(a.id.to_numpy(), len(kinds)),
-                "cluster": np.repeat(a.cluster.to_numpy(), len(kinds)),
+                "id": np.repeat(a.id.to_numpy(), wide),
+                "cluster": np.repeat(a.cluster.to_numpy(), wide),
+                "copies": np.repeat(a.copies.to_numpy(), wide),
                 "other": np.tile(kinds, len(a)).astype("int32"),
-                "total": total.ravel(),
+                "total": np.concatenate(totals).ravel(),
             }
         )
 
     sums = (
         left.groupBy("a", "b")
         .cogroup(right.groupBy("a", "b"))
-        .applyInPandas(meet, "id long, cluster int, other int, total double")
-        .groupBy("id", "cluster", "other")
+        .applyInPandas(meet, schema)
+        .groupBy("id", "cluster", "copies", "other")
         .agg(F.sum("total").alias("total"))
     )
-    sizes = rows.groupBy(F.col("cluster").alias("other")).agg(F.count(F.lit(1)).alias("size"))
-    joined = sums.join(F.broadcast(sizes), "other")
+    sizes = rows.groupBy(F.col("cluster").alias("other")).agg(F.sum("copies").alias("size"))
+    joined = lookup_join(sums, sizes, "other")
     own = F.col("cluster") == F.col("other")
-    per_row = joined.groupBy("id", "cluster").agg(
+    per_row = joined.groupBy("id", "copies").agg(
         F.max(F.when(own, F.col("total") / F.nullif(F.col("size") - 1, F.lit(0)))).alias("within"),
         F.min(F.when(~own, F.col("total") / F.col("size"))).alias("between"),
     )
-    s = (F.col("between") - F.col("within")) / F.nullif(
-        F.greatest("within", "between"), F.lit(0.0)
-    )
-    return per_row.select(
-        F.col("id").alias(id_col), "cluster", F.coalesce(s, F.lit(0.0)).alias("s")
+    s = F.coalesce(
+        (F.col("between") - F.col("within"))
+        / F.nullif(F.greatest("within", "between"), F.lit(0.0)),
+        F.lit(0.0),
     )
-
-
-def silhouette(df: DataFrame, id_col: str, vec_col: str, cluster: str, block_rows: int = 4096) -> DataFrame:
-    """Mean Euclidean silhouette."""
-    rows = silhouette_rows(df, id_col, vec_col, cluster, block_rows)
-    return rows.agg(F.avg("s").alias("silhouette"))
+    return per_row.agg((F.sum(s * F.col("copies")) / F.sum("copies")).alias("silhouette"))

@@ -48,8 +48,9 @@ def lookup_join(
 
     A dimension checked to be small is broadcast (the check reads it, so hand in
     a table or a checkpointed result, not a long computation).  Otherwise both sides shuffle:
-    rows of hot keys spread over `salts` partitions by the hash of the whole
-    row, and only the matching (at most salts/share) dimension rows are copied.
+    rows of hot keys (and rows without a key) spread over `salts` partitions by
+    the hash of the whole row, and only the matching (at most salts/share)
+    dimension rows are copied.
     """
     if fits_broadcast(dim.select(key), max_rows):
         return rows.join(F.broadcast(dim), key, how)
@@ -57,7 +58,10 @@ def lookup_join(
     spread = F.pmod(F.xxhash64(*[F.col(f"`{c}`") for c in rows.columns]), F.lit(salts))
     left = (
         rows.join(hot, key, "left")
-        .withColumn("_salt", F.when(F.col("_hot"), spread).otherwise(F.lit(0)).cast("int"))
+        .withColumn(
+            "_salt",
+            F.when(F.col("_hot") | F.col(key).isNull(), spread).otherwise(F.lit(0)).cast("int"),
+        )
         .drop("_hot")
     )
     right = (
