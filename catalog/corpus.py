@@ -33,9 +33,12 @@ _DF = f"SELECT term, count(DISTINCT doc_id) AS df FROM ({SQL_DOC_TERMS}) GROUP B
 _CUT = "df >= 0.01 * (SELECT count(*) FROM documents) AND df <= 0.85 * (SELECT count(*) FROM documents)"
 
 
-@query("document_frequency", f"SELECT * FROM ({_DF}) WHERE {_CUT}")
+SQL_CUT_TERMS = f"SELECT * FROM ({_DF}) WHERE {_CUT}"
+
+
+@query("document_frequency", SQL_CUT_TERMS)
 def document_frequency(spark, sf):
-    return O.document_frequency(documents(spark, sf), "doc_id", doc_terms(), 0.01, 0.85)
+    return O.document_frequency(documents(spark, sf), doc_terms(), 0.01, 0.85)
 
 
 @query("word_frequency_min", f"SELECT * FROM ({SQL_COUNTS}) WHERE n >= 2")

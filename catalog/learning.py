@@ -10,7 +10,8 @@ from pyspark.ml.clustering import KMeansModel
 from pyspark.ml.feature import Word2VecModel
 from pyspark.sql import functions as F
 
-from catalog.base import doc_tokens, documents, query, r6, table
+from catalog.base import SQL_DOC_TERMS, doc_tokens, documents, query, r6, table
+from catalog.corpus import SQL_CUT_TERMS
 from prosemill.operators import embed, evaluate, features, models
 from prosemill.operators.sampling import train_test_split
 from prosemill.operators.vectors import avg_vector as mean_vector
@@ -47,7 +48,14 @@ def scored(model, test, key):
 # --- features ----------------------------------------------------------------------
 
 
-@query("tfidf_features")
+@query(
+    "tfidf_features",
+    f"""SELECT doc_id, CAST(coalesce(n, 0) AS INTEGER) AS n_terms,
+    CASE WHEN n > 0 THEN 1.0::DOUBLE ELSE 0.0::DOUBLE END AS length
+    FROM documents LEFT JOIN (
+      SELECT doc_id, count(DISTINCT term) AS n FROM ({SQL_DOC_TERMS})
+      JOIN ({SQL_CUT_TERMS}) USING (term) GROUP BY doc_id) USING (doc_id)""",
+)
 def tfidf_features(spark, sf):
     from pyspark.ml.functions import vector_to_array
 

@@ -9,23 +9,23 @@ import pandas as pd
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.feature import (
     PCA,
-    CountVectorizer,
+    CountVectorizerModel,
     ElementwiseProduct,
-    IDF,
     IndexToString,
     Normalizer,
     StandardScaler,
     StringIndexer,
 )
 from pyspark.ml.functions import array_to_vector, vector_to_array
-from pyspark.ml.linalg import SparseVector, Vectors, VectorUDT
+from pyspark.ml.linalg import Vectors
+from pyspark.ml.stat import Summarizer
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructField, StructType
 
 from prosemill import dims
 from prosemill.functions.text import drop_stopwords, tokenize_terms
 from prosemill.operators.scaling import with_position
+from prosemill.operators.terms import document_frequency
 
 
 def tfidf_features(
@@ -39,26 +39,31 @@ def tfidf_features(
 ) -> tuple[DataFrame, PipelineModel]:
     """`df` with a sparse unit-length TF-IDF vector, and the fitted stages.
 
-    The vocabulary is cut by document frequency and then held by the model; an
-    error is raised if more than `max_terms` terms pass the cut.  Transforming
-    needs no shuffle.  Spark's IDF is ln((1+N)/(1+df)); the missing +1 is added.
+    The vocabulary and its document frequencies come from one aggregation; an
+    error is raised if more than `max_terms` terms pass the cuts, since the model
+    holds them.  Transforming is one pass without a shuffle.
     """
-    docs = df.withColumn("_tokens", drop_stopwords(tokenize_terms(F.lower(text)), stop))
-    # integer cuts are document counts, fractions are shares, both inclusive
-    counter = CountVectorizer(
-        inputCol="_tokens", outputCol="_tf", vocabSize=max_terms + 1,
-        minDF=float(min_df), maxDF=float(max_df) if isinstance(max_df, int) or max_df < 1 else float(2**53),
-    ).fit(docs)
-    if len(counter.vocabulary) > max_terms:
+    tokens = drop_stopwords(tokenize_terms(F.lower(text)), stop)
+    docs = df.count()
+    kept = (
+        document_frequency(df, tokens, min_df, max_df)
+        .orderBy(F.desc("df"), "term")
+        .limit(max_terms + 1)
+        .collect()
+    )
+    if len(kept) > max_terms:
         raise ValueError(f"more than {max_terms} terms pass the document-frequency cuts")
-    counted = counter.transform(docs)
-    idf = IDF(inputCol="_tf", outputCol="_idf").fit(counted)
-    scale = ElementwiseProduct(
-        scalingVec=Vectors.dense(idf.idf.toArray() + 1.0), inputCol="_tf", outputCol="_raw"
+    if not kept:
+        raise ValueError("no term passes the document-frequency cuts")
+    idf = np.log((1.0 + docs) / (1.0 + np.array([r.df for r in kept]))) + 1.0
+    counter = CountVectorizerModel.from_vocabulary(
+        [r.term for r in kept], inputCol="_tokens", outputCol="_tf"
     )
+    scale = ElementwiseProduct(scalingVec=Vectors.dense(idf), inputCol="_tf", outputCol="_raw")
     unit = Normalizer(p=2.0, inputCol="_raw", outputCol=out)
     model = PipelineModel([counter, scale, unit])
-    return model.transform(docs).drop("_tokens", "_tf", "_raw"), model
+    weighted = model.transform(df.withColumn("_tokens", tokens))
+    return weighted.drop("_tokens", "_tf", "_raw"), model
 
 
 def as_vector(df: DataFrame, col: str, out: str = "features") -> DataFrame:
@@ -108,13 +113,15 @@ def _times(df: DataFrame, col: str, basis: np.ndarray) -> np.ndarray:
     return out
 
 
+def _nonzero(col: str) -> Column:
+    """array<struct<i, v>> of the non-zero elements."""
+    pairs = F.transform(vector_to_array(col), lambda x, i: F.struct(i.alias("i"), x.alias("v")))
+    return F.filter(pairs, lambda p: p["v"] != 0)
+
+
 def _sparse_parts(df: DataFrame, col: str) -> DataFrame:
     """(i array<int>, v array<double>): positions and values of the non-zero elements."""
-    dense = vector_to_array(col)
-    pairs = F.filter(
-        F.transform(dense, lambda x, i: F.struct(i.alias("i"), x.alias("v"))), lambda p: p["v"] != 0
-    )
-    return df.select(pairs.alias("p")).select(F.col("p.i").alias("i"), F.col("p.v").alias("v"))
+    return df.select(_nonzero(col).alias("p")).select(F.col("p.i").alias("i"), F.col("p.v").alias("v"))
 
 
 def svd_basis(
@@ -155,17 +162,11 @@ def truncated_svd(
     def project(i: pd.Series, v: pd.Series) -> pd.Series:
         return pd.Series([(b @ basis[a]) if len(a) else np.zeros(k) for a, b in zip(i, v)])
 
-    dense = vector_to_array(col)
-    pairs = F.filter(
-        F.transform(dense, lambda x, n: F.struct(n.alias("i"), x.alias("v"))), lambda p: p["v"] != 0
-    )
     reduced = (
-        df.withColumn("_p", pairs)
+        df.withColumn("_p", _nonzero(col))
         .withColumn(out, project(F.col("_p.i"), F.col("_p.v")))
         .drop("_p")
     )
-    from pyspark.ml.stat import Summarizer
-
     total = df.agg(Summarizer.variance(F.col(col)).alias("v")).first()[0].toArray().sum()
     parts = reduced.agg(
         *[F.var_samp(F.get(out, F.lit(j))) for j in range(basis.shape[1])]

@@ -100,7 +100,6 @@ def _df_bound(limit: float | int, docs: int) -> float:
 
 def document_frequency(
     df: DataFrame,
-    id_col: str,
     tokens: Column,
     min_df: float | int = 1,
     max_df: float | int = 1.0,
@@ -137,7 +136,7 @@ def tfidf(
     tokens = drop_stopwords(tokenize_terms(F.lower(text)), stop)
     docs = df.count()
     weights = cut_lineage(
-        document_frequency(df, id_col, tokens, min_df, max_df).select(
+        document_frequency(df, tokens, min_df, max_df).select(
             "term", (F.log(F.lit(1.0 + docs) / (1 + F.col("df"))) + 1).alias("idf")
         )
     )
