@@ -93,10 +93,14 @@ def _times(df: DataFrame, col: str, basis: np.ndarray) -> np.ndarray:
     def partial(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         total = np.zeros_like(basis)
         for pdf in batches:
-            for idx, val in zip(pdf["i"], pdf["v"]):
-                if len(idx):
-                    y = val @ basis[idx]
-                    total[idx] += np.outer(val, y)
+            counts = np.array([len(x) for x in pdf["i"]])
+            if not counts.sum():
+                continue
+            filled = counts[counts > 0]
+            at = np.concatenate(pdf["i"].to_list()).astype("int64")
+            v = np.concatenate(pdf["v"].to_list())[:, None]
+            y = np.add.reduceat(v * basis[at], np.cumsum(filled) - filled, axis=0)
+            np.add.at(total, at, v * np.repeat(y, filled, axis=0))
         touched = np.flatnonzero(np.abs(total).sum(axis=1))
         yield pd.DataFrame({"feature": touched.astype("int32"), "part": list(total[touched])})
 
