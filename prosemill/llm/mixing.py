@@ -6,9 +6,10 @@ tilted: rate = min(most, exp(m * size)), with one multiplier m per source.  The
 maximised by Newton steps, all sources at once; a step is one aggregation over the (source, size)
 counts, which the documents are reduced to first.  Steps that leave the known bracket are halved.
 
-Copies.  A document is taken floor(rate) times, and once more if its hash falls under its fraction
-by more than the source's cut.  The cut is found from word-weighted histograms, level by level, so
-that a source's total comes within one document of its target; ties go by id.
+Copies.  A document is taken floor(rate) times, and once more if its key, a hash of it less its
+rate's fraction, is below the source's cut.  The cut is found from word-weighted histograms, level by
+level, so that the next document by key would pass the target; two more rounds fill what is left
+open with the documents that fit into it.
 
 Everything per source is a table; the driver sees totals and iteration counts only, and the
 source's order number comes from a range-sorted pass, so sources may be many.  A source with a third
@@ -31,7 +32,7 @@ WEIGHTS = (5.0, 2.0, 1.0)
 MOST = 3.0
 STEPS = 60
 NEAR = 1e-7  # relative distance to the target at which the multipliers are settled
-LEVELS, BINS = 4, 256
+LEVELS, BINS, ROUNDS = 3, 1024, 3
 
 
 def source_targets(sizes: DataFrame, weights=WEIGHTS, most: float = MOST) -> DataFrame:
@@ -140,10 +141,9 @@ def tilts(counts: DataFrame, targets: DataFrame, most: float = MOST) -> DataFram
 
 def mix(
     docs: DataFrame, weights=WEIGHTS, most: int = 3, seed: int = 17, id_col: str = "doc_id",
-    text_col: str = "text", source_col: str = "source", carry: tuple[str, ...] = (),
+    text_col: str = "text", source_col: str = "source",
 ) -> DataFrame:
-    """(doc_id, size, source_size, target, copies, taken) and the carried columns for every row."""
-    keep = [F.col(c) for c in carry]
+    """(doc_id, source, size, source_size, target, copies, taken) for every row."""
     sized = stored(
         docs.select(
             F.col(id_col).alias("doc_id"), F.col(source_col).alias("source"),
@@ -174,61 +174,96 @@ def mix(
         .withColumn("key", draw - (F.col("rate") - F.col("base")))  # from -1 to 1; rounds up below the cut
     )
     rated = stored(rated.drop("m", "rate"), "mix-rated")
+    up = _taken_up(F.col("d.size"), F.col("d.key"), F.col("c.cuts"), F.col("c.lefts"))
     cut = _cuts(rated, most)
-    final = (
+    return (
         rated.alias("d").join(cut.alias("c"), F.expr("d.source <=> c.source"), "left")
         .select(
             "d.doc_id", "d.source", "d.size", "d.source_size", "d.target",
-            (F.col("d.base") + F.when((F.col("d.base") < most) & (F.col("d.size") > 0) & (F.col("d.key") < F.col("c.cut")), 1).otherwise(0)).alias("copies"),
+            (F.col("d.base") + F.when((F.col("d.base") < most) & (F.col("d.size") > 0) & up, 1).otherwise(0)).alias("copies"),
         )
         .withColumn("taken", F.col("copies") * F.col("size"))
     )
-    return final if not keep else final
 
 
 def _cuts(rated: DataFrame, most: int) -> DataFrame:
-    """(source, cut): rounding up below `cut` brings a source to its target, within a document.
+    """(source, cuts, lefts): a document is rounded up if in some round its size is at most the
+    round's `left` and its key below the round's `cut`.
 
-    Each level cuts the bin that holds the crossing into `BINS` finer ones: one aggregation over the
-    documents, grouped by source and bin.
+    The first round goes through the documents by key until the next would pass the target.  A later
+    round does the same with the words still open and the documents that fit into them.
     """
-    can = rated.where((F.col("base") < most) & (F.col("size") > 0))
     need = rated.groupBy("source").agg(
         (F.first("target") - F.sum(F.col("base") * F.col("size"))).alias("need")
     )
-    state = stored(need.select("source", "need", F.lit(-1.0).alias("lo"), F.lit(2.0).alias("width")), "mix-cuts")
+    no = F.array().cast("array<double>")
+    state = stored(need.withColumn("cuts", no).withColumn("lefts", no), "mix-cuts")
+    can = rated.where((F.col("base") < most) & (F.col("size") > 0))
+    for _ in range(ROUNDS):
+        state = _one_cut(can, state)
+    return state
+
+
+def _taken_up(size: Column, key: Column, cuts: Column, lefts: Column) -> Column:
+    return F.exists(
+        F.arrays_zip(cuts.alias("cut"), lefts.alias("left")),
+        lambda r: (size <= r["left"]) & (key < r["cut"]),
+    )
+
+
+def _one_cut(can: DataFrame, before: DataFrame) -> DataFrame:
+    """`before` with one more round.
+
+    Each level cuts the bin that holds the crossing into `BINS` finer ones: one aggregation over the
+    documents, grouped by source and bin.
+    """
+    names = ["source", "need", "cuts", "lefts"]
+    state = before.withColumn("left", F.col("need")).withColumn("lo", F.lit(-1.0)).withColumn("width", F.lit(2.0))
     for _ in range(LEVELS):
         inside = (
             can.alias("d").join(state.alias("s"), F.expr("d.source <=> s.source"))
-            .where("d.key >= s.lo and d.key < s.lo + s.width")
-            .select("s.source", "d.size", F.least(F.floor((F.col("d.key") - F.col("s.lo")) / F.col("s.width") * BINS), F.lit(BINS - 1)).cast("int").alias("bin"))
+            .where("d.size <= s.need and d.key >= s.lo and d.key < s.lo + s.width")
+            .where(~_taken_up(F.col("d.size"), F.col("d.key"), F.col("s.cuts"), F.col("s.lefts")))
+            .select(
+                "s.source", "d.size",
+                F.least(
+                    F.floor((F.col("d.key") - F.col("s.lo")) / F.col("s.width") * BINS), F.lit(BINS - 1)
+                ).cast("int").alias("bin"),
+            )
         )
         hist = inside.groupBy("source", "bin").agg(F.sum("size").alias("words"))
         ladder = hist.groupBy("source").agg(
             F.sort_array(F.collect_list(F.struct("bin", "words"))).alias("bins")  # at most BINS of them
         )
-        # words below each bin; the crossing bin is the first that would pass the need
-        walked = (
-            state.alias("s").join(ladder.alias("l"), F.expr("s.source <=> l.source"), "left")
-            .select("s.*", F.coalesce("l.bins", F.array().cast("array<struct<bin:int,words:bigint>>")).alias("bins"))
-            .withColumn(
-                "at",
-                F.aggregate(
-                    "bins",
-                    F.struct(F.col("need").alias("left"), F.lit(BINS).alias("bin"), F.lit(False).alias("stop")),
-                    lambda a, b: F.when(a["stop"], a)
-                    .when(b["words"] > a["left"], F.struct(a["left"].alias("left"), b["bin"].alias("bin"), F.lit(True).alias("stop")))
-                    .otherwise(F.struct((a["left"] - b["words"]).alias("left"), a["bin"].alias("bin"), F.lit(False).alias("stop"))),
-                ),
+        start = F.struct(F.col("left").alias("left"), F.lit(BINS).alias("bin"), F.lit(False).alias("stop"))
+        # the crossing bin is the first whose words would pass what is left
+        walk = F.aggregate(
+            "bins", start,
+            lambda a, b: F.when(a["stop"], a)
+            .when(
+                b["words"] > a["left"],
+                F.struct(a["left"].alias("left"), b["bin"].alias("bin"), F.lit(True).alias("stop")),
             )
+            .otherwise(
+                F.struct((a["left"] - b["words"]).alias("left"), a["bin"].alias("bin"), F.lit(False).alias("stop"))
+            ),
         )
         state = stored(
-            walked.select(
-                "source",
-                F.col("at.left").alias("need"),
+            state.alias("s").join(ladder.alias("l"), F.expr("s.source <=> l.source"), "left")
+            .select(
+                "s.*",
+                F.coalesce("l.bins", F.array().cast("array<struct<bin:int,words:bigint>>")).alias("bins"),
+            )
+            .withColumn("at", walk)
+            .select(
+                *names,
+                F.col("at.left").alias("left"),
                 (F.col("lo") + F.col("width") * F.col("at.bin") / BINS).alias("lo"),
                 F.when(F.col("at.stop"), F.col("width") / BINS).otherwise(F.lit(0.0)).alias("width"),
             ),
             "mix-cuts",
         )
-    return state.select("source", F.col("lo").alias("cut"))
+    return state.select(
+        "source", F.col("left").alias("need"),
+        F.concat("cuts", F.array("lo")).alias("cuts"), F.concat("lefts", F.array("need")).alias("lefts"),
+    )

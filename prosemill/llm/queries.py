@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from prosemill.llm import mixing, packing, topk, url_rules
+from prosemill.llm import mixing, packing, simhash, topk, url_rules, warc
 from prosemill.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -24,6 +24,38 @@ def query(name: str, sql: str | None = None):
     return register
 
 
+@query(
+    "op3_warc",
+    """
+    WITH p AS (SELECT page_id, coalesce(html, '') AS html FROM pages),
+    d AS (SELECT page_id, strlen(html)::BIGINT AS payload_bytes, sha256(html) AS payload_digest FROM p),
+    f AS (SELECT payload_digest, min(page_id) AS first FROM d WHERE payload_bytes >= 100 GROUP BY 1)
+    SELECT page_id, payload_bytes, payload_digest,
+           CASE WHEN first IS NULL OR first = page_id THEN 'response' ELSE 'revisit' END AS record_type,
+           CASE WHEN first = page_id THEN NULL ELSE first END AS refers_to
+    FROM d LEFT JOIN f USING (payload_digest)
+    """,
+)
+def op3(spark: SparkSession, sf: str) -> DataFrame:
+    pages = table(spark, sf, "pages", "page_id", "url", "html")
+    back = warc.round_trip(pages)
+    response = F.col("record_type") == "response"
+    return back.select(
+        "page_id",
+        F.when(response, F.length("payload").cast("long")).otherwise(F.col("header_bytes")).alias("payload_bytes"),
+        F.when(response, F.sha2("payload", 256)).otherwise(F.col("header_digest")).alias("payload_digest"),
+        "record_type", "refers_to",
+    )
+
+
+@query("op4_simhash")
+def op4(spark: SparkSession, sf: str) -> DataFrame:
+    found = simhash.near_duplicates(table(spark, sf, "documents", "doc_id", "text"))
+    return found.select(
+        "doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id"
+    )
+
+
 @query("op6_mixing")
 def op6(spark: SparkSession, sf: str) -> DataFrame:
     docs = table(spark, sf, "documents", "doc_id", "text", "source")
