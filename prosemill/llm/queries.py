@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from prosemill.llm import mixing, packing, simhash, topk, url_rules, warc
+from prosemill.llm import langid, mixing, packing, simhash, topk, url_rules, warc
 from prosemill.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -24,6 +24,18 @@ def query(name: str, sql: str | None = None):
     return register
 
 
+def _held_out(doc_id="doc_id"):
+    return F.coalesce(F.pmod(F.crc32(F.col(doc_id).cast("string")), F.lit(3)) == 1, F.lit(False))
+
+
+@query("op2_language_id")
+def op2(spark: SparkSession, sf: str) -> DataFrame:
+    docs = table(spark, sf, "documents", "doc_id", "text", "lang")
+    model = langid.train(docs.where(~_held_out()))
+    found = langid.identify(docs.select("doc_id", "text"), model)
+    return found.select("doc_id", _held_out().alias("held_out"), "lang_pred", "score")
+
+
 @query(
     "op3_warc",
     """
