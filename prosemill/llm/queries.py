@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from prosemill.llm import langid, mixing, packing, simhash, topk, url_rules, warc
+from prosemill.llm import langid, mixing, packing, quality, simhash, topk, url_rules, warc
 from prosemill.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -68,6 +68,16 @@ def op4(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+@query("op5_quality")
+def op5(spark: SparkSession, sf: str) -> DataFrame:
+    docs = table(spark, sf, "documents", "doc_id", "text")
+    trusted = quality.trusted_ids(table(spark, sf, "labels", "doc_id", "quality"))
+    return quality.assess(docs, trusted).select(
+        "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
+        "base_failed", "kept", "score",
+    )
+
+
 @query("op6_mixing")
 def op6(spark: SparkSession, sf: str) -> DataFrame:
     docs = table(spark, sf, "documents", "doc_id", "text", "source")
