@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from prosemill.llm import langid, mixing, packing, quality, simhash, topk, url_rules, warc
+from prosemill.llm import langid, mixing, packing, pii, quality, simhash, topk, url_rules, warc
 from prosemill.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -95,6 +95,19 @@ def op7(spark: SparkSession, sf: str) -> DataFrame:
     return packing.pack(pieces)
 
 
+@query("op8_pii")
+def op8(spark: SparkSession, sf: str) -> DataFrame:
+    found = pii.find(table(spark, sf, "documents", "doc_id", "text"))
+
+    def count(kind: str):
+        return F.size(F.filter("base", lambda s: s["kind"] == kind)).cast("long").alias(f"n_{kind}")
+
+    return found.select(
+        "doc_id", *[count(k) for k in pii.BASE_KINDS],
+        F.sha2(pii.listed(F.col("base")), 256).alias("base_sha256"), pii.listed(F.col("spans")).alias("spans"),
+    )
+
+
 URL_RULES = [
     ("org", "/", "allow"),
     ("example.org", "/es/", "block"),
