@@ -7,7 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from prosemill.llm import langid, mixing, packing, pii, quality, simhash, topk, url_rules, warc
+from prosemill.llm import langid, mixing, packing, pii, quality, simhash, substrings, topk
+from prosemill.llm import url_rules, warc
 from prosemill.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -24,6 +25,12 @@ def query(name: str, sql: str | None = None):
     return register
 
 
+@query("op1_substrings")
+def op1(spark: SparkSession, sf: str) -> DataFrame:
+    found = substrings.repeated_passages(table(spark, sf, "documents", "doc_id", "text"))
+    return found.select("doc_id", "n_words", "n_removed", "kept_sha256")
+
+
 def _held_out(doc_id="doc_id"):
     return F.coalesce(F.pmod(F.crc32(F.col(doc_id).cast("string")), F.lit(3)) == 1, F.lit(False))
 
