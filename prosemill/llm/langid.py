@@ -244,27 +244,32 @@ def has_letter(text: Column) -> Column:
     return F.coalesce(text.rlike(r"\p{L}"), F.lit(False))
 
 
+def _judge(model: Model, texts: pa.Array, letter: np.ndarray, evidence: int):
+    """(index of the language, score) of each text; texts without a letter get the index after all."""
+    best = np.full(len(letter), len(model.languages))
+    score = np.zeros(len(letter))
+    for lo, hi, data, cuts in slices(texts, 1 << 18):
+        bits = model.code_lengths(data, cuts)
+        sizes = np.maximum(np.diff(cuts), 1)
+        over = bits - bits.min(axis=1, keepdims=True)
+        over *= np.minimum(1.0, evidence / sizes)[:, None]
+        best[lo:hi] = bits.argmin(axis=1)
+        score[lo:hi] = 1.0 / np.exp2(-over).sum(axis=1)
+    best[~letter] = len(model.languages)
+    score[~letter] = 0.0
+    return best, score
+
+
 def _predictor(sent, evidence: int):
     schema = pa.schema(
         [("doc_id", pa.int64()), ("lang_pred", pa.string()), ("score", pa.float64())]
     )
 
     def predict(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        model = sent.value
-        names = np.array(model.languages + [UNDETERMINED], dtype=object)
+        names = np.array(sent.value.languages + [UNDETERMINED], dtype=object)
         for batch in batches:
             letter = batch.column(2).to_numpy(zero_copy_only=False).astype(bool)
-            best = np.full(batch.num_rows, len(model.languages))
-            score = np.zeros(batch.num_rows)
-            for lo, hi, data, cuts in slices(batch.column(1), 1 << 18):
-                bits = model.code_lengths(data, cuts)
-                sizes = np.maximum(np.diff(cuts), 1)
-                over = bits - bits.min(axis=1, keepdims=True)
-                over *= np.minimum(1.0, evidence / sizes)[:, None]
-                best[lo:hi] = bits.argmin(axis=1)
-                score[lo:hi] = 1.0 / np.exp2(-over).sum(axis=1)
-            best[~letter] = len(model.languages)
-            score[~letter] = 0.0
+            best, score = _judge(sent.value, batch.column(1), letter, evidence)
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), pa.array(names[best], pa.string()), pa.array(score)], schema=schema
             )
@@ -276,10 +281,30 @@ def identify(docs: DataFrame, model: Model | None, id_col: str = "doc_id", text_
              evidence: int = EVIDENCE) -> DataFrame:
     """(doc_id, lang_pred, score) of every row."""
     rows = docs.select(
-        F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"),
+        F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"),
         has_letter(F.col(text_col)).alias("letter"),
     )
     if model is None:
         return rows.select("doc_id", F.lit(UNDETERMINED).alias("lang_pred"), F.lit(0.0).alias("score"))
     sent = docs.sparkSession.sparkContext.broadcast(model)
     return rows.mapInArrow(_predictor(sent, evidence), "doc_id long, lang_pred string, score double")
+
+
+def identified(docs: DataFrame, model: Model | None, min_score: float = 0.5, text_col: str = "text",
+               evidence: int = EVIDENCE) -> DataFrame:
+    """The rows of `docs` whose text has a language with a score of at least `min_score`."""
+    if model is None:
+        return docs.where(F.lit(False))
+    sent = docs.sparkSession.sparkContext.broadcast(model)
+    text_at = docs.columns.index(text_col)
+
+    def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            letter = batch.column(batch.num_columns - 1).to_numpy(zero_copy_only=False).astype(bool)
+            best, score = _judge(sent.value, batch.column(text_at), letter, evidence)
+            good = pa.array((best < len(sent.value.languages)) & (score >= min_score))
+            rest = batch.select(list(range(batch.num_columns - 1)))
+            yield rest.filter(good)
+
+    rows = docs.select("*", has_letter(F.col(text_col)).alias("__has_letter"))
+    return rows.mapInArrow(keep, docs.schema)

@@ -30,6 +30,7 @@ from prosemill.operators.scaling import with_position
 
 WEIGHTS = (5.0, 2.0, 1.0)
 MOST = 3.0
+SEED = 17
 STEPS = 60
 NEAR = 1e-7  # relative distance to the target at which the multipliers are settled
 LEVELS, BINS, ROUNDS = 3, 1024, 3
@@ -139,11 +140,20 @@ def tilts(counts: DataFrame, targets: DataFrame, most: float = MOST) -> DataFram
     return stored(state.select("source", "source_size", "target", m.alias("m")), "mix-tilts")
 
 
-def mix(
-    docs: DataFrame, weights=WEIGHTS, most: int = 3, seed: int = 17, id_col: str = "doc_id",
-    text_col: str = "text", source_col: str = "source",
-) -> DataFrame:
-    """(doc_id, source, size, source_size, target, copies, taken) for every row."""
+def _base_and_key(doc_id: Column, size: Column, m: Column, most: int, seed: int) -> tuple[Column, Column]:
+    """floor(rate), and the key in [-1, 1) that rounds up below a cut: the same in every run."""
+    rate = (
+        F.when(size == 0, F.lit(1.0))
+        .when(m == float("inf"), F.lit(float(most)))
+        .otherwise(_rate(m, size, float(most)))
+    )
+    draw = F.pmod(F.xxhash64(F.lit(seed), doc_id, size), F.lit(1 << 40)) / F.lit(float(1 << 40))
+    return F.floor(rate).cast("long"), draw - (rate - F.floor(rate))
+
+
+def plan(docs: DataFrame, weights=WEIGHTS, most: int = 3, seed: int = SEED, id_col: str = "doc_id",
+         text_col: str = "text", source_col: str = "source") -> DataFrame:
+    """One row per source: source, source_size, target, m, cuts, lefts.  `copies` needs no more."""
     sized = stored(
         docs.select(
             F.col(id_col).alias("doc_id"), F.col(source_col).alias("source"),
@@ -159,33 +169,57 @@ def mix(
         "mix-targets",
     )
     tilt = tilts(counts, targets, float(most))
-    # a document's own draw in [0, 1): the same in every run
-    draw = F.pmod(F.xxhash64(F.lit(seed), F.col("doc_id"), F.col("size")), F.lit(1 << 40)) / F.lit(float(1 << 40))
-    rated = (
+    base, key = _base_and_key(F.col("d.doc_id"), F.col("d.size"), F.col("t.m"), most, seed)
+    rated = stored(
         sized.alias("d").join(tilt.alias("t"), F.expr("d.source <=> t.source"))
-        .select("d.doc_id", "d.source", "d.size", "t.source_size", "t.target", "t.m")
-        .withColumn(
-            "rate",
-            F.when(F.col("size") == 0, F.lit(1.0))
-            .when(F.col("m") == float("inf"), F.lit(float(most)))
-            .otherwise(_rate(F.col("m"), F.col("size"), float(most))),
-        )
-        .withColumn("base", F.floor("rate").cast("long"))
-        .withColumn("key", draw - (F.col("rate") - F.col("base")))  # from -1 to 1; rounds up below the cut
+        .select("d.source", "d.size", "t.target", base.alias("base"), key.alias("key")),
+        "mix-rated",
+    )
+    cuts = _cuts(rated, most)
+    return stored(
+        tilt.alias("t").join(cuts.alias("c"), F.expr("t.source <=> c.source"))
+        .select("t.source", "t.source_size", "t.target", "t.m", "c.cuts", "c.lefts"),
+        "mix-plan",
+    )
+
+
+def copies(doc_id: Column, size: Column, per: str = "p", most: int = 3, seed: int = SEED) -> Column:
+    """How often a document is taken; `per` is the alias of the plan's row of its source."""
+    base, key = _base_and_key(doc_id, size, F.col(f"{per}.m"), most, seed)
+    up = (base < most) & (size > 0) & _taken_up(size, key, F.col(f"{per}.cuts"), F.col(f"{per}.lefts"))
+    return base + F.when(up, 1).otherwise(0)
+
+
+def mix(docs: DataFrame, weights=WEIGHTS, most: int = 3, seed: int = SEED, id_col: str = "doc_id",
+        text_col: str = "text", source_col: str = "source") -> DataFrame:
+    """(doc_id, source, size, source_size, target, copies, taken) of every row."""
+    per = plan(docs, weights, most, seed, id_col, text_col, source_col)
+    rows = docs.select(
+        F.col(id_col).alias("doc_id"), F.col(source_col).alias("source"),
+        word_count(F.col(text_col)).alias("size"),
     )
-    rated = stored(rated.drop("m", "rate"), "mix-rated")
-    up = _taken_up(F.col("d.size"), F.col("d.key"), F.col("c.cuts"), F.col("c.lefts"))
-    cut = _cuts(rated, most)
     return (
-        rated.alias("d").join(cut.alias("c"), F.expr("d.source <=> c.source"), "left")
+        rows.alias("d").join(per.alias("p"), F.expr("d.source <=> p.source"))
         .select(
-            "d.doc_id", "d.source", "d.size", "d.source_size", "d.target",
-            (F.col("d.base") + F.when((F.col("d.base") < most) & (F.col("d.size") > 0) & up, 1).otherwise(0)).alias("copies"),
+            "d.doc_id", "d.source", "d.size", "p.source_size", "p.target",
+            copies(F.col("d.doc_id"), F.col("d.size"), "p", most, seed).alias("copies"),
         )
         .withColumn("taken", F.col("copies") * F.col("size"))
     )
 
 
+def mixed(docs: DataFrame, weights=WEIGHTS, most: int = 3, seed: int = SEED, id_col: str = "doc_id",
+          text_col: str = "text", source_col: str = "source") -> DataFrame:
+    """The rows of `docs`, each as often as the mix takes it."""
+    per = plan(docs, weights, most, seed, id_col, text_col, source_col)
+    n = copies(F.col(f"d.{id_col}"), word_count(F.col(f"d.{text_col}")), "p", most, seed)
+    return (
+        docs.alias("d").join(per.alias("p"), F.expr(f"d.{source_col} <=> p.source"))
+        .select("d.*", F.explode(F.array_repeat(F.lit(0), n.cast("int"))).alias("_copy"))
+        .drop("_copy")
+    )
+
+
 def _cuts(rated: DataFrame, most: int) -> DataFrame:
     """(source, cuts, lefts): a document is rounded up if in some round its size is at most the
     round's `left` and its key below the round's `cut`.

@@ -189,10 +189,9 @@ def _candidates(kind: str, spans: Column, base: bool) -> Column:
 CANDIDATE = "array<struct<kind:string,start:int,end:int,base:boolean,votes:array<int>>>"
 
 
-def candidates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(doc_id, found): every row's candidate spans with their votes."""
+def with_candidates(docs: DataFrame, text_col: str = "text", name: str = "found") -> DataFrame:
+    """`docs` with its rows' candidate spans and their votes in column `name`."""
     text = F.coalesce(F.col(text_col), F.lit(""))
-    digit = text.rlike("[0-9]")
     base = {
         "email": (EMAIL, F.contains(text, F.lit("@"))),
         "ip": (IP, text.rlike(r"[0-9]\.[0-9]")),
@@ -203,26 +202,27 @@ def candidates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
         "email": text.rlike(r"(?i)at[)\]}]"),
         "ip": text.rlike(r"[0-9A-Fa-f]:[0-9A-Fa-f]"),
         "phone": text.rlike(r"[0-9]{3}[\x20.-][0-9]{4}"),
-        "secret": digit,
+        "secret": text.rlike("[0-9]"),
     }
+    columns = docs.columns
     sure = docs.select(
-        F.col(id_col).alias("doc_id"), text.alias("text"),
-        *[_spans(text, pattern, may).alias(f"b_{k}") for k, (pattern, may) in base.items()],
-        *[_spans(text, LOOSE[k], may).alias(f"l_{k}") for k, may in loose.items()],
+        "*",
+        *[_spans(text, pattern, may).alias(f"__b_{k}") for k, (pattern, may) in base.items()],
+        *[_spans(text, LOOSE[k], may).alias(f"__l_{k}") for k, may in loose.items()],
     )
     voted = sure.select(
-        "doc_id",
-        F.concat(*[_candidates(k, F.col(f"b_{k}"), True) for k in base]).alias("b"),
-        F.concat(*[_candidates(k, F.col(f"l_{k}"), False) for k in loose]).alias("l"),
+        *columns,
+        F.concat(*[_candidates(k, F.col(f"__b_{k}"), True) for k in base]).alias("__b"),
+        F.concat(*[_candidates(k, F.col(f"__l_{k}"), False) for k in loose]).alias("__l"),
     )
-    firm = F.filter("b", lambda s: s["base"])
+    firm = F.filter("__b", lambda s: s["base"])
     # of base matches that fail their check only long digit groups remain candidates
-    failed = F.filter("b", lambda s: ~s["base"] & (s["kind"] == "card") & (s["end"] - s["start"] >= 12))
+    failed = F.filter("__b", lambda s: ~s["base"] & (s["kind"] == "card") & (s["end"] - s["start"] >= 12))
     rest = F.filter(
-        F.concat(failed, F.col("l")),
-        lambda s: ~F.exists("firm", lambda f: (f["start"] < s["end"]) & (s["start"] < f["end"])),
+        F.concat(failed, F.col("__l")),
+        lambda s: ~F.exists("__firm", lambda f: (f["start"] < s["end"]) & (s["start"] < f["end"])),
     )
-    return voted.withColumn("firm", firm).select("doc_id", F.concat("firm", rest).alias("found"))
+    return voted.withColumn("__firm", firm).select(*columns, F.concat("__firm", rest).alias(name))
 
 
 def aggregate_votes(patterns: list[tuple[str, tuple[int, ...], int]], rounds: int = EM_ROUNDS):
@@ -288,28 +288,55 @@ def _accept(s: Column, weights: np.ndarray) -> Column:
     return s["base"] | (z >= math.log(0.9 / 0.1))
 
 
-def find(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", carry: tuple = ()) -> DataFrame:
-    """(doc_id, base, spans): arrays of (start, order, kind, end), sorted; `spans` holds `base` and more."""
-    known = stored(candidates(docs, id_col, text_col), "pii-candidates")
+def fit(known: DataFrame, name: str = "found") -> np.ndarray:
+    """The span classifier's weights, from the candidates in column `name`."""
     counts = (
-        known.select(F.explode("found").alias("s")).groupBy("s.kind", "s.votes").agg(F.count(F.lit(1)).alias("n"))
+        known.select(F.explode(name).alias("s")).groupBy("s.kind", "s.votes").agg(F.count(F.lit(1)).alias("n"))
         .collect()  # one row for each pattern of votes that occurs
     )
     patterns = sorted((r.kind, tuple(r.votes), r.n) for r in counts)
-    if patterns:
-        p, _ = aggregate_votes(patterns)
-        weights = train_classifier(patterns, p)
-    else:
-        weights = np.zeros(len(_features(KINDS[0], [0] * 5)))
+    if not patterns:
+        return np.zeros(len(_features(KINDS[0], [0] * 5)))
+    return train_classifier(patterns, aggregate_votes(patterns)[0])
+
+
+def _placed(found: Column, keep) -> Column:
+    """The kept candidates as (start, order, kind, end), sorted."""
     order = F.create_map(*[x for i, k in enumerate(KINDS) for x in (F.lit(k), F.lit(i))])
+    return F.sort_array(
+        F.transform(
+            F.filter(found, keep),
+            lambda s: F.struct(
+                s["start"].alias("start"), order[s["kind"]].alias("order"), s["kind"].alias("kind"),
+                s["end"].alias("end"),
+            ),
+        )
+    )
 
-    def place(s: Column) -> Column:
-        return F.struct(s["start"].alias("start"), order[s["kind"]].alias("order"), s["kind"].alias("kind"), s["end"].alias("end"))
 
+def find(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """(doc_id, base, spans): arrays of (start, order, kind, end), sorted; `spans` holds `base` and more."""
+    rows = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
+    known = stored(with_candidates(rows).select("doc_id", "found"), "pii-candidates")
+    weights = fit(known)
     return known.select(
         "doc_id",
-        F.sort_array(F.transform(F.filter("found", lambda s: s["base"]), place)).alias("base"),
-        F.sort_array(F.transform(F.filter("found", lambda s: _accept(s, weights)), place)).alias("spans"),
+        _placed(F.col("found"), lambda s: s["base"]).alias("base"),
+        _placed(F.col("found"), lambda s: _accept(s, weights)).alias("spans"),
+    )
+
+
+def masked(docs: DataFrame, text_col: str = "text") -> DataFrame:
+    """The rows of `docs` with every span of their text replaced by its kind; null text stays null.
+
+    The texts are searched twice, once to fit the classifier and once to mask, and never shuffled.
+    """
+    weights = fit(with_candidates(docs.select(text_col), text_col))
+    found = with_candidates(docs, text_col, "__found").withColumn(
+        "__spans", _placed(F.col("__found"), lambda s: _accept(s, weights))
+    )
+    return found.select(
+        *[mask(F.col(c), F.col("__spans")).alias(c) if c == text_col else F.col(c) for c in docs.columns]
     )
 
 

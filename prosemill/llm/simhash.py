@@ -222,20 +222,50 @@ def links(nodes: DataFrame, distance: int = DISTANCE, block: int = BLOCK) -> Dat
     return dealt.mapInArrow(_linker(distance), "a long, b long").distinct()
 
 
+def _named(prints: DataFrame, distance: int) -> DataFrame:
+    """(fp, label, rep): the component of every distinct fingerprint, and its smallest id."""
+    nodes = stored(prints.groupBy("fp").agg(F.min("doc_id").alias("rep")), "simhash-nodes")
+    found = stored(links(nodes.select("fp"), distance), "simhash-links")
+    label = stored(components(found, "a", "b"), "simhash-labels")
+    return nodes.join(label.withColumnRenamed("node", "fp"), "fp", "left").select(
+        "fp", F.coalesce("label", "fp").alias("label"), "rep"
+    )
+
+
 def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, distance: int = DISTANCE,
                     id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(doc_id, fp, component_id): the smallest id that links reach from each row."""
     prints = stored(fingerprints(docs, shingle, id_col, text_col), "simhash-prints")
-    nodes = stored(prints.groupBy("fp").agg(F.min("doc_id").alias("rep")), "simhash-nodes")
-    found = stored(links(nodes.select("fp"), distance), "simhash-links")
-    label = stored(components(found, "a", "b"), "simhash-labels")
-    of_node = label.join(nodes.withColumnRenamed("fp", "node"), "node")
-    smallest = of_node.groupBy("label").agg(F.min("rep").alias("component_id"))
-    named = stored(
-        nodes.join(
-            of_node.select(F.col("node").alias("fp"), "label").join(smallest, "label").drop("label"),
-            "fp", "left",
-        ).select("fp", F.coalesce("component_id", "rep").alias("component_id")),
-        "simhash-named",
+    named = stored(_named(prints, distance), "simhash-named")
+    smallest = named.groupBy("label").agg(F.min("rep").alias("component_id"))
+    of_fp = stored(named.join(smallest, "label").select("fp", "component_id"), "simhash-components")
+    return prints.join(of_fp, "fp").select("doc_id", "fp", "component_id")
+
+
+def distinct_documents(docs: DataFrame, shingle: int = SHINGLE, distance: int = DISTANCE,
+                       id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """The rows of `docs` without near-duplicates: of each component the row with the smallest id.
+
+    Rows are numbered where they lie, so that of fully equal rows exactly one stays.
+    """
+    at = docs.columns.index(text_col)
+
+    def mark(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            prints = [fingerprint(t.as_py().encode(), shingle) if t.is_valid else 0 for t in batch.column(at)]
+            signed = pa.array(np.array(prints, np.uint64).view(np.int64))
+            yield pa.RecordBatch.from_arrays([*batch.columns, signed], names=[*batch.schema.names, "__fp"])
+
+    fields = docs.select("*", F.lit(0).cast("long").alias("__fp")).schema
+    marked = stored(
+        docs.mapInArrow(mark, fields).withColumn("__row", F.monotonically_increasing_id()), "simhash-rows"
+    )
+    prints = marked.select(F.col(id_col).cast("long").alias("doc_id"), F.col("__fp").alias("fp"), F.col("__row").alias("row"))
+    named = stored(_named(prints, distance).select("fp", "label"), "simhash-named")
+    order = F.struct(F.col("doc_id").isNull(), F.col("doc_id"), F.col("row"))
+    chosen = stored(
+        prints.groupBy("fp").agg(F.min(order).alias("first")).join(named, "fp")
+        .groupBy("label").agg(F.min("first").alias("first")).select(F.col("first.row").alias("__row")),
+        "simhash-chosen",
     )
-    return prints.join(named, "fp").select("doc_id", "fp", "component_id")
+    return marked.join(chosen, "__row", "left_semi").drop("__fp", "__row")
