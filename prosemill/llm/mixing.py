@@ -82,7 +82,9 @@ def tilts(counts: DataFrame, targets: DataFrame, most: float = MOST) -> DataFram
     """
     # scaled to the source's word-weighted mean size, a step of 1 is a factor e on a typical word
     scale = counts.groupBy("source").agg(
-        (F.sum(F.col("n") * F.col("size") * F.col("size")) / F.sum(F.col("n") * F.col("size"))).alias("unit")
+        F.try_divide(
+            F.sum(F.col("n") * F.col("size") * F.col("size")), F.sum(F.col("n") * F.col("size"))
+        ).alias("unit")
     )
     state = stored(
         targets.join(scale, targets.source.eqNullSafe(scale.source)).drop(scale.source)
