@@ -9,16 +9,10 @@ from pyspark.sql import functions as F
 
 from prosemill import dims
 from prosemill.functions import text as T
-from prosemill.sources.files import read_parquet
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
 
-KEYS = {
-    "documents": "doc_id", "conversations": "conv_id", "embeddings": "vec_id",
-    "orders": "o_orderkey", "customer": "c_custkey", "part": "p_partkey", "lineitem": "l_orderkey",
-}
-
 
 def query(name: str, sql: str | None = None):
     """Register a query under an operator's name, with its SQL if there is one."""
@@ -32,12 +26,12 @@ def query(name: str, sql: str | None = None):
     return register
 
 
-def table(spark: SparkSession, sf: str, name: str, spread: bool = False) -> DataFrame:
-    return read_parquet(spark, f"{sf}/{name}.parquet", KEYS.get(name) if spread else None)
+def table(spark: SparkSession, sf: str, name: str) -> DataFrame:
+    return spark.read.parquet(f"{sf}/{name}.parquet")
 
 
 def documents(spark: SparkSession, sf: str) -> DataFrame:
-    return table(spark, sf, "documents", spread=True)
+    return table(spark, sf, "documents")
 
 
 # --- the same building blocks as SQL text -------------------------------------

@@ -99,7 +99,7 @@ def standardize_dates(spark, sf):
         F.lit(", again "), F.year(d), F.lit("-"), F.month(d), F.lit("-"), F.dayofmonth(d),
         F.lit(" not 13/45/2020"),
     )
-    return table(spark, sf, "orders", True).select(
+    return table(spark, sf, "orders").select(
         "o_orderkey", T.standardize_dates(text).alias("result")
     )
 
@@ -116,7 +116,7 @@ def standardize_currency(spark, sf):
         F.lit(" per $"), F.col("l_quantity").cast("decimal(18,1)").cast("string"),
         F.lit(" units"),
     )
-    return table(spark, sf, "lineitem", True).select(
+    return table(spark, sf, "lineitem").select(
         "l_orderkey", "l_linenumber", "l_partkey", T.standardize_currency(text).alias("result")
     )
 
@@ -131,7 +131,7 @@ def expand_contractions(spark, sf):
         F.lit("They've said "), F.col("c_name"), F.lit(" can't pay, it’s late; we won't "),
         F.lit("wait, you'd know: "), F.col("c_mktsegment"), F.lit(" isn't fun"),
     )
-    return table(spark, sf, "customer", True).select(
+    return table(spark, sf, "customer").select(
         "c_custkey", T.expand_contractions(T.lower_text(text)).alias("result")
     )
 
@@ -152,7 +152,7 @@ _SPELL = """
   near AS (
     SELECT DISTINCT a.word, b.word AS candidate, b.n
     FROM keyed a JOIN keyed b ON a.key = b.key
-    WHERE a.n < 5 AND b.n >= 5 AND length(a.word) >= 3
+    WHERE a.n < 5 AND b.n >= 5
       AND damerau_levenshtein_chars(a.word, b.word)),
   fixes AS (
     SELECT word, candidate AS corrected FROM near

@@ -35,7 +35,7 @@ def read_csv(spark, sf):
 def write_csv(spark, sf):
     path = scratch_path(spark, "vectors-csv")
     files.write_csv(
-        table(spark, sf, "embeddings", True).select("vec_id", "label", "embedding"), path, "embedding", 64
+        table(spark, sf, "embeddings").select("vec_id", "label", "embedding"), path, "embedding", 64
     )
     names = ", ".join(f"w2v_emb_{i} float" for i in range(64))
     back = files.read_csv(spark, path, f"vec_id long, label int, {names}")
@@ -73,20 +73,19 @@ def read_jsonl_many(spark, sf):
         F.col("lang").alias("part"),
     )
     rows.write.partitionBy("part").json(path)
-    parts = [f"{path}/part={lang}" for lang in ("de", "en", "es", "fr")]
-    read = files.read_jsonl_many(spark, parts)
+    read = files.read_jsonl_many(spark, [f"{path}/part=*"])
     # Spark names its own part files, so here the folder carries the category
-    folder = F.regexp_extract(F.col("_metadata.file_path"), "part=([^/]+)/", 1)
-    return read.withColumn("category", folder)
+    folder = F.url_decode(F.regexp_extract(F.col("_metadata.file_path"), "part=([^/]+)/", 1))
+    return read.withColumn("category", F.nullif(folder, F.lit("__HIVE_DEFAULT_PARTITION__")))
 
 
 @query(
     "read_volumes",
-    "SELECT CAST(doc_id AS INTEGER) AS volume, text FROM documents WHERE length(text) > 0",
+    "SELECT CAST(doc_id AS INTEGER) AS volume, coalesce(text, '') AS text FROM documents",
 )
 def read_volumes(spark, sf):
     path = scratch_path(spark, "volumes")
-    docs = documents(spark, sf).where(F.length("text") > 0)
+    docs = documents(spark, sf).withColumn("text", F.coalesce("text", F.lit("")))
     # one file per document, French and Spanish ones as ISO-8859-1 where possible;
     # the text sink writes the bytes of the string as they are and ends the line
     latin = F.col("text").rlike(r"^[\x{0}-\x{ff}]*$") & F.col("lang").isin("fr", "es")
@@ -176,7 +175,7 @@ SQL_REVIEWS = f"SELECT o_orderkey, {_OVERALL} AS overall, o_totalprice FROM orde
 
 
 def reviews(spark, sf):
-    return table(spark, sf, "orders", True).select(
+    return table(spark, sf, "orders").select(
         "o_orderkey", F.substring("o_orderpriority", 1, 1).cast("double").alias("overall"), "o_totalprice"
     )
 
@@ -420,7 +419,7 @@ def sample_n(spark, sf):
 )
 def sample_fraction(spark, sf):
     return sampling.sample_fraction(
-        table(spark, sf, "orders", True).select("o_orderkey", "o_totalprice"), "o_orderkey", 0.5
+        table(spark, sf, "orders").select("o_orderkey", "o_totalprice"), "o_orderkey", 0.5
     )
 
 
@@ -441,7 +440,7 @@ def balance_classes(spark, sf):
       <= ceil(0.25 * (SELECT count(*) FROM orders)) THEN 'test' ELSE 'train' END AS split FROM orders""",
 )
 def train_test_split(spark, sf):
-    return sampling.train_test_split(table(spark, sf, "orders", True).select("o_orderkey"), "o_orderkey", 0.25)
+    return sampling.train_test_split(table(spark, sf, "orders").select("o_orderkey"), "o_orderkey", 0.25)
 
 
 @query(

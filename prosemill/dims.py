@@ -73,16 +73,32 @@ STATES = {
     "WV": "West Virginia", "WY": "Wyoming",
 }
 
-# A starter gazetteer of large US cities.  The full gazetteer is
-# a parameter: pass any DataFrame with a `name` column.
+# A starter gazetteer of one-word US cities.  The full gazetteer
+# is a parameter: pass any DataFrame with a `name` column.
 CITIES = """
-Albuquerque Anaheim Anchorage Arlington Atlanta Aurora Austin Bakersfield
-Baltimore Boise Boston Buffalo Chandler Charlotte Chicago Cincinnati Cleveland
-Columbus Dallas Denver Detroit Durham Fresno Henderson Honolulu Houston
-Indianapolis Irvine Jacksonville Laredo Lexington Lincoln Lubbock Madison
-Memphis Mesa Miami Milwaukee Minneapolis Nashville Newark Norfolk Oakland Omaha
-Orlando Philadelphia Phoenix Pittsburgh Plano Portland Raleigh Reno Richmond
-Riverside Sacramento Seattle Spokane Stockton Tampa Toledo Tucson Tulsa Wichita
+Aberdeen Abilene Akron Albany Albuquerque Alexandria Allentown Amarillo Anaheim
+Anchorage Antioch Arlington Arvada Asheville Athens Atlanta Augusta Aurora Austin
+Bakersfield Baltimore Beaumont Bellevue Berkeley Billings Birmingham Bloomington
+Boise Boston Boulder Bridgeport Brockton Brownsville Buffalo Burbank Cambridge
+Carlsbad Carrollton Cary Chandler Charleston Charlotte Chattanooga Chesapeake
+Chicago Cincinnati Clarksville Clearwater Cleveland Columbia Columbus Concord
+Corona Dallas Davenport Dayton Denton Denver Detroit Duluth Durham Elgin
+Elizabeth Erie Escondido Eugene Evansville Everett Fairfield Fargo Fayetteville
+Flint Fontana Fremont Fresno Frisco Fullerton Gainesville Garland Gilbert
+Glendale Greensboro Greenville Hampton Hartford Hayward Henderson Hialeah
+Hollywood Honolulu Houston Huntsville Independence Indianapolis Inglewood Irvine
+Irving Jackson Jacksonville Joliet Killeen Knoxville Lafayette Lakeland Lakewood
+Lancaster Lansing Laredo Lewisville Lexington Lincoln Louisville Lowell Lubbock
+Macon Madison Manchester McAllen McKinney Memphis Mesa Mesquite Miami Midland
+Milwaukee Minneapolis Miramar Mobile Modesto Montgomery Murfreesboro Naperville
+Nashville Newark Norfolk Norman Oakland Oceanside Odessa Omaha Ontario Orange
+Orlando Oxnard Palmdale Pasadena Paterson Peoria Philadelphia Phoenix Pittsburgh
+Plano Pomona Portland Providence Provo Pueblo Raleigh Reno Richardson Richmond
+Riverside Rochester Rockford Roseville Sacramento Salem Salinas Savannah
+Scottsdale Seattle Shreveport Spokane Springfield Stamford Stockton Sunnyvale
+Syracuse Tacoma Tallahassee Tampa Temecula Tempe Toledo Topeka Torrance Tucson
+Tulsa Vallejo Ventura Visalia Waco Warren Waterbury Wichita Wilmington Worcester
+Yonkers
 """.split()
 
 # The 25 health conditions counted per volume.
@@ -96,6 +112,16 @@ CONDITIONS = [
     "Dengue fever", "Hepatitis", "Epilepsy", "Multiple sclerosis",
 ]
 
+# The literals counted for a condition (in any case, without word
+# boundaries) where they are not the condition's own name.
+CONDITION_LITERALS = {
+    "Respiratory diseases": ["Respiratory disease"],
+    "Influenza and Pneumonia": ["Influenza", "Pneumonia"],
+    "Kidney diseases": ["Kidney disease"],
+    "Accidents/injuries": ["Accidents", "injuries"],
+    "Dengue fever": ["Dengue"],
+}
+
 # News categories by group; categories not listed keep their name.
 CATEGORY_GROUPS = {
     "LIFESTYLE": ["WELLNESS", "HEALTHY LIVING", "HOME & LIVING", "STYLE & BEAUTY", "STYLE"],

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -124,17 +124,8 @@ def count_literal(c: Column, term: str, folded: bool = False) -> Column:
     return (saved / F.lit(len(needle.encode()))).cast("int")
 
 
-def parse_condition(condition: str) -> list[str]:
-    """The literals whose counts make up a condition.
-
-    Plurals are folded to `disease`; conditions joined by `/` (longer than nine
-    characters) or by `and` are counted by part; dengue counts without `fever`.
-    """
-    folded = condition.replace("diseases", "disease")
-    if "/" in folded and len(folded) > 9:
-        separator = "/"
-    elif "and" in folded:
-        separator = "and"
-    else:
-        return ["Dengue"] if "Dengue" in folded else [folded]
-    return [part.strip() for part in folded.split(separator)[:2]]
+def condition_literals(
+    condition: str, literals: Mapping[str, Sequence[str]] = dims.CONDITION_LITERALS
+) -> list[str]:
+    """The literals whose counts make up a condition: those listed for it, else its name."""
+    return list(literals.get(condition, [condition]))

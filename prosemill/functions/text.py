@@ -147,8 +147,12 @@ def standardize_currency(c: Column) -> Column:
 
 
 def standardize_thousands(c: Column) -> Column:
-    """A comma every three digits in digit runs of four or more."""
-    return F.regexp_replace(c, rf"({DIGIT}{{1,3}})(?=({DIGIT}{{3}})+(?!{DIGIT}))", "$1,")
+    """A comma every three digits in digit runs of four or more: each run once, from its end."""
+
+    def grouped(run: Column) -> Column:
+        return F.reverse(F.regexp_replace(F.reverse(run), rf"({DIGIT}{{3}})(?={DIGIT})", "$1,"))
+
+    return replace_matches(c, DIGIT + "{4,}", grouped)
 
 
 def standardize_decimals(c: Column) -> Column:

@@ -77,12 +77,25 @@ def extract_entities(
     return found.select(id_col, *[f"`{c}`" for c in dims.ENTITY_COLUMNS])
 
 
-def _count_columns(text: str, conditions: Sequence[str]):
+Literals = Mapping[str, Sequence[str]]
+
+
+def parse_condition(
+    spark: SparkSession, conditions: Sequence[str] = tuple(dims.CONDITIONS),
+    literals: Literals = dims.CONDITION_LITERALS,
+) -> DataFrame:
+    """(condition, part): one row per literal that is counted for a condition."""
+    rows = [(c, p) for c in conditions for p in E.condition_literals(c, literals)]
+    return spark.createDataFrame(rows, "condition string, part string")
+
+
+def _count_columns(text: str, conditions: Sequence[str], literals: Literals):
     """Per row, one count per condition, over text folded once."""
     counts = []
     for condition in conditions:
         parts = [
-            E.count_literal(F.col("_folded"), p, folded=True) for p in E.parse_condition(condition)
+            E.count_literal(F.col(text), p, folded=True)
+            for p in E.condition_literals(condition, literals)
         ]
         total = parts[0]
         for p in parts[1:]:
@@ -92,7 +105,8 @@ def _count_columns(text: str, conditions: Sequence[str]):
 
 
 def condition_pivot(
-    df: DataFrame, volume: str, text: str, conditions: Sequence[str] = tuple(dims.CONDITIONS)
+    df: DataFrame, volume: str, text: str, conditions: Sequence[str] = tuple(dims.CONDITIONS),
+    literals: Literals = dims.CONDITION_LITERALS,
 ) -> DataFrame:
     """(volume, one count column per condition).
 
@@ -102,16 +116,17 @@ def condition_pivot(
     folded = df.select(volume, E.fold_case(F.col(text)).alias("_folded"))
     sums = [
         F.sum(c).alias(condition)
-        for c, condition in zip(_count_columns("_folded", conditions), conditions)
+        for c, condition in zip(_count_columns("_folded", conditions, literals), conditions)
     ]
     return folded.groupBy(volume).agg(*sums)
 
 
 def condition_counts(
-    df: DataFrame, volume: str, text: str, conditions: Sequence[str] = tuple(dims.CONDITIONS)
+    df: DataFrame, volume: str, text: str, conditions: Sequence[str] = tuple(dims.CONDITIONS),
+    literals: Literals = dims.CONDITION_LITERALS,
 ) -> DataFrame:
     """(volume, condition, n): the long form of `condition_pivot`."""
-    wide = condition_pivot(df, volume, text, conditions)
+    wide = condition_pivot(df, volume, text, conditions, literals)
     entries = [
         F.struct(F.lit(c).alias("condition"), F.coalesce(F.col(f"`{c}`"), F.lit(0)).alias("n"))
         for c in conditions

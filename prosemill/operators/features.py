@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator, Sequence
+from collections.abc import Sequence
 
 import numpy as np
 import pandas as pd
@@ -11,21 +11,22 @@ from pyspark.ml.feature import (
     PCA,
     CountVectorizerModel,
     ElementwiseProduct,
-    IndexToString,
     Normalizer,
     StandardScaler,
-    StringIndexer,
 )
-from pyspark.ml.functions import array_to_vector, vector_to_array
+from pyspark.ml.functions import array_to_vector
 from pyspark.ml.linalg import Vectors
 from pyspark.ml.stat import Summarizer
+from pyspark.mllib.linalg.distributed import RowMatrix
+from pyspark.mllib.util import MLUtils
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from prosemill import dims
 from prosemill.functions.text import drop_stopwords, tokenize_terms
-from prosemill.operators.scaling import with_position
+from prosemill.operators.scaling import lookup_join, with_position
 from prosemill.operators.terms import document_frequency
+from prosemill.session import cut_lineage
 
 
 def tfidf_features(
@@ -34,25 +35,22 @@ def tfidf_features(
     stop: Sequence[str] = dims.STOP_WORDS,
     min_df: float | int = 0.01,
     max_df: float | int = 0.85,
-    max_terms: int = 1 << 18,
     out: str = "features",
 ) -> tuple[DataFrame, PipelineModel]:
     """`df` with a sparse unit-length TF-IDF vector, and the fitted stages.
 
-    The vocabulary and its document frequencies come from one aggregation; an
-    error is raised if more than `max_terms` terms pass the cuts, since the model
-    holds them.  Transforming is one pass without a shuffle.
+    The vocabulary and its document frequencies come from one aggregation.  The
+    model holds it, as Spark's own does; with a fractional `min_df` it is at most
+    (distinct terms per document) / min_df terms, whatever the corpus.
+    Transforming is one pass without a shuffle.
     """
     tokens = drop_stopwords(tokenize_terms(F.lower(text)), stop)
     docs = df.count()
     kept = (
         document_frequency(df, tokens, min_df, max_df)
         .orderBy(F.desc("df"), "term")
-        .limit(max_terms + 1)
         .collect()
     )
-    if len(kept) > max_terms:
-        raise ValueError(f"more than {max_terms} terms pass the document-frequency cuts")
     if not kept:
         raise ValueError("no term passes the document-frequency cuts")
     idf = np.log((1.0 + docs) / (1.0 + np.array([r.df for r in kept]))) + 1.0
@@ -71,10 +69,6 @@ def as_vector(df: DataFrame, col: str, out: str = "features") -> DataFrame:
     return df.withColumn(out, array_to_vector(F.col(col).cast("array<double>")))
 
 
-def l2_normalize_features(df: DataFrame, col: str = "features", out: str = "unit") -> DataFrame:
-    return Normalizer(p=2.0, inputCol=col, outputCol=out).transform(df)
-
-
 def pca(df: DataFrame, col: str = "features", k: int = 55, out: str = "pca") -> tuple[DataFrame, PipelineModel]:
     """`df` with k centred principal components, and the fitted stages."""
     centre = StandardScaler(withMean=True, withStd=False, inputCol=col, outputCol="_centred")
@@ -82,123 +76,91 @@ def pca(df: DataFrame, col: str = "features", k: int = 55, out: str = "pca") ->
     return model.transform(df).drop("_centred"), model
 
 
-def _times(df: DataFrame, col: str, basis: np.ndarray) -> np.ndarray:
-    """(A^T A) basis, summed from one partial product per task.
+def svd_basis(df: DataFrame, col: str, k: int) -> tuple[np.ndarray, np.ndarray]:
+    """(singular values, right singular vectors d x k) by Spark's distributed Lanczos iteration.
 
-    Every task sends one block of rows (one per feature) of partial sums; Spark
-    adds them by feature.  Basis and result have (features x components) numbers.
+    Products with the sparse rows run in the JVM; the driver holds vectors of
+    one number per feature.
     """
-    wide = basis.shape[1]
-
-    def partial(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        total = np.zeros_like(basis)
-        for pdf in batches:
-            counts = np.array([len(x) for x in pdf["i"]])
-            if not counts.sum():
-                continue
-            filled = counts[counts > 0]
-            at = np.concatenate(pdf["i"].to_list()).astype("int64")
-            v = np.concatenate(pdf["v"].to_list())[:, None]
-            y = np.add.reduceat(v * basis[at], np.cumsum(filled) - filled, axis=0)
-            np.add.at(total, at, v * np.repeat(y, filled, axis=0))
-        touched = np.flatnonzero(np.abs(total).sum(axis=1))
-        yield pd.DataFrame({"feature": touched.astype("int32"), "part": list(total[touched])})
-
-    sums = (
-        _sparse_parts(df, col)
-        .mapInPandas(partial, "feature int, part array<double>")
-        .groupBy("feature")
-        .agg(*[F.sum(F.get("part", F.lit(j))).alias(f"c{j}") for j in range(wide)])
-        .collect()
-    )
-    out = np.zeros_like(basis)
-    for r in sums:
-        out[r[0]] = r[1:]
-    return out
-
-
-def _nonzero(col: str) -> Column:
-    """array<struct<i, v>> of the non-zero elements."""
-    pairs = F.transform(vector_to_array(col), lambda x, i: F.struct(i.alias("i"), x.alias("v")))
-    return F.filter(pairs, lambda p: p["v"] != 0)
-
-
-def _sparse_parts(df: DataFrame, col: str) -> DataFrame:
-    """(i array<int>, v array<double>): positions and values of the non-zero elements."""
-    return df.select(_nonzero(col).alias("p")).select(F.col("p.i").alias("i"), F.col("p.v").alias("v"))
-
-
-def svd_basis(
-    df: DataFrame, col: str, k: int, rounds: int = 6, extra: int = 10, seed: int = 42
-) -> tuple[np.ndarray, np.ndarray]:
-    """(singular values, right singular vectors d x k) by subspace iteration.
-
-    Randomised range finder with power rounds (Halko, Martinsson and Tropp
-    2011): each round is one pass over the data; the driver only factors
-    matrices of (features x components).
-    """
-    d = df.select(col).first()[0].size
-    width = min(d, k + extra)
-    basis, _ = np.linalg.qr(np.random.default_rng(seed).standard_normal((d, width)))
-    data = df.select(col).persist()
+    rows = MLUtils.convertVectorColumnsFromML(df.select(col), col).persist()
     try:
-        for _ in range(rounds):
-            basis, _ = np.linalg.qr(_times(data, col, basis))
-        small = basis.T @ _times(data, col, basis)
+        svd = RowMatrix(rows).computeSVD(k, computeU=False)
+        return svd.s.toArray(), svd.V.toArray()
     finally:
-        data.unpersist()
-    values, vectors = np.linalg.eigh((small + small.T) / 2)
-    top = np.argsort(values)[::-1][:k]
-    return np.sqrt(np.maximum(values[top], 0)), basis @ vectors[:, top]
+        rows.unpersist()
 
 
 def truncated_svd(
-    df: DataFrame, col: str = "features", k: int = 12, out: str = "svd", **options
+    df: DataFrame, col: str = "features", k: int = 12, out: str = "svd"
 ) -> tuple[DataFrame, np.ndarray]:
     """`df` with k uncentred components (array<double>), and the variance share of each.
 
     The share is the variance of a component over the total variance of the
     features, both centred, as usual for this method.
     """
-    _, basis = svd_basis(df, col, k, **options)
+    _, basis = svd_basis(df, col, k)
+    found = basis.shape[1]
 
     @F.pandas_udf("array<double>")
     def project(i: pd.Series, v: pd.Series) -> pd.Series:
-        return pd.Series([(b @ basis[a]) if len(a) else np.zeros(k) for a, b in zip(i, v)])
-
-    reduced = (
-        df.withColumn("_p", _nonzero(col))
-        .withColumn(out, project(F.col("_p.i"), F.col("_p.v")))
-        .drop("_p")
+        counts = np.array([len(x) for x in i], dtype=np.int64)
+        out = np.zeros((len(i), found))
+        full = np.flatnonzero(counts)
+        if len(full):
+            at = np.concatenate(i[full].to_list()).astype(np.int64)
+            parts = np.concatenate(v[full].to_list())[:, None] * basis[at]
+            out[full] = np.add.reduceat(parts, np.cumsum(counts[full]) - counts[full], axis=0)
+        return pd.Series(list(out))
+
+    # the stored form of a vector: a dense one has no indices
+    raw = F.unwrap_udt(col)
+    values = raw["values"]
+    at = F.coalesce(raw["indices"], F.sequence(F.lit(0), F.size(values) - 1))
+    some = F.size(values) > 0
+    reduced = df.withColumn(
+        out,
+        project(
+            F.when(some, at).otherwise(F.array().cast("array<int>")),
+            F.when(some, values).otherwise(F.array().cast("array<double>")),
+        ),
     )
     total = df.agg(Summarizer.variance(F.col(col)).alias("v")).first()[0].toArray().sum()
-    parts = reduced.agg(
-        *[F.var_samp(F.get(out, F.lit(j))) for j in range(basis.shape[1])]
-    ).first()
+    parts = reduced.agg(*[F.var_samp(F.get(out, F.lit(j))) for j in range(found)]).first()
     return reduced, np.array([x or 0.0 for x in parts]) / (total or 1.0)
 
 
-def cumulative_variance(df: DataFrame, col: str = "features", max_k: int = 233, **options) -> DataFrame:
-    """(n, share): variance share of the first n components, from one fit."""
-    _, shares = truncated_svd(df, col, max_k, **options)
+def cumulative_variance(df: DataFrame, col: str = "features", max_k: int = 233) -> DataFrame:
+    """(n, share): variance share of the first n components, from one fit.
+
+    `max_k` is at most the number of features; fewer are found in data of lower rank.
+    """
+    wide = df.select(col).first()[0].size
+    _, shares = truncated_svd(df, col, min(max_k, wide))
     rows = [(n + 1, float(s)) for n, s in enumerate(np.cumsum(shares))]
     return df.sparkSession.createDataFrame(rows, "n int, share double")
 
 
-def label_encode(df: DataFrame, col: str, out: str) -> tuple[DataFrame, object]:
-    """`df` with the alphabetical number of each label, and the fitted indexer."""
-    model = StringIndexer(
-        inputCol=col, outputCol=out, stringOrderType="alphabetAsc", handleInvalid="error"
-    ).fit(df)
-    return model.transform(df).withColumn(out, F.col(out).cast("int")), model
+def label_encode(df: DataFrame, col: str, out: str) -> tuple[DataFrame, DataFrame]:
+    """`df` with the alphabetical number of each label, and the (label, code) table.
+
+    Distinct labels are numbered by a distributed sort and looked up by a join
+    that broadcasts them if they are few.  Rows without a label are an error.
+    """
+    codes = cut_lineage(label_table(df, col).withColumn("code", F.col("code").cast("int")))
+    named = codes.select(F.col("label").alias(col), F.col("code").alias("_code"))
+    coded = lookup_join(df, named, col, "left")
+    known = F.coalesce("_code", F.raise_error(F.lit(f"{col}: a row without a label")).cast("int"))
+    return coded.withColumn(out, known).drop("_code").select(*df.columns, out), codes
 
 
-def label_decode(df: DataFrame, col: str, out: str, model) -> DataFrame:
+def label_decode(df: DataFrame, col: str, out: str, codes: DataFrame) -> DataFrame:
     """`df` with the label of each number."""
-    numbered = df.withColumn("_code", F.col(col).cast("double"))
-    return IndexToString(inputCol="_code", outputCol=out, labels=model.labels).transform(numbered).drop("_code")
+    named = codes.select(F.col("code").alias("_code"), F.col("label").alias("_label"))
+    rows = df.withColumn("_code", F.col(col).cast("int"))
+    return lookup_join(rows, named, "_code", "left").withColumn(out, F.col("_label")).drop("_code", "_label")
 
 
 def label_table(df: DataFrame, col: str) -> DataFrame:
-    """(label, code): distinct labels numbered alphabetically, for very many labels."""
-    return with_position(df.select(F.col(col).alias("label")).distinct(), [F.col("label")], "code")
+    """(label, code): distinct labels numbered alphabetically."""
+    labels = df.select(F.col(col).alias("label")).where(F.col(col).isNotNull()).distinct()
+    return with_position(labels, [F.col("label")], "code")

@@ -19,9 +19,10 @@ from pyspark.ml.feature import OneHotEncoder
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from prosemill.operators.neighbours import silhouette as exact_silhouette
-from prosemill.operators.sampling import fold_of, sample_n
+from prosemill.operators.sampling import fold_of
 from prosemill.operators.scaling import nth_smallest
 from prosemill.session import cut_lineage
 
@@ -36,6 +37,7 @@ def logistic_regression(
     reg = 0.0 if c is None else 1.0 / (c * max(train.count(), 1))
     return LogisticRegression(
         family="multinomial", maxIter=max_iter, regParam=reg, elasticNetParam=l1_ratio,
+        standardization=False,
         labelCol=label, featuresCol=features,
     ).fit(train)
 
@@ -254,7 +256,7 @@ def _silhouette(df: DataFrame, features: str, metric: str) -> float:
 
 def sweep_k_gmm(
     df: DataFrame, id_col: str, ks: Sequence[int] = tuple(range(2, 11)), features: str = "features",
-    folds: int = 5, metric: str = "squaredEuclidean", **options,
+    folds: int = 5, metric: str = "euclidean", **options,
 ) -> DataFrame:
     """(k, cv_likelihood, silhouette, bic, log_bic): one fit per k and fold, cached input."""
     data = df.select(id_col, features).persist()
@@ -279,9 +281,9 @@ def sweep_k_gmm(
 
 def sweep_k_kmeans(
     df: DataFrame, id_col: str, ks: Sequence[int] = tuple(range(4, 13)), features: str = "features",
-    metric: str = "squaredEuclidean", **options,
+    metric: str = "euclidean", **options,
 ) -> DataFrame:
-    """(k, silhouette)."""
+    """(k, silhouette): Euclidean, which compares every two distinct rows, or squaredEuclidean in one pass."""
     data = df.select(id_col, features).persist()
     try:
         rows = [
@@ -331,34 +333,42 @@ def _average_path(n: np.ndarray) -> np.ndarray:
 
 def isolation_forest(
     df: DataFrame, id_col: str, vec_col: str, contamination: float = 0.025, trees: int = 100,
-    sample: int = 256, pool: int = 8192, seed: int = 42,
+    sample: int = 256, seed: int = 42,
 ) -> DataFrame:
     """(id, score, outlier): isolation scores; the `contamination` share of highest scores is flagged.
 
-    The trees are grown in tasks from a pool of at most `pool` rows chosen by id
-    hash, each from `sample` of them, so training data and forest have a fixed
-    size.  Scoring maps over the rows; the cut is an exact order statistic.
+    Every tree draws its own `sample` rows of the whole table, the smallest by a
+    hash of (id, tree): one scan finds a few more than that for all trees, and
+    each tree is grown in a task of its own.  The forest (at most trees x 2 sample
+    nodes) goes to the tasks that score; the cut is an exact order statistic.
     """
-    spark = df.sparkSession
     data = df.select(F.col(id_col), F.col(vec_col).cast("array<double>").alias("vec"))
-    chosen = np.array([r.vec for r in sample_n(data, id_col, pool, seed).orderBy(id_col).collect()])
-    take = min(sample, len(chosen))
+    n = data.count()
+    take = min(sample, n)
     limit = int(np.ceil(np.log2(max(take, 2))))
+    # twice the rows wanted by a hash of 40 bits; all rows of a small table
+    draw = F.transform(
+        F.sequence(F.lit(0), F.lit(trees - 1)),
+        lambda t: F.struct(t.alias("tree"), F.pmod(F.xxhash64(F.lit(seed), F.col(id_col), t), F.lit(1 << 40)).alias("draw")),
+    )
+    few = (1 << 40) if n <= 4 * sample else int((1 << 40) * min(1.0, (2 * sample + 64) / n))
+    drawn = data.select(
+        F.col(id_col).alias("id"), "vec", F.inline(F.filter(draw, lambda d: d["draw"] < few))
+    )
+    first = F.row_number().over(Window.partitionBy("tree").orderBy("draw", "id"))
+    chosen = drawn.withColumn("place", first).where(F.col("place") <= take).drop("draw")
 
-    def build(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for pdf in batches:
-            out = []
-            for t in pdf["id"]:
-                rng = np.random.default_rng([seed, int(t)])
-                out.append((int(t), *_grow(chosen[rng.choice(len(chosen), take, False)], rng, limit)))
-            yield pd.DataFrame(out, columns=["tree", "feature", "cut", "left", "right", "size"])
+    def build(pdf: pd.DataFrame) -> pd.DataFrame:
+        tree = int(pdf["tree"].iloc[0])
+        x = np.stack(pdf.sort_values("place")["vec"].to_numpy())
+        grown = _grow(x, np.random.default_rng([seed, tree]), limit)
+        return pd.DataFrame([(tree, *grown)], columns=["tree", "feature", "cut", "left", "right", "size"])
 
     schema = ("tree int, feature array<int>, cut array<double>, left array<int>, "
               "right array<int>, size array<int>")
-    slots = max(1, min(trees, spark.sparkContext.defaultParallelism))
     forest = [
         tuple(np.array(a) for a in r[1:])
-        for r in spark.range(0, trees, 1, slots).mapInPandas(build, schema).orderBy("tree").collect()
+        for r in chosen.groupBy("tree").applyInPandas(build, schema).orderBy("tree").collect()
     ]
     usual = float(_average_path(np.array([take]))[0]) or 1.0
 
@@ -378,10 +388,9 @@ def isolation_forest(
                 at = np.where(inner, np.where(go_left, left[at], right[at]), at)
                 depth += inner
             total += depth + _average_path(size[at])
-        return pd.Series(2.0 ** (-total / len(forest) / usual))
+        return pd.Series(2.0 ** (-total / max(len(forest), 1) / usual))
 
     scored = cut_lineage(data.select(id_col, F.round(score("vec"), 12).alias("score")))
-    n = scored.count()
     flagged = int(round(contamination * n))
     if flagged == 0:
         return scored.withColumn("outlier", F.lit(False))

@@ -89,7 +89,7 @@ def knn_graph(
         .select("key", "list")
     )
     lists = cut_lineage(lists)
-    mine = lookup_join(rows.select("id", "key"), lists, "key", max_rows=100_000).select(
+    mine = lookup_join(rows.select("id", "key"), lists, "key").select(
         "id",
         F.posexplode(
             F.slice(F.filter("list", lambda x: x["nbr"] != F.col("id")), 1, k)

@@ -1,7 +1,7 @@
 """Joins, ranks and selections that hold up under skew and size.
 
-* `lookup_join` broadcasts the looked-up side only after its size was checked
-  and otherwise salts the keys that hold a large share of the rows;
+* `lookup_join` broadcasts the looked-up side only after its bytes were counted
+  and otherwise salts the keys that hold more rows than a task should;
 * `with_position` numbers rows in a global order without a single-task window;
 * `nth_smallest` finds an order statistic from histograms, without a sort.
 """
@@ -12,27 +12,43 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
-from prosemill.session import cut_lineage
+from prosemill.session import cut_lineage, frozen
 
-# A dimension of at most this many (narrow) rows is broadcast.
-BROADCAST_ROWS = 1_000_000
-# A key with more than this share of the rows is salted (so at most 1/share keys).
-HOT_SHARE = 0.001
-SALTS = 64
+# A dimension of at most this many bytes is broadcast.
+BROADCAST_BYTES = 64 << 20
+# A key with more rows than this is split over tasks of about as many rows.
+TASK_ROWS = 2_000_000
 
 
-def fits_broadcast(df: DataFrame, max_rows: int = BROADCAST_ROWS) -> bool:
-    """Whether `df` has at most `max_rows` rows; reads no more than that."""
-    return df.limit(max_rows + 1).count() <= max_rows
+def _width(df: DataFrame) -> Column:
+    """The bytes of a row, about: its strings and numbers and 16 for the row."""
+    total = F.lit(16)
+    for f in df.schema.fields:
+        c = F.col(f"`{f.name}`")
+        if isinstance(f.dataType, T.StringType):
+            part = F.octet_length(c)
+        elif isinstance(f.dataType, T.ArrayType):
+            part = 8 * F.size(c)
+        else:
+            part = F.lit(8)
+        total = total + F.coalesce(part, F.lit(0))
+    return total.cast("long")
+
+
+def table_bytes(df: DataFrame) -> int:
+    """The bytes of all rows, about; each task sends one number."""
+    return df.agg(F.sum(_width(df))).first()[0] or 0
 
 
-def hot_keys(df: DataFrame, key: str, share: float = HOT_SHARE) -> DataFrame:
-    """Keys with more than `share` of the rows: at most 1/share of them."""
+def hot_keys(df: DataFrame, key: str, task_rows: int = TASK_ROWS) -> DataFrame:
+    """(key, salts): keys with more than `task_rows` rows, and the tasks they are to fill."""
     n = df.groupBy(key).agg(F.count(F.lit(1)).alias("n"))
-    total = n.agg(F.sum("n").alias("n")).scalar()
-    return n.where(F.col(key).isNotNull() & (F.col("n") > F.lit(share) * total)).select(key)
+    return n.where(F.col(key).isNotNull() & (F.col("n") > task_rows)).select(
+        key, F.ceil(F.col("n") / F.lit(task_rows)).cast("int").alias("_salts")
+    )
 
 
 def lookup_join(
@@ -40,41 +56,37 @@ def lookup_join(
     dim: DataFrame,
     key: str,
     how: str = "inner",
-    max_rows: int = BROADCAST_ROWS,
-    share: float = HOT_SHARE,
-    salts: int = SALTS,
+    max_bytes: int = BROADCAST_BYTES,
+    task_rows: int = TASK_ROWS,
 ) -> DataFrame:
     """Join rows with a dimension that is unique on `key` (inner, left, left_semi, left_anti).
 
-    A dimension checked to be small is broadcast (the check reads it, so hand in
-    a table or a checkpointed result, not a long computation).  Otherwise both sides shuffle:
-    rows of hot keys (and rows without a key) spread over `salts` partitions by
-    the hash of the whole row, and only the matching (at most salts/share)
-    dimension rows are copied.
+    The dimension's bytes are summed in its tasks first (hand in a table or a
+    stored result, not a long computation); up to `max_bytes` it is broadcast.
+    Beyond that both sides shuffle.  The rows of a key are counted map-side, and
+    a key with more than `task_rows` of them is dealt over as many tasks as that
+    takes, by the hash of the whole row; its one dimension row is copied to each.
+    Rows without a key match nothing and are dealt over all tasks.
     """
-    if fits_broadcast(dim.select(key), max_rows):
+    if table_bytes(dim.select(key) if how in ("left_semi", "left_anti") else dim) <= max_bytes:
         return rows.join(F.broadcast(dim), key, how)
-    hot = F.broadcast(hot_keys(rows, key, share).withColumn("_hot", F.lit(True)))
-    spread = F.pmod(F.xxhash64(*[F.col(f"`{c}`") for c in rows.columns]), F.lit(salts))
+    # at most rows / task_rows keys: a small table, which Spark broadcasts if it sees that it is
+    hot = cut_lineage(hot_keys(rows.select(key), key, task_rows))
+    spread = F.xxhash64(*[F.col(f"`{c}`") for c in rows.columns])
     left = (
         rows.join(hot, key, "left")
         .withColumn(
             "_salt",
-            F.when(F.col("_hot") | F.col(key).isNull(), spread).otherwise(F.lit(0)).cast("int"),
+            F.when(F.col(key).isNull(), F.pmod(spread, F.lit(1 << 20)))
+            .otherwise(F.pmod(spread, F.coalesce("_salts", F.lit(1))))
+            .cast("int"),
         )
-        .drop("_hot")
+        .drop("_salts")
     )
     right = (
         dim.join(hot, key, "left")
-        .withColumn(
-            "_salt",
-            F.explode(
-                F.when(F.col("_hot"), F.sequence(F.lit(0), F.lit(salts - 1))).otherwise(
-                    F.array(F.lit(0))
-                )
-            ),
-        )
-        .drop("_hot")
+        .withColumn("_salt", F.explode(F.sequence(F.lit(0), F.coalesce("_salts", F.lit(1)) - 1)))
+        .drop("_salts")
     )
     return left.join(right, [key, "_salt"], how).drop("_salt")
 
@@ -86,7 +98,7 @@ def with_position(df: DataFrame, order: Sequence[Column], name: str = "position"
     within the partition.  The sorted rows are checkpointed so that a retried
     task meets the same partitions; only one count per partition is gathered.
     """
-    fixed = cut_lineage(df.orderBy(*order))
+    fixed = frozen(df.orderBy(*order))
     placed = fixed.withColumn("_part", F.spark_partition_id()).withColumn(
         "_at", F.monotonically_increasing_id().bitwiseAND(F.lit((1 << 33) - 1))
     )
@@ -105,6 +117,31 @@ def with_position(df: DataFrame, order: Sequence[Column], name: str = "position"
     )
 
 
+def with_running_total(
+    df: DataFrame, order: Sequence[Column], weight: str, name: str = "upto"
+) -> DataFrame:
+    """`df` with the sum of `weight` over all rows up to and with its own, in a global order.
+
+    As `with_position`; the sums inside a partition of the sorted rows are windows over it.
+    """
+    fixed = frozen(df.orderBy(*order))
+    placed = fixed.withColumn("_part", F.spark_partition_id()).withColumn(
+        "_at", F.monotonically_increasing_id()
+    )
+    starts = (
+        placed.groupBy("_part")
+        .agg(F.sum(weight).alias("_sum"))
+        .select("_part", (F.sum("_sum").over(Window.orderBy("_part")) - F.col("_sum")).alias("_start"))
+    )
+    inside = Window.partitionBy("_part").orderBy("_at").rowsBetween(Window.unboundedPreceding, 0)
+    return (
+        placed.withColumn("_inside", F.sum(weight).over(inside))
+        .join(F.broadcast(starts), "_part")  # one row for each task of the sort
+        .withColumn(name, F.col("_start") + F.col("_inside"))
+        .drop("_part", "_at", "_start", "_inside")
+    )
+
+
 def nth_smallest(
     df: DataFrame, value: Column, n: int, span: tuple | None = None, bins: int = 4096,
     few: int = 10_000,

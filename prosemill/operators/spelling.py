@@ -37,21 +37,55 @@ def _swapped(a: Column, b: Column) -> Column:
     return (F.length(a) == F.length(b)) & F.array_contains(swaps, b)
 
 
+# Words up to here meet on their deletions, longer ones on halves (fewer and shorter keys).
+SHORT = 24
+
+
+def _half(n: Column) -> Column:
+    """The length of a half of a word of n characters: two characters lie between its halves."""
+    return F.floor(n / 2).cast("int") - 1
+
+
+def _halves(word: Column, of_length: Column) -> Column:
+    """First and last half as they are in a word of `of_length` characters."""
+    n = of_length.cast("string")
+    return F.array(
+        F.concat(F.lit("<"), n, F.lit("|"), F.left(word, _half(of_length))),
+        F.concat(F.lit(">"), n, F.lit("|"), F.right(word, _half(of_length))),
+    )
+
+
 def spelling_map(
-    rare: DataFrame, dictionary: DataFrame, min_chars: int = 3
+    rare: DataFrame, dictionary: DataFrame, min_chars: int = 1
 ) -> DataFrame:
     """(word, corrected): the most frequent dictionary word one edit away.
 
     An edit inserts, deletes, replaces or swaps neighbouring characters.  Words
-    one edit apart share a string with at most one character deleted, so both
-    sides meet on such keys in an equi join.  A key of length L is shared by at
-    most (L+1) x alphabet words, so no key can grow with the corpus.
+    one edit apart share a string with at most one character deleted, so short
+    words meet on such keys in an equi join; a key of length L is shared by at
+    most (L+1) x alphabet words.  In a long word an edit leaves the first or the
+    last half as it is, so long words meet on halves: eight keys in all, each
+    shorter than the word.
     """
-    keyed = rare.where(F.length("word") >= min_chars).select(
-        "word", F.explode(_deletions(F.col("word"))).alias("key")
+    size = F.length("word")
+    keyed = rare.where(size >= min_chars).select(
+        "word",
+        F.explode(
+            F.when(size <= SHORT, _deletions(F.col("word"))).otherwise(_halves(F.col("word"), size))
+        ).alias("key"),
+    )
+    near_lengths = F.flatten(
+        F.transform(F.sequence(size - 1, size + 1), lambda n: _halves(F.col("word"), n))
     )
+    none = F.array().cast("array<string>")
     known = dictionary.select(
-        F.col("word").alias("candidate"), "n", F.explode(_deletions(F.col("word"))).alias("key")
+        F.col("word").alias("candidate"), "n",
+        F.explode(
+            F.concat(
+                F.when(size <= SHORT + 1, _deletions(F.col("word"))).otherwise(none),
+                F.when(size >= SHORT, near_lengths).otherwise(none),
+            )
+        ).alias("key"),
     )
     near = (
         keyed.join(known, "key")
@@ -71,15 +105,17 @@ def correct_spelling(
     tokens: Column,
     min_count: int = 5,
     dictionary: DataFrame | None = None,
-    min_chars: int = 3,
+    min_chars: int = 1,
 ) -> DataFrame:
     """(id, tokens): words outside the dictionary replaced by the nearest frequent word.
 
     Without a dictionary (word, n), the corpus words seen at least `min_count`
-    times are the dictionary.
+    times are the dictionary.  The tokens are made once and stored.  Only a
+    document's words that have a correction are shuffled; they come back as one
+    map for the document, and its token array is rewritten in place.
     """
-    words = df.select(id_col, F.posexplode_outer(tokens).alias("pos", "word"))
-    counts = cut_lineage(word_counts(df, tokens))
+    texts = cut_lineage(df.select(id_col, tokens.alias("tokens")))
+    counts = cut_lineage(word_counts(texts, F.col("tokens")))
     if dictionary is None:
         known = counts.where(F.col("n") >= min_count)
         unknown = counts.where(F.col("n") < min_count)
@@ -87,10 +123,16 @@ def correct_spelling(
         known = dictionary
         unknown = counts.join(dictionary.select("word"), "word", "left_anti")
     fixes = cut_lineage(spelling_map(unknown.select("word"), known, min_chars))
-    fixed = lookup_join(words, fixes, "word", "left").withColumn(
-        "word", F.coalesce("corrected", "word")
+    words = texts.select(id_col, F.explode(F.array_distinct("tokens")).alias("word"))
+    changes = (
+        lookup_join(words, fixes, "word")
+        .groupBy(id_col)
+        .agg(F.map_from_entries(F.collect_set(F.struct("word", "corrected"))).alias("_fix"))
     )
-    ordered = F.sort_array(
-        F.collect_list(F.when(F.col("word").isNotNull(), F.struct("pos", "word")))
+    return texts.join(changes, id_col, "left").select(
+        id_col,
+        F.when(
+            F.col("_fix").isNotNull(),
+            F.transform("tokens", lambda t: F.coalesce(F.try_element_at("_fix", t), t)),
+        ).otherwise(F.col("tokens")).alias("tokens"),
     )
-    return fixed.groupBy(id_col).agg(ordered["word"].alias("tokens"))

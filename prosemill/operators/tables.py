@@ -7,7 +7,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from prosemill.operators.scaling import lookup_join, with_position
+from prosemill.operators.scaling import lookup_join, with_running_total
 
 
 def drop_neutral(df: DataFrame, score: str = "overall") -> DataFrame:
@@ -145,38 +145,39 @@ def quantiles_by(
 ) -> DataFrame:
     """Exact linearly interpolated quantiles: key, column, quantile, value.
 
-    Values are numbered in one distributed sort by (key, column, value); only
-    the two rows around each quantile are kept.  No group is gathered in one
-    task, however large it is.
+    Equal values are counted first, so a common value is one row however many
+    rows have it.  The distinct values are sorted once by (key, column, value)
+    with the running count of rows; only the values at the two places around
+    each quantile are kept.  No group is gathered in one task.
     """
-    long = _long_form(df, key, cols)
-    placed = with_position(long, [F.col(key), F.col("column"), F.col("value")], "position")
+    counts = (
+        _long_form(df, key, cols).groupBy(key, "column", "value").agg(F.count(F.lit(1)).alias("n"))
+    )
+    placed = with_running_total(counts, [F.col(key), F.col("column"), F.col("value")], "n")
     groups = placed.groupBy(key, "column").agg(
-        F.min("position").alias("start"), F.count(F.lit(1)).alias("n")
+        F.min(F.col("upto") - F.col("n")).alias("start"), F.sum("n").alias("rows")
     )
-    wanted = (
-        groups.withColumn("quantile", F.explode(F.array(*[F.lit(float(q)) for q in quantiles])))
-        .withColumn("at", F.col("quantile") * (F.col("n") - 1))
-        .withColumn("floor", F.floor("at"))
-        .withColumn("weight", F.col("at") - F.col("floor"))
-        .withColumn(
-            "side",
-            F.explode(
-                F.array(
-                    F.struct(F.col("floor").alias("off"), (1 - F.col("weight")).alias("w")),
-                    F.struct(F.ceil("at").alias("off"), F.col("weight").alias("w")),
-                )
-            ),
-        )
+    # the places (0-based within the group) that each quantile needs, with their weights
+    wanted = F.flatten(
+        F.array(*[
+            F.array(
+                F.struct(F.lit(float(q)).alias("quantile"), F.floor(at).alias("at"), (1 - at + F.floor(at)).alias("w")),
+                F.struct(F.lit(float(q)).alias("quantile"), F.ceil(at).alias("at"), (at - F.floor(at)).alias("w")),
+            )
+            for q in quantiles
+            for at in [F.lit(float(q)) * (F.col("rows") - 1)]
+        ])
+    )
+    first = F.col("upto") - F.col("n") - F.col("start")
+    hits = (
+        placed.join(groups.select(key, "column", "start", wanted.alias("wanted")), [key, "column"])
         .select(
-            key,
-            "column",
-            "quantile",
-            (F.col("start") + F.col("side.off")).alias("position"),
-            F.col("side.w").alias("w"),
+            key, "column", "value",
+            F.inline(
+                F.filter("wanted", lambda x: (x["at"] >= first) & (x["at"] < F.col("upto") - F.col("start")))
+            ),
         )
     )
-    hits = wanted.join(placed.select("position", "value"), "position")
     return hits.groupBy(key, "column", "quantile").agg(F.sum(F.col("w") * F.col("value")).alias("value"))
 
 

@@ -53,7 +53,20 @@ def shared_dir(spark: SparkSession) -> str:
 
 
 def cut_lineage(df: DataFrame) -> DataFrame:
-    """`df` written to reliable storage; later stages read the files."""
+    """`df` written as Parquet to the shared folder and read again; the files go with the session.
+
+    Later stages read the columns they use, and Spark knows the size.
+    """
+    spark = df.sparkSession
+    path = scratch_path(spark, "stored")
+    df.write.parquet(path)
+    at = spark._jvm.org.apache.hadoop.fs.Path(path)
+    at.getFileSystem(spark._jsc.hadoopConfiguration()).deleteOnExit(at)
+    return spark.read.schema(df.schema).parquet(path)
+
+
+def frozen(df: DataFrame) -> DataFrame:
+    """`df` checkpointed with its partitions and their order, for what numbers rows by place."""
     shared_dir(df.sparkSession)
     return df.checkpoint(eager=True)
 

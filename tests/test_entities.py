@@ -47,11 +47,11 @@ def test_conditions(spark):
 
 
 def test_parse_condition():
-    assert E.parse_condition("Accidents/injuries") == ["Accidents", "injuries"]
-    assert E.parse_condition("HIV/AIDS") == ["HIV/AIDS"]
-    assert E.parse_condition("Influenza and Pneumonia") == ["Influenza", "Pneumonia"]
-    assert E.parse_condition("Dengue fever") == ["Dengue"]
-    assert E.parse_condition("Kidney diseases") == ["Kidney disease"]
+    assert E.condition_literals("Accidents/injuries") == ["Accidents", "injuries"]
+    assert E.condition_literals("HIV/AIDS") == ["HIV/AIDS"]
+    assert E.condition_literals("Influenza and Pneumonia") == ["Influenza", "Pneumonia"]
+    assert E.condition_literals("Dengue fever") == ["Dengue"]
+    assert E.condition_literals("Kidney diseases") == ["Kidney disease"]
 
 
 def test_literals(one):

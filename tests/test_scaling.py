@@ -24,24 +24,44 @@ def dim(spark):
 @pytest.mark.parametrize("how", ["inner", "left", "left_semi", "left_anti"])
 def test_salted_join_equals_plain_join(skewed, dim, how):
     plain = skewed.join(dim, "word", how).select("id", "word", *(["v"] if how in ("inner", "left") else []))
-    for max_rows in (0, 10_000):
-        got = lookup_join(skewed, dim, "word", how, max_rows=max_rows, share=0.05, salts=7)
+    for max_bytes in (0, 1 << 20):
+        got = lookup_join(skewed, dim, "word", how, max_bytes=max_bytes, task_rows=200)
         assert sorted(map(str, got.select(plain.columns).collect())) == sorted(map(str, plain.collect()))
 
 
 def test_hot_rows_are_spread(skewed, dim):
-    assert [r.word for r in hot_keys(skewed, "word", 0.05).collect()] == ["hot"]
-    joined = lookup_join(skewed, dim, "word", "inner", max_rows=0, share=0.05, salts=16)
+    hot = hot_keys(skewed, "word", 200).collect()
+    n = skewed.where("word = 'hot'").count()
+    assert [(r.word, r._salts) for r in hot] == [("hot", -(-n // 200))]
+    joined = lookup_join(skewed, dim, "word", "inner", max_bytes=0, task_rows=200)
     assert "_salt" not in joined.columns
-    assert "BroadcastHashJoin" in joined._jdf.queryExecution().toString()  # hot keys only
+
+
+def test_no_rows_meet_in_one_task_to_check_a_size(skewed, dim, monkeypatch):
+    plans = []
+    agg = type(dim).agg
+    monkeypatch.setattr(type(dim), "agg", lambda self, *a: plans.append(agg(self, *a)) or plans[-1])
+    lookup_join(skewed, dim, "word", "inner")
+    assert plans
+    for p in plans:  # what reaches a single task is one partial sum of each task
+        text = p._jdf.queryExecution().executedPlan().toString()
+        assert "GlobalLimit" not in text and text.index("partial_sum") > text.index("SinglePartition")
+
+
+@pytest.mark.parametrize("how", ["inner", "left"])
+def test_a_key_with_half_of_the_rows(spark, how):
+    rows = spark.range(20_000).select("id", F.when(F.col("id") % 2 == 0, "hot").otherwise(F.col("id").cast("string")).alias("word"))
+    dim = spark.createDataFrame([("hot", 1), ("3", 3)], "word string, v int")
+    got = lookup_join(rows, dim, "word", how, max_bytes=0, task_rows=500)
+    assert got.where("v = 1").count() == 10_000 and got.count() == (10_001 if how == "inner" else 20_000)
 
 
 def test_small_side_is_broadcast_only_when_checked(spark, skewed, dim):
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     try:
-        small = lookup_join(skewed, dim, "word", "inner", max_rows=1000)
+        small = lookup_join(skewed, dim, "word", "inner", max_bytes=1 << 20)
         assert "BroadcastHashJoin" in small._jdf.queryExecution().executedPlan().toString()
-        large = lookup_join(skewed, dim, "word", "inner", max_rows=5)
+        large = lookup_join(skewed, dim, "word", "inner", max_bytes=5)
         assert "SortMergeJoin" in large._jdf.queryExecution().executedPlan().toString()
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
