@@ -8,15 +8,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from prosemill import dims
-from prosemill.functions.patterns import (
-    BOUNDARY,
-    DIGIT,
-    NOT_AFTER_WORD,
-    NOT_BEFORE_WORD,
-    NOT_SPACE,
-    SPACE,
-    WORD,
-)
+from prosemill.functions.patterns import ADDRESS, EMAIL, NOT_BEFORE_WORD, PHONE, SPACE, WORD
 from prosemill.functions.text import tokenize_words
 
 
@@ -40,16 +32,12 @@ def extract_name(c: Column) -> Column:
 
 def extract_address(c: Column) -> Column:
     """From a number up to the first following whole-word St or Blvd, on one line."""
-    pattern = f"(?d){NOT_AFTER_WORD}{DIGIT}.*?(?:St|Blvd){NOT_BEFORE_WORD}"
-    return F.regexp_substr(c, F.lit(pattern))
+    return F.regexp_substr(c, F.lit(ADDRESS))
 
 
 def extract_emails(c: Column) -> Column:
     """All blank-separated tokens that look like an address and one closing character."""
-    pattern = (
-        f"(?<!{NOT_SPACE})[a-zA-Z0-9._%+-]+@[a-zA-Z0-9.-]+\\.[a-zA-Z]+{NOT_SPACE}(?!{NOT_SPACE})"
-    )
-    return F.regexp_extract_all(c, F.lit(pattern), F.lit(0))
+    return F.regexp_extract_all(c, F.lit(EMAIL), F.lit(0))
 
 
 def extract_email(c: Column) -> Column:
@@ -65,11 +53,7 @@ def extract_county(c: Column) -> Column:
 
 def extract_phones(c: Column) -> Column:
     """All US phone numbers."""
-    pattern = (
-        rf"{BOUNDARY}(?:\+?1{SPACE}*(?:[-.]|{SPACE})?)?\(?{DIGIT}{{3}}\)?(?:[-.]|{SPACE})?"
-        rf"{DIGIT}{{3}}(?:[-.]|{SPACE})?{DIGIT}{{4}}{BOUNDARY}"
-    )
-    return F.regexp_extract_all(c, F.lit(pattern), F.lit(0))
+    return F.regexp_extract_all(c, F.lit(PHONE), F.lit(0))
 
 
 def extract_state(c: Column, states: Mapping[str, str] = dims.STATES) -> Column:

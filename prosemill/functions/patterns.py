@@ -28,3 +28,19 @@ BOUNDARY = f"(?:(?<={WORD}){NOT_BEFORE_WORD}|{NOT_AFTER_WORD}(?={WORD}))"
 def whole_words(pattern: str) -> str:
     """`pattern` not touching another word character on either side."""
     return f"{NOT_AFTER_WORD}(?:{pattern}){NOT_BEFORE_WORD}"
+
+
+# The patterns of entities and number formats, with the classes above.
+ADDRESS = f"(?d){NOT_AFTER_WORD}{DIGIT}.*?(?:St|Blvd){NOT_BEFORE_WORD}"
+EMAIL = (
+    f"(?<!{NOT_SPACE})[a-zA-Z0-9._%+-]+@[a-zA-Z0-9.-]+\\.[a-zA-Z]+{NOT_SPACE}(?!{NOT_SPACE})"
+)
+PHONE = (
+    rf"{BOUNDARY}(?:\+?1{SPACE}*(?:[-.]|{SPACE})?)?\(?{DIGIT}{{3}}\)?(?:[-.]|{SPACE})?"
+    rf"{DIGIT}{{3}}(?:[-.]|{SPACE})?{DIGIT}{{4}}{BOUNDARY}"
+)
+MONTH_DAY_YEAR = f"{NOT_AFTER_WORD}({DIGIT}{{1,2}})[-/]({DIGIT}{{1,2}})[-/]({DIGIT}{{2,4}}){NOT_BEFORE_WORD}"
+YEAR_MONTH_DAY = f"{NOT_AFTER_WORD}({DIGIT}{{2,4}})[-/]({DIGIT}{{1,2}})[-/]({DIGIT}{{1,2}}){NOT_BEFORE_WORD}"
+AMOUNT = rf"\${SPACE}?{DIGIT}+(?:,{DIGIT}{{3}})*(?:\.{DIGIT}{{1,2}})?"
+LONG_NUMBER = f"{DIGIT}{{4,}}"
+COMMA_NUMBER = f"({DIGIT}+),({DIGIT}+)"

@@ -10,12 +10,15 @@ from pyspark.sql import functions as F
 
 from prosemill import dims
 from prosemill.functions.patterns import (
+    AMOUNT,
+    COMMA_NUMBER,
     DIGIT,
-    NOT_AFTER_WORD,
-    NOT_BEFORE_WORD,
+    LONG_NUMBER,
+    MONTH_DAY_YEAR,
     SPACE,
     SPACES,
     WORD,
+    YEAR_MONTH_DAY,
     whole_words,
 )
 
@@ -125,25 +128,20 @@ def standardize_dates(c: Column) -> Column:
     Substrings that are not calendar dates stay as they are.  Years are read
     as written (no century is added).
     """
-    mdy = f"{NOT_AFTER_WORD}({DIGIT}{{1,2}})[-/]({DIGIT}{{1,2}})[-/]({DIGIT}{{2,4}}){NOT_BEFORE_WORD}"
-    ymd = f"{NOT_AFTER_WORD}({DIGIT}{{2,4}})[-/]({DIGIT}{{1,2}})[-/]({DIGIT}{{1,2}}){NOT_BEFORE_WORD}"
-
     def part(m: Column, i: int) -> Column:
         return F.element_at(F.split(m, "[-/]"), i)
 
-    c = replace_matches(c, mdy, lambda m: _iso(part(m, 3), part(m, 1), part(m, 2), m))
-    return replace_matches(c, ymd, lambda m: _iso(part(m, 1), part(m, 2), part(m, 3), m))
+    c = replace_matches(c, MONTH_DAY_YEAR, lambda m: _iso(part(m, 3), part(m, 1), part(m, 2), m))
+    return replace_matches(c, YEAR_MONTH_DAY, lambda m: _iso(part(m, 1), part(m, 2), part(m, 3), m))
 
 
 def standardize_currency(c: Column) -> Column:
     """Dollar amounts with thousands commas and two decimals."""
-    amount = rf"\${SPACE}?{DIGIT}+(?:,{DIGIT}{{3}})*(?:\.{DIGIT}{{1,2}})?"
-
     def fmt(m: Column) -> Column:
         number = F.regexp_replace(m, rf"[$,]|{SPACE}", "").try_cast("decimal(38,2)")
         return F.coalesce(F.concat(F.lit("$"), F.format_number(number, 2)), m)
 
-    return replace_matches(c, amount, fmt)
+    return replace_matches(c, AMOUNT, fmt)
 
 
 def standardize_thousands(c: Column) -> Column:
@@ -152,12 +150,12 @@ def standardize_thousands(c: Column) -> Column:
     def grouped(run: Column) -> Column:
         return F.reverse(F.regexp_replace(F.reverse(run), rf"({DIGIT}{{3}})(?={DIGIT})", "$1,"))
 
-    return replace_matches(c, DIGIT + "{4,}", grouped)
+    return replace_matches(c, LONG_NUMBER, grouped)
 
 
 def standardize_decimals(c: Column) -> Column:
     """digits,digits -> digits.digits."""
-    return F.regexp_replace(c, rf"({DIGIT}+),({DIGIT}+)", "$1.$2")
+    return F.regexp_replace(c, COMMA_NUMBER, "$1.$2")
 
 
 def standardize_formats(c: Column) -> Column:

@@ -352,10 +352,10 @@ def isolation_forest(
         lambda t: F.struct(t.alias("tree"), F.pmod(F.xxhash64(F.lit(seed), F.col(id_col), t), F.lit(1 << 40)).alias("draw")),
     )
     few = (1 << 40) if n <= 4 * sample else int((1 << 40) * min(1.0, (2 * sample + 64) / n))
-    drawn = data.select(
-        F.col(id_col).alias("id"), "vec", F.inline(F.filter(draw, lambda d: d["draw"] < few))
+    drawn = data.withColumn("_draws", F.filter(draw, lambda d: d["draw"] < few)).select(
+        F.col(id_col).alias("row_id"), "vec", F.inline("_draws")
     )
-    first = F.row_number().over(Window.partitionBy("tree").orderBy("draw", "id"))
+    first = F.row_number().over(Window.partitionBy("tree").orderBy("draw", "row_id"))
     chosen = drawn.withColumn("place", first).where(F.col("place") <= take).drop("draw")
 
     def build(pdf: pd.DataFrame) -> pd.DataFrame:

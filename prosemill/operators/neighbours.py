@@ -37,12 +37,15 @@ def _k_best(ids: np.ndarray, other: np.ndarray, a: np.ndarray, b: np.ndarray, k:
         mine = ids[at:at + 256]
         dist = np.round(1.0 - a[at:at + 256] @ b.T, PLACES) + 0.0
         dist[mine[:, None] == other[None, :]] = np.inf
-        for i, row in enumerate(dist):
-            near = row <= np.partition(row, k - 1)[k - 1] if len(row) > k else np.isfinite(row)
-            near &= np.isfinite(row)
-            o, d = other[near], row[near]
-            best = np.lexsort((o, d))[:k]
-            parts.append((np.full(len(best), mine[i]), o[best], d[best]))
+        near = np.isfinite(dist)
+        if dist.shape[1] > k:
+            near &= dist <= np.partition(dist, k - 1, axis=1)[:, k - 1:k]
+        row, col = np.nonzero(near)
+        d = dist[row, col]
+        order = np.lexsort((other[col], d, row))
+        row, col, d = row[order], col[order], d[order]
+        best = np.arange(len(row)) - np.searchsorted(row, row) < k
+        parts.append((mine[row[best]], other[col[best]], d[best]))
     if not parts:
         return pd.DataFrame({"id": [], "nbr": [], "dist": []}).astype(
             {"id": "int64", "nbr": "int64", "dist": "float64"}
@@ -53,7 +56,7 @@ def _k_best(ids: np.ndarray, other: np.ndarray, a: np.ndarray, b: np.ndarray, k:
 
 def knn_graph(
     df: DataFrame, id_col: str, vec_col: str, k: int = 40, block_rows: int = 4096,
-    max_cells: int = 256,
+    max_cells: int | None = None,
 ) -> DataFrame:
     """(id, nbr, dist, rank): the k nearest rows by cosine distance, exact, for every row.
 
@@ -101,10 +104,11 @@ def knn_graph(
     )
 
 
-def _distinct_knn(unit: DataFrame, k: int, block_rows: int, max_cells: int) -> DataFrame:
+def _distinct_knn(unit: DataFrame, k: int, block_rows: int, max_cells: int | None) -> DataFrame:
     """(id, nbr, dist, rank) for distinct unit vectors (id, vec).
 
-    1. Unit vectors are assigned to the nearest of at most `max_cells` pivots;
+    1. Unit vectors are assigned to the nearest pivot: one for each block of rows, at
+       most the root of their number (so that assigning costs n^1.5), or `max_cells`;
        cells are split into blocks of about `block_rows` rows.
     2. Each row finds its k nearest in its own block, which bounds its k-th
        distance.
@@ -113,7 +117,7 @@ def _distinct_knn(unit: DataFrame, k: int, block_rows: int, max_cells: int) -> D
     4. The candidates of all visited blocks are merged.
     """
     n = unit.count()
-    cells = max(1, min(max_cells, n // block_rows))
+    cells = max(1, min(max_cells or math.ceil(math.sqrt(n)), n // block_rows))
     pivots = np.array([r.vec for r in sample_n(unit, "id", cells).orderBy("id").collect()])
     if not len(pivots):
         return _rank(unit.select("id", F.col("id").alias("nbr"), F.lit(0.0).alias("dist")), k)

@@ -24,17 +24,20 @@ def _deletions(word: Column) -> Column:
 
 
 def _swapped(a: Column, b: Column) -> Column:
-    """Whether two words differ by exchanging two neighbouring characters."""
-    swaps = F.transform(
-        F.sequence(F.lit(1), F.greatest(F.length(a) - 1, F.lit(1))),
-        lambda i: F.concat(
-            F.substring(a, F.lit(1), i - 1),
-            F.substring(a, i + 1, F.lit(1)),
-            F.substring(a, i, F.lit(1)),
-            F.substring(a, i + 2, F.length(a)),
-        ),
+    """Whether two words differ by exchanging two neighbouring characters, in one pass over both."""
+    pairs = F.arrays_zip(F.split(a, "").alias("x"), F.split(b, "").alias("y"))
+    differing = F.filter(
+        F.transform(pairs, lambda p, i: F.struct(i.alias("i"), p["x"].alias("x"), p["y"].alias("y"))),
+        lambda p: p["x"] != p["y"],
+    )
+    crossed = F.exists(
+        F.array(differing),
+        lambda d: (F.size(d) == 2)
+        & (F.get(d["i"], F.lit(1)) == F.get(d["i"], F.lit(0)) + 1)
+        & (F.get(d["x"], F.lit(0)) == F.get(d["y"], F.lit(1)))
+        & (F.get(d["x"], F.lit(1)) == F.get(d["y"], F.lit(0))),
     )
-    return (F.length(a) == F.length(b)) & F.array_contains(swaps, b)
+    return F.when((F.length(a) == F.length(b)) & (F.levenshtein(a, b, 2) == 2), crossed).otherwise(False)
 
 
 # Words up to here meet on their deletions, longer ones on halves (fewer and shorter keys).

@@ -62,7 +62,7 @@ def test_spelling(spark):
     words = ["the"] * 9 + ["cat"] * 6 + ["cart"] * 7 + ["teh", "caat", "cta", "xylophone", "ca", "th"]
     df = spark.createDataFrame([(1, " ".join(words)), (2, ""), (3, "teh cat")], "id int, t string")
     got = {r.id: r.tokens for r in spelling.correct_spelling(df, "id", tokenize_ws(F.col("t"))).collect()}
-    assert got[1][-6:] == ["the", "cart", "cat", "xylophone", "ca", "th"]
+    assert got[1][-6:] == ["the", "cart", "cat", "xylophone", "cat", "the"]
     assert got[2] == [] and got[3] == ["the", "cat"]
     known = spark.createDataFrame([("teh", 1), ("cat", 5)], "word string, n long")
     own = {r.id: r.tokens for r in spelling.correct_spelling(df, "id", tokenize_ws(F.col("t")), dictionary=known).collect()}
@@ -86,3 +86,14 @@ def test_term_counts_and_sequences(spark):
     seq = {r.id: r.seq for r in terms.to_sequence(df, "id", t, index).collect()}
     assert seq == {1: [7, 7], 2: [], 3: []}
     assert terms.sequence_length(spark.createDataFrame([(2,), (3,)], "n int"), F.col("n")) == 2
+
+
+def test_long_words_meet_on_halves(spark):
+    long = "abcdefghijklmnopqrstuvwxyzabcdef"
+    swapped = long[:15] + long[16] + long[15] + long[17:]
+    near = [long[1:], long[:-1], "x" + long, long[:16] + "_" + long[16:], long[:15] + long[16:], swapped, "y" + long[1:]]
+    words = [*near, long[:24], long[:23] + "!", "z" * 20_000]
+    rare = spark.createDataFrame([(w,) for w in words], "word string")
+    known = spark.createDataFrame([(long, 9), (long[:25], 9), ("z" * 19_999, 9)], "word string, n long")
+    got = {r.word: r.corrected for r in spelling.spelling_map(rare, known).collect()}
+    assert got == {**{w: long for w in near}, long[:24]: long[:25], "z" * 20_000: "z" * 19_999}
