@@ -43,4 +43,4 @@ MONTH_DAY_YEAR = f"{NOT_AFTER_WORD}({DIGIT}{{1,2}})[-/]({DIGIT}{{1,2}})[-/]({DIG
 YEAR_MONTH_DAY = f"{NOT_AFTER_WORD}({DIGIT}{{2,4}})[-/]({DIGIT}{{1,2}})[-/]({DIGIT}{{1,2}}){NOT_BEFORE_WORD}"
 AMOUNT = rf"\${SPACE}?{DIGIT}+(?:,{DIGIT}{{3}})*(?:\.{DIGIT}{{1,2}})?"
 LONG_NUMBER = f"{DIGIT}{{4,}}"
-COMMA_NUMBER = f"({DIGIT}+),({DIGIT}+)"
+COMMA_NUMBER = f"(?<!{DIGIT})({DIGIT}++),({DIGIT}+)"

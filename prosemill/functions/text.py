@@ -137,6 +137,7 @@ def standardize_dates(c: Column) -> Column:
 
 def standardize_currency(c: Column) -> Column:
     """Dollar amounts with thousands commas and two decimals."""
+
     def fmt(m: Column) -> Column:
         number = F.regexp_replace(m, rf"[$,]|{SPACE}", "").try_cast("decimal(38,2)")
         return F.coalesce(F.concat(F.lit("$"), F.format_number(number, 2)), m)

@@ -76,3 +76,10 @@ def test_word_tokens_keep_accents(one):
     assert one(T.tokenize_words(F.lit("Zürich, a_b 9!"))) == ["Zürich", "a_b", "9"]
     assert one(T.tokenize_terms(F.lit("a bb ccc"))) == ["bb", "ccc"]
     assert one(T.drop_stopwords(T.tokenize_ws(F.lit("the cat and the hat")))) == ["cat", "hat"]
+
+
+def test_long_digit_runs_take_linear_time(one):
+    run = "1" * 1_000_000
+    grouped = one(T.standardize_thousands(F.lit(run)))
+    assert len(grouped) == 1_000_000 + 333_333 and grouped.startswith("1,111,")
+    assert one(T.standardize_decimals(F.lit("2,3 " + run + " 1,2,3,4"))) == "2.3 " + run + " 1.2,3.4"
