@@ -39,7 +39,7 @@ def word_vectors(spark, sf):
 
 def item_vectors(spark, sf, name: str = "vector"):
     """`embeddings` as a (word, vector) table."""
-    return table(spark, sf, "embeddings").select(
+    return table(spark, sf, "embeddings", True).select(
         F.col("vec_id").alias("word"), F.col("embedding").cast("array<double>").alias(name)
     )
 
@@ -59,7 +59,7 @@ def rounded(c):
     FROM (SELECT vec_id, {_DOUBLES} AS v, sqrt(list_dot_product({_DOUBLES}, {_DOUBLES})) AS n FROM embeddings)""",
 )
 def l2_normalize(spark, sf):
-    return table(spark, sf, "embeddings").select(
+    return table(spark, sf, "embeddings", True).select(
         "vec_id", rounded(V.l2_normalize(F.col("embedding"))).alias("unit")
     )
 
@@ -72,7 +72,7 @@ def l2_normalize(spark, sf):
           QUALIFY row_number() OVER (PARTITION BY label ORDER BY vec_id) = 1) b USING (label)""",
 )
 def cosine_distance(spark, sf):
-    e = table(spark, sf, "embeddings")
+    e = table(spark, sf, "embeddings", True)
     first = e.groupBy("label").agg(F.min_by("embedding", "vec_id").alias("first"))
     both = e.join(F.broadcast(first), "label")
     return both.select("vec_id", r6(V.cosine_distance(F.col("embedding"), F.col("first"))).alias("distance"))
@@ -83,7 +83,7 @@ def cosine_distance(spark, sf):
     f"SELECT vec_id, CAST(list_position(embedding, list_max(embedding)) - 1 AS INTEGER) AS class FROM embeddings",
 )
 def argmax_class(spark, sf):
-    return table(spark, sf, "embeddings").select("vec_id", V.argmax_class(F.col("embedding")).alias("class"))
+    return table(spark, sf, "embeddings", True).select("vec_id", V.argmax_class(F.col("embedding")).alias("class"))
 
 
 @query(
@@ -209,7 +209,7 @@ def model_pair_distance(spark, sf):
     FROM p QUALIFY rank <= 40""",
 )
 def knn_graph(spark, sf):
-    g = neighbours.knn_graph(table(spark, sf, "embeddings"), "vec_id", "embedding", 40)
+    g = neighbours.knn_graph(table(spark, sf, "embeddings", True), "vec_id", "embedding", 40)
     return g.select("vec_id", "nbr", r6("dist").alias("dist"), "rank")
 
 
@@ -223,5 +223,5 @@ def knn_graph(spark, sf):
     SELECT round(avg(coalesce((b - a) / greatest(a, b), 0)), 6) AS silhouette FROM s""",
 )
 def silhouette(spark, sf):
-    s = neighbours.silhouette(table(spark, sf, "embeddings"), "embedding", "label")
+    s = neighbours.silhouette(table(spark, sf, "embeddings", True), "embedding", "label")
     return s.select(r6("silhouette").alias("silhouette"))
