@@ -234,7 +234,9 @@ def save_model(spark, sf):
     model, _ = embed.word2vec_skipgram(documents(spark, sf), doc_tokens())
     path = scratch_path(spark, "word2vec")
     files.save_model(model, path)
-    return sized(embed.skipgram_vectors(files.load_model(Word2VecModel, path)))
+    table_path = scratch_path(spark, "word-vectors")
+    files.save_vectors(embed.skipgram_vectors(files.load_model(Word2VecModel, path)), table_path)
+    return sized(files.load_vectors(spark, table_path))
 
 
 @query("load_model", SQL_EACH_ITEM.format(flag="as_before"))
