@@ -214,11 +214,13 @@ def mixed(docs: DataFrame, weights=WEIGHTS, most: int = 3, seed: int = SEED, id_
           text_col: str = "text", source_col: str = "source") -> DataFrame:
     """The rows of `docs`, each as often as the mix takes it."""
     per = plan(docs, weights, most, seed, id_col, text_col, source_col)
-    n = copies(F.col(f"d.{id_col}"), word_count(F.col(f"d.{text_col}")), "p", most, seed)
+    # the size is made below the join, once: the rates use it many times
+    sized = docs.withColumn("__size", word_count(F.col(text_col)))
+    n = copies(F.col(f"d.{id_col}"), F.col("d.__size"), "p", most, seed)
     return (
-        docs.alias("d").join(per.alias("p"), F.expr(f"d.{source_col} <=> p.source"))
-        .select("d.*", F.explode(F.array_repeat(F.lit(0), n.cast("int"))).alias("_copy"))
-        .drop("_copy")
+        sized.alias("d").join(per.alias("p"), F.expr(f"d.{source_col} <=> p.source"))
+        .select("d.*", F.explode(F.array_repeat(F.lit(0), n.cast("int"))).alias("__copy"))
+        .drop("__copy", "__size")
     )
 
 
