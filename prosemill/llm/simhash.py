@@ -268,4 +268,5 @@ def distinct_documents(docs: DataFrame, shingle: int = SHINGLE, distance: int =
         .groupBy("label").agg(F.min("first").alias("first")).select(F.col("first.row").alias("__row")),
         "simhash-chosen",
     )
-    return marked.join(chosen, "__row", "left_semi").drop("__fp", "__row")
+    # always by shuffle: one plan at every size, whatever a broadcast threshold says of few rows
+    return marked.join(chosen.hint("merge"), "__row", "left_semi").drop("__fp", "__row")
