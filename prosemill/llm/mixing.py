@@ -4,7 +4,9 @@ Rates.  Among all non-negative document rates of at most `most` that give each s
 number of words, the ones closest to "each document once" in relative entropy are exponentially
 tilted: rate = min(most, exp(m * size)), with one multiplier m per source.  The convex dual is
 maximised by Newton steps, all sources at once; a step is one aggregation over the (source, size)
-counts, which the documents are reduced to first.  Steps that leave the known bracket are halved.
+counts, which the documents are reduced to first.  A step that leaves the known bracket, or is not
+down to half of the one before, gives way to halving the bracket, or to doubling the step while there
+is none, so that a source with short and very long documents settles too; one that does not is an error.
 
 Copies.  A document is taken floor(rate) times, and once more if its key, a hash of it less its
 rate's fraction, is below the source's cut.  The cut is found from word-weighted histograms, level by
@@ -17,7 +19,7 @@ of all rows is aggregated map-side; the joins with per-source tables are on a br
 when Spark's statistics allow and are split by skew handling otherwise.
 
 Defined results: null text has size 0; null source is a source, last in order.  Documents of size 0
-have rate 1.  A source without words has target 0.  Repeated rows are documents each.
+have rate 1.  A source without words has target 0; documents with words have rate 0 at target 0.  Repeated rows are documents each.
 """
 
 from __future__ import annotations
@@ -31,7 +33,7 @@ from prosemill.operators.scaling import with_position
 WEIGHTS = (5.0, 2.0, 1.0)
 MOST = 3.0
 SEED = 17
-STEPS = 60
+STEPS = 200  # a source still open after so many is an error
 NEAR = 1e-7  # relative distance to the target at which the multipliers are settled
 LEVELS, BINS, ROUNDS = 3, 1024, 3
 
@@ -78,7 +80,7 @@ def _rate(m: Column, size: Column, most: float) -> Column:
 def tilts(counts: DataFrame, targets: DataFrame, most: float = MOST) -> DataFrame:
     """(source, source_size, target, m): the multiplier that meets each source's target.
 
-    counts: (source, size, n).  At the cap m is infinite; without words it is 0.
+    counts: (source, size, n).  At the cap m is infinite, at target 0 minus infinite; without words it is 0.
     """
     # scaled to the source's word-weighted mean size, a step of 1 is a factor e on a typical word
     scale = counts.groupBy("source").agg(
@@ -89,13 +91,22 @@ def tilts(counts: DataFrame, targets: DataFrame, most: float = MOST) -> DataFram
     state = stored(
         targets.join(scale, targets.source.eqNullSafe(scale.source)).drop(scale.source)
         .withColumn("unit", F.when(F.col("unit") > 0, F.col("unit")).otherwise(1.0))
-        .withColumn("open", (F.col("source_size") > 0) & (F.col("target") < most * F.col("source_size") * (1 - 1e-12)))
+        .withColumn(
+            "open",
+            (F.col("source_size") > 0) & (F.col("target") > 0)
+            & (F.col("target") < most * F.col("source_size") * (1 - 1e-12)),
+        )
         .withColumn("m", F.lit(0.0))
         .withColumn("lo", F.lit(None).cast("double"))
-        .withColumn("hi", F.lit(None).cast("double")),
+        .withColumn("hi", F.lit(None).cast("double"))
+        .withColumn("last", F.lit(None).cast("double")),
         "mix-state",
     )
-    for step in range(STEPS):
+    steps = 0
+    while left := state.where("open").count():
+        if steps == STEPS:
+            raise RuntimeError(f"{left} sources do not meet their targets after {STEPS} steps")
+        steps += 1
         c = counts.alias("c").join(state.where("open").alias("s"), F.expr("c.source <=> s.source"))
         x = F.col("c.size") / F.col("s.unit")
         rate = _rate(F.col("s.m"), x, most)
@@ -112,32 +123,35 @@ def tilts(counts: DataFrame, targets: DataFrame, most: float = MOST) -> DataFram
             .withColumn("lo", F.when(F.col("gap") > 0, F.col("m")).otherwise(F.col("lo")))
             .withColumn("hi", F.when(F.col("gap") < 0, F.col("m")).otherwise(F.col("hi")))
             .withColumn("done", F.abs("gap") <= NEAR * F.col("target"))
+            .withColumn("newton", F.when(F.col("slope") > 0, F.col("gap") / F.col("slope")))
             .withColumn(
-                "next",
-                F.when(F.col("slope") > 0, F.col("m") + F.greatest(F.lit(-4.0), F.least(F.lit(4.0), F.col("gap") / F.col("slope")))),
+                "good",
+                F.col("newton").isNotNull()
+                & (F.col("last").isNull() | (F.abs("newton") <= F.col("last") / 2))
+                & (F.col("lo").isNull() | (F.col("m") + F.col("newton") > F.col("lo")))
+                & (F.col("hi").isNull() | (F.col("m") + F.col("newton") < F.col("hi"))),
             )
-            # inside the bracket Newton's step stands; outside it, or without a slope, halve or double
+            .withColumn("far", F.greatest(2 * F.coalesce("last", F.lit(1.0)), F.abs("newton")))
             .withColumn(
-                "m",
-                F.when(~F.col("open") | F.col("done"), F.col("m"))
-                .when(
-                    F.col("next").isNotNull()
-                    & (F.col("lo").isNull() | (F.col("next") > F.col("lo")))
-                    & (F.col("hi").isNull() | (F.col("next") < F.col("hi"))),
-                    F.col("next"),
-                )
-                .when(F.col("lo").isNotNull() & F.col("hi").isNotNull(), (F.col("lo") + F.col("hi")) / 2)
-                .otherwise(F.col("m") + F.when(F.col("gap") > 0, 4.0).otherwise(-4.0)),
+                "move",
+                F.when(~F.col("open") | F.col("done"), 0.0)
+                .when(F.col("good"), F.col("newton"))
+                .when(F.col("lo").isNotNull() & F.col("hi").isNotNull(), (F.col("lo") + F.col("hi")) / 2 - F.col("m"))
+                .otherwise(F.signum("gap") * F.col("far")),
             )
+            .withColumn("m", F.col("m") + F.col("move"))
+            .withColumn("last", F.abs("move"))
             .withColumn("open", F.col("open") & ~F.col("done"))
         )
-        state = stored(new.select("source", "source_size", "target", "unit", "open", "m", "lo", "hi"), "mix-state")
-        if not state.where("open").limit(1).count():
-            break
+        state = stored(
+            new.select("source", "source_size", "target", "unit", "open", "m", "lo", "hi", "last"), "mix-state"
+        )
     # rounded, so that the order in which a run adds its doubles leaves no trace
     m = F.when(
         (F.col("source_size") > 0) & (F.col("target") >= most * F.col("source_size") * (1 - 1e-12)),
         F.lit(float("inf")),
+    ).when(
+        (F.col("source_size") > 0) & (F.col("target") <= 0), F.lit(float("-inf"))
     ).otherwise(F.round(F.col("m") / F.col("unit"), 12))
     return stored(state.select("source", "source_size", "target", m.alias("m")), "mix-tilts")
 

@@ -3,6 +3,7 @@
 import random
 
 import numpy as np
+import pytest
 
 from prosemill.llm import mixing
 
@@ -77,6 +78,39 @@ def test_rates_are_tilted_by_size(shared):
         assert abs((rates * sizes).sum() - target) <= 1e-5 * target
 
 
+def test_short_documents_beside_a_very_long_one(shared):
+    sizes = np.repeat([200, 300_000], [5000, 1])
+    sources = {"a": 0.4, "b": 2.4, "c": 2.8, "d": 0.0, "e": 1e-6, "f": 2.99999, "g": 3.0}
+    whole = int(sizes.sum())
+    counts = shared.createDataFrame(
+        [(s, size, n) for s in sources for size, n in ((200, 5000), (300_000, 1))], "source string, size long, n long"
+    )
+    goal = shared.createDataFrame(
+        [(s, whole, x * whole) for s, x in sources.items()], "source string, source_size long, target double"
+    )
+    for r in mixing.tilts(counts, goal).collect():
+        met = (np.minimum(3, np.exp(np.minimum(r.m * sizes, 50))) * sizes).sum()
+        assert abs(met - r.target) <= 1e-5 * r.target, (r.source, met / whole)
+
+
+def test_copies_of_short_documents_beside_a_very_long_one(documents):
+    asked = {"a": 2.4, "b": 2.8, "c": 0.4, "d": 1.0}  # weights; one unit is 13,000 words
+    rows = [(d, "w w" if d else "w " * 3000, "en", s) for s in "abc" for d in range(5001)]
+    rows += [(d, "w " * 100, "en", "d") for d in range(468)]
+    got = mixing.mix(documents(rows), weights=tuple(asked.values())).collect()
+    for s, weight in asked.items():
+        target, taken = weight * 13_000, sum(r.taken for r in got if r.source == s)
+        assert 0.99 * target <= taken <= target, (s, taken / target)
+
+
+def test_a_source_that_does_not_settle_is_an_error(shared, monkeypatch):
+    monkeypatch.setattr(mixing, "STEPS", 2)
+    counts = shared.createDataFrame([("a", 200, 5000), ("a", 300_000, 1)], "source string, size long, n long")
+    goal = shared.createDataFrame([("a", 1_300_000, 3_120_000.0)], "source string, source_size long, target double")
+    with pytest.raises(RuntimeError, match="1 sources"):
+        mixing.tilts(counts, goal)
+
+
 def test_one_source_and_nothing(documents):
     rows = [(i, "a b c", "en", "s") for i in range(10)]
     got = mixing.mix(documents(rows)).collect()
