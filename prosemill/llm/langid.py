@@ -12,10 +12,13 @@ So each n-gram's code lengths in all languages and, for an n-gram as a context,
 worked out once; scoring looks up the longest known n-gram that ends at each byte and adds the
 escapes of the longer known contexts, all in arrays over many texts.
 
-Training is on a bounded sample (allowed for a classifier): up to `sample_bytes` of text for each
-language, whole texts in the order of a hash of the id (longer texts than that bound are used by
-their rarity in the hash order like any other).  n-grams are counted in Spark; the model is a table
-of at most (order + 1) x `sample_bytes` n-grams per language and is what tasks receive.
+Training is on a bounded sample (allowed for a classifier): texts of each language in the order of a
+hash of the id, until they hold `sample_bytes`.  A text counts with at most a share of bytes, a text
+longer than that with a piece of that size at a place drawn by the hash, so that no one document is the
+sample; this limits the fit only, whole texts are judged.  The share is `sample_bytes` / 16, doubled
+until the language's texts fill the sample, at most `sample_bytes`.  n-grams are counted in Spark; the
+model is a table of less than (order + 1) x (`sample_bytes` + share) n-grams per language and is what
+tasks receive.
 
 A-Z are lower-cased and digits are one symbol before anything else.
 
@@ -84,27 +87,44 @@ def _counter(order: int):
 
 
 def training_sample(docs: DataFrame, lang: str, text: str, id_col: str, sample_bytes: int) -> DataFrame:
-    """(lang, text): whole texts up to `sample_bytes` in all for each language, by a hash of the id.
+    """(lang, text as bytes): texts of less than `sample_bytes` and a share in all for each language, by
+    a hash of the id; of a text longer than the share, a piece.
 
-    The first pass counts bytes by language and hash bucket, so that the window below sorts the
-    sample only, not the table.
+    The first pass counts bytes by language and hash bucket for each possible share, so that the window
+    below sorts the sample only, not the table.
     """
     known = docs.where(F.col(lang).isNotNull() & F.col(text).isNotNull()).select(
-        F.col(lang).alias("lang"), F.col(text).alias("text"), F.octet_length(text).cast("long").alias("bytes"),
+        F.col(lang).alias("lang"), F.col(text).cast("binary").alias("text"),
+        F.octet_length(text).cast("long").alias("whole"),
         F.xxhash64(F.lit(5), F.col(id_col), F.col(text)).alias("draw"),
     )
+    shares = [max(1, sample_bytes >> k) for k in range(4, -1, -1)]
     bucket = F.pmod("draw", F.lit(1 << 14))
-    per = known.groupBy("lang", bucket.alias("bucket")).agg(F.sum("bytes").alias("bytes"))
-    upto = Window.partitionBy("lang").orderBy("bucket")  # at most 2^14 rows for a language
+    per = known.groupBy("lang", bucket.alias("bucket")).agg(
+        *[F.sum(F.least("whole", F.lit(share))).alias(f"bytes{k}") for k, share in enumerate(shares)]
+    )
+    every = Window.partitionBy("lang")
+    upto = every.orderBy("bucket")  # at most 2^14 rows for a language
+    share, size = F.lit(shares[-1]), F.col(f"bytes{len(shares) - 1}")
+    for k in range(len(shares) - 2, -1, -1):  # the smallest share that fills the sample
+        fills = F.col(f"total{k}") >= sample_bytes
+        share, size = F.when(fills, shares[k]).otherwise(share), F.when(fills, F.col(f"bytes{k}")).otherwise(size)
+    totals = [F.sum(f"bytes{k}").over(every).alias(f"total{k}") for k in range(len(shares) - 1)]
     buckets = stored(
-        per.withColumn("before", F.sum("bytes").over(upto) - F.col("bytes"))
-        .where(F.col("before") < sample_bytes).select("lang", "bucket"),
+        per.select("*", *totals).select("lang", "bucket", share.cast("long").alias("share"), size.alias("bytes"))
+        .withColumn("before", F.sum("bytes").over(upto) - F.col("bytes"))
+        .where(F.col("before") < sample_bytes).select("lang", "bucket", "share"),
         "langid-buckets",
     )
-    chosen = known.join(buckets, (buckets.lang == known.lang) & (buckets.bucket == bucket), "left_semi")
-    running = Window.partitionBy("lang").orderBy("draw").rowsBetween(Window.unboundedPreceding, -1)
+    chosen = known.join(buckets, (buckets.lang == known.lang) & (buckets.bucket == bucket)).select(
+        known.lang, "text", "draw", "whole", F.least("whole", "share").alias("bytes")
+    )
+    at = F.pmod(F.xxhash64("draw"), F.col("whole") - F.col("bytes") + 1).cast("int")
+    piece = F.col("text").substr(at + 1, F.col("bytes").cast("int"))
+    running = every.orderBy("draw").rowsBetween(Window.unboundedPreceding, -1)
     return (
-        chosen.withColumn("before", F.coalesce(F.sum("bytes").over(running), F.lit(0)))
+        chosen.withColumn("text", piece)
+        .withColumn("before", F.coalesce(F.sum("bytes").over(running), F.lit(0)))
         .where(F.col("before") < sample_bytes).select("lang", "text")
     )
 

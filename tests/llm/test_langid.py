@@ -5,7 +5,7 @@ import pandas as pd
 import pyarrow as pa
 
 from prosemill.llm.common import slices
-from prosemill.llm.langid import Model, _counter, _FOLD, identified, identify, train
+from prosemill.llm.langid import Model, _counter, _FOLD, identified, identify, train, training_sample
 from prosemill.llm.queries import QUERIES
 
 SMALL = "/root/testdata/sf0.001"
@@ -84,6 +84,17 @@ def test_odd_rows(documents):
     assert sorted(str(r.doc_id) for r in kept.collect()) == ["1", "2", "6", "6", "7", "None"]
 
 
+def test_one_long_text_does_not_fill_the_sample(documents):
+    # 200 short texts and as many long ones in "en", long ones only in "fr"
+    rows = [(d, f"short {d} " * 20, "en") for d in range(200)]
+    rows += [(d, f"long {d} " * 20_000, "en") for d in range(200, 400)]
+    rows += [(d, f"longue {d} é" * 20_000, "fr") for d in range(2)]
+    sample = training_sample(documents(rows), "lang", "text", "doc_id", 16_000).collect()
+    for lang, share in (("en", 1_000), ("fr", 8_000)):
+        sizes = [len(r.text) for r in sample if r.lang == lang]
+        assert max(sizes) <= share and 16_000 <= sum(sizes) < 16_000 + share
+
+
 def test_ties_go_to_the_first_language(documents):
     docs = documents([(1, "same text", "bb"), (2, "same text", "aa"), (3, "same", None)])
     got = {r.doc_id: r for r in identify(docs, train(docs)).collect()}
