@@ -1,8 +1,9 @@
 """Sequence packing: tokens by a public byte-level BPE, first-fit decreasing in random groups.
 
 A document's ids (and the end id) are cut at every `length`-th place; full pieces fill a sequence
-each, and the rests are packed first-fit decreasing.  Documents are dealt at random into groups of
-about `group_size`; a group is packed by itself, with a tournament tree over the room left in its
+each, and the rests are packed first-fit decreasing.  Pieces, not documents, are dealt at random into
+groups of about `group_size`, so the pieces of one document lie in different groups and a long document
+is no large group; a group is packed by itself, with a tournament tree over the room left in its
 sequences: the leftmost sequence with enough room is found by walking down from the root.  A group
 holds lengths only (no ids), so it is small whatever the texts are.
 
