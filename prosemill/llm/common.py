@@ -154,3 +154,20 @@ class Rolling:
 
     def runs(self, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
         return mix((self.sums[ends] - self.sums[starts]) * _WORD_POWERS["down"][starts])
+
+
+def int_matrix(column: pa.Array, width: int | None = None) -> np.ndarray:
+    """A list column of whole numbers as rows of equal length, padded with zeros (cut at `width`)."""
+    if isinstance(column, pa.ChunkedArray):
+        column = column.combine_chunks()
+    values = column.flatten().to_numpy(zero_copy_only=False).astype(np.int64)
+    sizes = column.value_lengths().to_numpy(zero_copy_only=False).astype(np.int64)
+    wide = int(sizes.max(initial=0)) if width is None else width
+    if len(sizes) and (sizes == wide).all():
+        return values.reshape(len(sizes), wide)
+    out = np.zeros((len(sizes), wide), np.int64)
+    row = np.repeat(np.arange(len(sizes)), sizes)
+    at = np.arange(len(values)) - np.repeat(np.cumsum(sizes) - sizes, sizes)
+    fits = at < wide
+    out[row[fits], at[fits]] = values[fits]
+    return out
