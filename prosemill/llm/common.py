@@ -42,11 +42,7 @@ def table(spark: SparkSession, sf: str, name: str, *columns: str) -> DataFrame:
 
 def word_count(text) -> F.Column:
     """Words of a text column as long; null counts none."""
-    blanks = "\t\n\x0b\x0c\r "
-    # a word begins wherever no blank follows a blank: count the blank runs around words
-    inner = F.regexp_replace(F.trim(F.translate(text, blanks, " " * 6)), " +", " ")
-    n = F.length(inner) - F.length(F.replace(inner, F.lit(" "), F.lit(""))) + 1
-    return F.when(text.isNull() | (inner == ""), F.lit(0)).otherwise(n).cast("long")
+    return F.coalesce(F.regexp_count(text, F.lit(WORD)), F.lit(0)).cast("long")
 
 
 def utf8(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:

@@ -10,8 +10,12 @@ is none, so that a source with short and very long documents settles too; one th
 
 Copies.  A document is taken floor(rate) times, and once more if its key, a hash of it less its
 rate's fraction, is below the source's cut.  The cut is found from word-weighted histograms, level by
-level, so that the next document by key would pass the target; two more rounds fill what is left
-open with the documents that fit into it.
+level, so that the next document by key would pass the target.  What is left open, less than one
+document, is filled from the (source, size) counts: the largest size that fits and has copies to spare,
+as often as it can, then the next smaller one.  Documents of one size have one rate, so such copies go
+round them in the order of their keys, those not yet rounded up first.  At the end a source's open
+words are fewer than its smallest document that may still be taken once more, but for documents that
+repeat in id and size: they are taken equally often, or their size is left.
 
 Everything per source is a table; the driver sees totals and iteration counts only, and the
 source's order number comes from a range-sorted pass, so sources may be many.  A source with a third
@@ -24,8 +28,10 @@ have rate 1.  A source without words has target 0; documents with words have rat
 
 from __future__ import annotations
 
+import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from prosemill.llm.common import stored, word_count
 from prosemill.operators.scaling import with_position
@@ -35,7 +41,9 @@ MOST = 3.0
 SEED = 17
 STEPS = 200  # a source still open after so many is an error
 NEAR = 1e-7  # relative distance to the target at which the multipliers are settled
-LEVELS, BINS, ROUNDS = 3, 1024, 3
+LEVELS, BINS = 3, 1024
+TASK_ROWS = 1_000_000  # documents of one source and size ranked by one task, about
+EXTRA = "map<bigint,struct<whole:bigint,below:double>>"
 
 
 def source_targets(sizes: DataFrame, weights=WEIGHTS, most: float = MOST) -> DataFrame:
@@ -168,8 +176,9 @@ def _base_and_key(doc_id: Column, size: Column, m: Column, most: int, seed: int)
 
 
 def plan(docs: DataFrame, weights=WEIGHTS, most: int = 3, seed: int = SEED, id_col: str = "doc_id",
-         text_col: str = "text", source_col: str = "source") -> DataFrame:
-    """One row per source: source, source_size, target, m, cuts, lefts.  `copies` needs no more."""
+         text_col: str = "text", source_col: str = "source") -> tuple[DataFrame, DataFrame]:
+    """The documents' (doc_id, source, size), and one row per source: source, source_size, target, m,
+    cut, extra.  `copies` needs no more."""
     sized = stored(
         docs.select(
             F.col(id_col).alias("doc_id"), F.col(source_col).alias("source"),
@@ -188,34 +197,50 @@ def plan(docs: DataFrame, weights=WEIGHTS, most: int = 3, seed: int = SEED, id_c
     base, key = _base_and_key(F.col("d.doc_id"), F.col("d.size"), F.col("t.m"), most, seed)
     rated = stored(
         sized.alias("d").join(tilt.alias("t"), F.expr("d.source <=> t.source"))
-        .select("d.source", "d.size", "t.target", base.alias("base"), key.alias("key")),
+        .select("d.source", "d.size", "t.target", base.alias("base"), key.alias("key"))
+        .where((F.col("base") < most) & (F.col("size") > 0)),
         "mix-rated",
     )
-    cuts = _cuts(rated, most)
-    return stored(
+    floor, _ = _base_and_key(F.lit(0), F.col("c.size"), F.col("t.m"), most, seed)
+    groups = stored(
+        counts.alias("c").join(tilt.alias("t"), F.expr("c.source <=> t.source"))
+        .select("c.source", "c.size", "c.n", "t.target", floor.alias("base")),
+        "mix-groups",
+    )
+    need = groups.groupBy("source").agg(
+        (F.first("target") - F.sum(F.col("base") * F.col("size") * F.col("n"))).alias("need")
+    )
+    cuts = _cuts(rated, need)
+    extra = _extra(rated, groups, cuts, most)
+    per = stored(
         tilt.alias("t").join(cuts.alias("c"), F.expr("t.source <=> c.source"))
-        .select("t.source", "t.source_size", "t.target", "t.m", "c.cuts", "c.lefts"),
+        .join(extra.alias("e"), F.expr("t.source <=> e.source"), "left")
+        .select("t.source", "t.source_size", "t.target", "t.m", "c.cut", "e.extra"),
         "mix-plan",
     )
+    return sized, per
+
+
+def _turn(key: Column, cut: Column) -> Column:
+    """Documents of one size in turn: those below the cut have been rounded up and come last."""
+    return F.when(key < cut, key + 2.0).otherwise(key)
 
 
 def copies(doc_id: Column, size: Column, per: str = "p", most: int = 3, seed: int = SEED) -> Column:
     """How often a document is taken; `per` is the alias of the plan's row of its source."""
     base, key = _base_and_key(doc_id, size, F.col(f"{per}.m"), most, seed)
-    up = (base < most) & (size > 0) & _taken_up(size, key, F.col(f"{per}.cuts"), F.col(f"{per}.lefts"))
-    return base + F.when(up, 1).otherwise(0)
+    cut, extra = F.col(f"{per}.cut"), F.try_element_at(F.col(f"{per}.extra"), size)
+    up = F.when((base < most) & (size > 0) & (key < cut), 1).otherwise(0)
+    more = extra["whole"] + F.when(_turn(key, cut) < extra["below"], 1).otherwise(0)
+    return base + up + F.coalesce(more, F.lit(0))
 
 
 def mix(docs: DataFrame, weights=WEIGHTS, most: int = 3, seed: int = SEED, id_col: str = "doc_id",
         text_col: str = "text", source_col: str = "source") -> DataFrame:
     """(doc_id, source, size, source_size, target, copies, taken) of every row."""
-    per = plan(docs, weights, most, seed, id_col, text_col, source_col)
-    rows = docs.select(
-        F.col(id_col).alias("doc_id"), F.col(source_col).alias("source"),
-        word_count(F.col(text_col)).alias("size"),
-    )
+    sized, per = plan(docs, weights, most, seed, id_col, text_col, source_col)
     return (
-        rows.alias("d").join(per.alias("p"), F.expr("d.source <=> p.source"))
+        sized.alias("d").join(per.alias("p"), F.expr("d.source <=> p.source"))
         .select(
             "d.doc_id", "d.source", "d.size", "p.source_size", "p.target",
             copies(F.col("d.doc_id"), F.col("d.size"), "p", most, seed).alias("copies"),
@@ -227,7 +252,7 @@ def mix(docs: DataFrame, weights=WEIGHTS, most: int = 3, seed: int = SEED, id_co
 def mixed(docs: DataFrame, weights=WEIGHTS, most: int = 3, seed: int = SEED, id_col: str = "doc_id",
           text_col: str = "text", source_col: str = "source") -> DataFrame:
     """The rows of `docs`, each as often as the mix takes it."""
-    per = plan(docs, weights, most, seed, id_col, text_col, source_col)
+    _, per = plan(docs, weights, most, seed, id_col, text_col, source_col)
     # the size is made below the join, once: the rates use it many times
     sized = docs.withColumn("__size", word_count(F.col(text_col)))
     n = copies(F.col(f"d.{id_col}"), F.col("d.__size"), "p", most, seed)
@@ -238,44 +263,20 @@ def mixed(docs: DataFrame, weights=WEIGHTS, most: int = 3, seed: int = SEED, id_
     )
 
 
-def _cuts(rated: DataFrame, most: int) -> DataFrame:
-    """(source, cuts, lefts): a document is rounded up if in some round its size is at most the
-    round's `left` and its key below the round's `cut`.
+def _cuts(can: DataFrame, need: DataFrame) -> DataFrame:
+    """(source, cut, left): documents with a key below the cut are rounded up, `left` words stay open.
 
-    The first round goes through the documents by key until the next would pass the target.  A later
-    round does the same with the words still open and the documents that fit into them.
+    The next document by key would pass the target.  Each level cuts the bin that holds the crossing
+    into `BINS` finer ones: one aggregation over the documents, grouped by source and bin.
     """
-    need = rated.groupBy("source").agg(
-        (F.first("target") - F.sum(F.col("base") * F.col("size"))).alias("need")
-    )
-    no = F.array().cast("array<double>")
-    state = stored(need.withColumn("cuts", no).withColumn("lefts", no), "mix-cuts")
-    can = rated.where((F.col("base") < most) & (F.col("size") > 0))
-    for _ in range(ROUNDS):
-        state = _one_cut(can, state)
-    return state
-
-
-def _taken_up(size: Column, key: Column, cuts: Column, lefts: Column) -> Column:
-    return F.exists(
-        F.arrays_zip(cuts.alias("cut"), lefts.alias("left")),
-        lambda r: (size <= r["left"]) & (key < r["cut"]),
+    state = stored(
+        need.withColumn("left", F.col("need")).withColumn("lo", F.lit(-1.0)).withColumn("width", F.lit(2.0)),
+        "mix-cuts",
     )
-
-
-def _one_cut(can: DataFrame, before: DataFrame) -> DataFrame:
-    """`before` with one more round.
-
-    Each level cuts the bin that holds the crossing into `BINS` finer ones: one aggregation over the
-    documents, grouped by source and bin.
-    """
-    names = ["source", "need", "cuts", "lefts"]
-    state = before.withColumn("left", F.col("need")).withColumn("lo", F.lit(-1.0)).withColumn("width", F.lit(2.0))
     for _ in range(LEVELS):
         inside = (
             can.alias("d").join(state.alias("s"), F.expr("d.source <=> s.source"))
-            .where("d.size <= s.need and d.key >= s.lo and d.key < s.lo + s.width")
-            .where(~_taken_up(F.col("d.size"), F.col("d.key"), F.col("s.cuts"), F.col("s.lefts")))
+            .where("d.key >= s.lo and d.key < s.lo + s.width")
             .select(
                 "s.source", "d.size",
                 F.least(
@@ -308,14 +309,77 @@ def _one_cut(can: DataFrame, before: DataFrame) -> DataFrame:
             )
             .withColumn("at", walk)
             .select(
-                *names,
-                F.col("at.left").alias("left"),
+                "source", F.col("at.left").alias("left"),
                 (F.col("lo") + F.col("width") * F.col("at.bin") / BINS).alias("lo"),
                 F.when(F.col("at.stop"), F.col("width") / BINS).otherwise(F.lit(0.0)).alias("width"),
             ),
             "mix-cuts",
         )
-    return state.select(
-        "source", F.col("left").alias("need"),
-        F.concat("cuts", F.array("lo")).alias("cuts"), F.concat("lefts", F.array("need")).alias("lefts"),
+    return state.select("source", F.col("lo").alias("cut"), "left")
+
+
+def _fill(sizes: pd.DataFrame) -> pd.DataFrame:
+    """Of one source, by falling size: as many copies as fit and are to spare."""
+    left, picked = float(sizes["left"].iloc[0]), []
+    for size, n, spare in sizes.sort_values("size", ascending=False)[["size", "n", "spare"]].itertuples(index=False):
+        take = min(spare, int(left // size))
+        if take:
+            left -= take * size
+            picked.append((sizes["source"].iloc[0], size, n, take // n, take % n))
+    return pd.DataFrame(picked, columns=["source", "size", "n", "whole", "rest"])
+
+
+def _extra(can: DataFrame, groups: DataFrame, cuts: DataFrame, most: int) -> DataFrame:
+    """(source, extra): of the sizes that fill what is left, how often all documents are taken once
+    more, and the turn below which one copy more goes out.
+
+    What is left is less than a document, so a source has no more sizes here than its longest
+    document has words, and no more copies to give.
+    """
+    up = (
+        can.alias("d").join(cuts.alias("c"), F.expr("d.source <=> c.source")).where("d.key < c.cut")
+        .groupBy("d.source", "d.size").agg(F.count(F.lit(1)).alias("up"))
+    )
+    spare = (
+        groups.alias("g").join(cuts.alias("c"), F.expr("g.source <=> c.source")).where("g.size between 1 and c.left")
+        .join(up.alias("u"), F.expr("g.source <=> u.source and g.size = u.size"), "left")
+        .select(
+            "g.source", "g.size", "g.n", "c.left",
+            (F.col("g.n") * (F.lit(most) - F.col("g.base")) - F.coalesce("u.up", F.lit(0))).alias("spare"),
+        )
+        .where("spare > 0")
+    )
+    picked = stored(
+        spare.groupBy("source").applyInPandas(
+            _fill, "source string, size long, n long, whole long, rest long"
+        ),
+        "mix-picked",
+    )
+    turns = (
+        can.alias("d").join(cuts.alias("c"), F.expr("d.source <=> c.source"))
+        .join(picked.where("rest > 0").alias("p"), F.expr("d.source <=> p.source and d.size = p.size"))
+        .select(
+            "p.source", "p.size", "p.rest", _turn(F.col("d.key"), F.col("c.cut")).alias("turn"),
+            F.pmod(F.xxhash64("d.key"), F.ceil(F.col("p.n") / TASK_ROWS)).alias("part"),
+        )
+    )
+    # the first of each part, then the first of those: a size that many documents have fills many parts
+    first = turns.withColumn("i", F.row_number().over(Window.partitionBy("source", "size", "part").orderBy("turn")))
+    whole = first.where("i <= rest + 1").withColumn(
+        "i", F.row_number().over(Window.partitionBy("source", "size").orderBy("turn"))
+    )
+    below = whole.where("i = rest + 1").select("source", "size", F.col("turn").alias("below"))
+    return (
+        picked.alias("p").join(below.alias("b"), F.expr("p.source <=> b.source and p.size = b.size"), "left")
+        .groupBy("p.source")
+        .agg(
+            F.map_from_entries(
+                F.collect_list(
+                    F.struct(
+                        F.col("p.size").alias("size"),
+                        F.struct(F.col("p.whole").alias("whole"), F.coalesce("b.below", F.lit(-2.0)).alias("below")),
+                    )
+                )
+            ).cast(EXTRA).alias("extra")
+        )
     )
