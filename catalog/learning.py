@@ -219,19 +219,19 @@ def word2vec_skipgram(spark, sf):
 
 @query("word2vec_cbow", SQL_WORDS)
 def word2vec_cbow(spark, sf):
-    _, vectors = embed.word2vec_cbow(documents(spark, sf), doc_tokens(), epochs=2)
+    _, vectors = embed.word2vec_cbow(documents(spark, sf), doc_tokens())
     return sized(vectors)
 
 
 @query("fasttext_skipgram", SQL_WORDS)
 def fasttext_skipgram(spark, sf):
-    _, vectors = embed.fasttext_skipgram(documents(spark, sf), doc_tokens(), epochs=1)
+    _, vectors = embed.fasttext_skipgram(documents(spark, sf), doc_tokens())
     return sized(vectors)
 
 
 @query("save_model", SQL_WORDS)
 def save_model(spark, sf):
-    model, _ = embed.word2vec_skipgram(documents(spark, sf), doc_tokens())
+    model = embed.spark_skipgram(documents(spark, sf), doc_tokens())
     path = scratch_path(spark, "word2vec")
     files.save_model(model, path)
     table_path = scratch_path(spark, "word-vectors")

@@ -45,7 +45,7 @@ def train_vectors(reviews: DataFrame, dim: int = 100, **options) -> dict[str, Da
     tokens = tokenize_ws(F.col("reviewText2"))
     return {
         "cbow": embed.word2vec_cbow(reviews, tokens, dim=dim, **options)[1],
-        "skipgram": embed.word2vec_skipgram(reviews, tokens, dim=dim)[1],
+        "skipgram": embed.word2vec_skipgram(reviews, tokens, dim=dim, **options)[1],
         "fasttext": embed.fasttext_skipgram(reviews, tokens, dim=dim, **options)[1],
     }
 

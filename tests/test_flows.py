@@ -77,7 +77,7 @@ def test_reviews_end_to_end(spark, review_files, tmp_path):
     counts = {r.rating: r["count"] for r in data.groupBy("rating").count().collect()}
     assert counts[0] == 100 and counts[1] == round(0.9 * 96)
     assert data.where("overall = 3 or length_review <> 7").count() == 0
-    vectors = reviews.train_vectors(data, dim=8, epochs=1, buckets=64)
+    vectors = reviews.train_vectors(data, dim=8, epochs=2, steps=1)
     assert set(vectors) == {"cbow", "skipgram", "fasttext"}
     got = reviews.classify_reviews(
         data, "id", {k: vectors[k] for k in ("cbow", "skipgram")}, dim=8, components=4, rounds=3, depth=3

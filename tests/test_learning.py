@@ -142,24 +142,93 @@ def cosine(v, a, b):
     return float(v[a] @ v[b] / np.linalg.norm(v[a]) / np.linalg.norm(v[b]))
 
 
-@pytest.mark.parametrize("kind", ["cbow", "fasttext"])
-def test_trained_words_group_by_topic(spark, sentences, kind):
-    options = dict(dim=16, epochs=8, rate=0.1, partitions=2, buckets=512)
-    if kind == "fasttext":
-        model, table = embed.fasttext_skipgram(sentences, F.col("tokens"), **options)
-    else:
-        model, table = embed.word2vec_cbow(sentences, F.col("tokens"), **options)
-    v = {r.word: np.array(r.vector) for r in table.collect()}
-    assert set(v) == {"red", "green", "blue", "pink", "cat", "dog", "cow", "pig"}
-    assert cosine(v, "red", "blue") > cosine(v, "red", "dog")
-    unseen = model.vectors(spark.createDataFrame([("greens",)], "word string")).count()
-    assert unseen == (0 if kind == "cbow" else 1)
+TRAINERS = {"cbow": embed.word2vec_cbow, "skipgram": embed.word2vec_skipgram, "fasttext": embed.fasttext_skipgram}
 
 
-def test_model_round_trip(spark, sentences, tmp_path):
-    model, table = embed.fasttext_skipgram(sentences, F.col("tokens"), dim=4, epochs=1, partitions=1, buckets=64)
-    model.save(spark, str(tmp_path / "m"))
-    again = embed.UnitModel.load(spark, str(tmp_path / "m"))
+@pytest.mark.parametrize("kind", TRAINERS)
+def test_trained_words_group_by_topic(spark, sentences, kind):
+    """The nearest words of each word are those of its topic, after the default five epochs."""
+    model, table = TRAINERS[kind](sentences, F.col("tokens"), dim=16, steps=2)
+    v = {r.word: np.array(r.vector) for r in table.collect()}
+    topics = [{"red", "green", "blue", "pink"}, {"cat", "dog", "cow", "pig"}]
+    assert set(v) == topics[0] | topics[1]
+    for topic in topics:
+        for word in topic:
+            nearest = sorted(v, key=lambda w: -cosine(v, word, w))[1:4]
+            assert set(nearest) == topic - {word}
+    unseen = {r.word: np.array(r.vector) for r in model.vectors(
+        spark.createDataFrame([("greens",), (None,), ("xyz",), ("red",)], "word string")).collect()}
+    assert set(unseen) == ({"greens", "red"} if kind == "fasttext" else {"red"})
+    assert np.allclose(unseen["red"], v["red"], atol=1e-6)
+    if kind == "fasttext":
+        v["greens"] = unseen["greens"]
+        assert cosine(v, "greens", "green") > cosine(v, "greens", "dog")
+
+
+@pytest.mark.parametrize("kind", TRAINERS)
+def test_parts_do_not_change_the_vectors(spark, sentences, kind, monkeypatch):
+    def trained():
+        _, table = TRAINERS[kind](sentences.repartition(3), F.col("tokens"), dim=4, epochs=2, steps=2)
+        return {r.word: np.array(r.vector) for r in table.collect()}
+
+    one = trained()
+    monkeypatch.setattr(embed, "PART_TOKENS", 300)
+    several = trained()
+    assert all(np.allclose(one[w], several[w], atol=1e-3) for w in one)
+
+
+@pytest.mark.parametrize("cbow", [True, False])
+def test_piece_gradient(cbow):
+    """The gradient of the piece's objective, by small differences."""
+    rng = np.random.default_rng(1)
+    e, c, noise = (rng.normal(size=(n, 3)) for n in (9, 9, 4))
+    first, end, window, negatives = 2, 7, 3, 5
+
+    def objective(e, c, noise):
+        total = 0.0
+        log = lambda x: -np.log1p(np.exp(-x))
+        for i in range(first, end):
+            shares = {j: (window + 1 - abs(i - j)) / window for j in range(9) if 0 < abs(i - j) <= window}
+            if cbow:
+                hidden = sum(w * e[j] for j, w in shares.items()) / sum(shares.values())
+                total += log(hidden @ c[i]) + negatives * np.mean(log(-(noise @ hidden)))
+            else:
+                total += sum(w * log(e[i] @ c[j]) for j, w in shares.items())
+                total += negatives * sum(shares.values()) * np.mean(log(-(noise @ e[i])))
+        return total
+
+    got = embed.piece_gradient(e, c, first, end, noise, window, cbow, negatives)
+    for which, g in enumerate(got):
+        for at in np.ndindex(g.shape):
+            moved = []
+            for eps in (1e-5, -1e-5):
+                args = [e.copy(), c.copy(), noise.copy()]
+                args[which][at] += eps
+                moved.append(objective(*args))
+            assert g[at] == pytest.approx((moved[0] - moved[1]) / 2e-5, abs=1e-5)
+
+
+def test_ngrams_have_rows_of_their_own(spark, sentences, tmp_path):
+    model, table = embed.fasttext_skipgram(sentences, F.col("tokens"), dim=4, epochs=1, steps=1)
+    assert model.units.count() == model.units.select("id").distinct().count() == model.units.select("unit").distinct().count()
+    grams = spark.createDataFrame([("abab",), ("a",), ("",)], "w string").select(embed.ngrams(F.col("w"), 3, 4).alias("g"))
+    assert [r.g for r in grams.collect()] == [["<ab", "aba", "bab", "ab>", "<aba", "abab", "bab>"], ["<a>"], []]
+    model.save(str(tmp_path / "m"))
+    again = embed.VectorModel.load(spark, str(tmp_path / "m"))
     a = {r.word: r.vector for r in table.collect()}
     b = {r.word: r.vector for r in again.vectors(table).collect()}
     assert a.keys() == b.keys() and all(np.allclose(a[w], b[w]) for w in a)
+
+
+def test_long_texts_are_cut_without_loss(spark, monkeypatch):
+    """Pieces hold every token once, and its window; nothing to learn from is no error."""
+    rng = random.Random(3)
+    rows = [([rng.choice("abcdefg") for _ in range(n)],) for n in (100, 7, 1, 0)] + [(None,)]
+    df = spark.createDataFrame(rows, "tokens array<string>")
+    monkeypatch.setattr(embed, "PIECE", 16)
+    words = embed.vocabulary(df, F.col("tokens"), 2)
+    pieces, _ = embed.pieces_of(df, F.col("tokens"), words, 3, 2, 4)
+    assert sum(r.n for r in pieces.collect()) == 107
+    assert all(r.n <= 16 and len(r.ids) <= 16 + 6 and r.first <= 3 for r in pieces.collect())
+    _, none = embed.word2vec_cbow(df.limit(0), F.col("tokens"), dim=4)
+    assert none.count() == 0
