@@ -405,10 +405,9 @@ def cv_median(spark, sf):
     return models.cv_median(scores).select("k", _finite(F.col("cv_median")))
 
 
-@query("sweep_k_gmm", "SELECT CAST(range AS INTEGER) AS k, true AS is_silhouette, true AS finite FROM range(2, 5)")
+@query("sweep_k_gmm", "SELECT CAST(range AS INTEGER) AS k, true AS is_silhouette, true AS finite FROM range(2, 11)")
 def sweep_k_gmm(spark, sf):
-    # three of the nine k, three folds, few iterations: each k is four fits
-    sweep = models.sweep_k_gmm(reduced_items(spark, sf), "vec_id", (2, 3, 4), folds=3, max_iter=20)
+    sweep = models.sweep_k_gmm(reduced_items(spark, sf), "vec_id")
     return sweep.select(
         "k", F.col("silhouette").between(-1, 1).alias("is_silhouette"),
         _finite(F.col("cv_likelihood") + F.col("bic")),

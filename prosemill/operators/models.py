@@ -16,13 +16,13 @@ from pyspark.ml.classification import (
 from pyspark.ml.clustering import GaussianMixture, KMeans
 from pyspark.ml.evaluation import ClusteringEvaluator
 from pyspark.ml.feature import OneHotEncoder
-from pyspark.ml.functions import vector_to_array
+from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from prosemill.operators import mixtures
 from prosemill.operators.neighbours import silhouette as exact_silhouette
-from prosemill.operators.sampling import fold_of
 from prosemill.operators.scaling import nth_smallest
 from prosemill.session import cut_lineage
 
@@ -232,13 +232,10 @@ def mean_log_likelihood(model, df: DataFrame, features: str = "features") -> flo
 def gmm_cv_likelihood(
     df: DataFrame, id_col: str, k: int, features: str = "features", folds: int = 5, **options
 ) -> DataFrame:
-    """(k, fold, log_likelihood): held-out mean log-likelihood of each fold."""
-    data = df.withColumn("_fold", fold_of(id_col, folds))
-    rows = []
-    for f in range(folds):
-        model = gaussian_mixture(data.where(F.col("_fold") != f), k, features, **options)
-        held = data.where(F.col("_fold") == f)
-        rows.append((k, f, mean_log_likelihood(model, held, features)))
+    """(k, fold, log_likelihood): held-out mean log-likelihood of each fold; the folds are fitted together."""
+    data = mixtures.prepared(df, id_col, features, folds)
+    scores = mixtures.held_out(data, mixtures.fit(data, [(k, f) for f in range(folds)], **options))
+    rows = [(k, f, float(x)) for (_, f), x in sorted(scores.items())]
     return df.sparkSession.createDataFrame(rows, "k int, fold int, log_likelihood double")
 
 
@@ -248,6 +245,9 @@ def cv_median(scores: DataFrame) -> DataFrame:
 
 
 def _silhouette(df: DataFrame, features: str, metric: str) -> float:
+    """NaN where all rows are in one cluster."""
+    if df.select("cluster").distinct().limit(2).count() < 2:
+        return float("nan")
     if metric == "squaredEuclidean":
         return silhouette_squared(df, features)
     rows = df.select(vector_to_array(features).alias("vec"), "cluster")
@@ -258,21 +258,17 @@ def sweep_k_gmm(
     df: DataFrame, id_col: str, ks: Sequence[int] = tuple(range(2, 11)), features: str = "features",
     folds: int = 5, metric: str = "euclidean", **options,
 ) -> DataFrame:
-    """(k, cv_likelihood, silhouette, bic, log_bic): one fit per k and fold, cached input."""
-    data = df.select(id_col, features).persist()
-    try:
-        rows = []
-        for k in ks:
-            model = gaussian_mixture(data, k, features, **options)
-            labelled = model.transform(data)
-            bic = gmm_bic(model, data)
-            cv = gmm_cv_likelihood(data, id_col, k, features, folds, **options)
-            rows.append(
-                (k, float(cv_median(cv).first()["cv_median"]),
-                 float(_silhouette(labelled, features, metric)), float(bic))
-            )
-    finally:
-        data.unpersist()
+    """(k, cv_likelihood, silhouette, bic, log_bic); all sizes and folds are fitted in the same scans."""
+    data = mixtures.prepared(df, id_col, features, folds)
+    fits = mixtures.fit(data, [(k, f) for k in ks for f in (mixtures.WHOLE, *range(folds))], **options)
+    held = mixtures.held_out(data, fits)
+    labelled = cut_lineage(mixtures.clusters(data, id_col, fits)).withColumn("features", array_to_vector("x"))
+    rows = []
+    for k in ks:
+        if (k, mixtures.WHOLE) in fits:
+            own = labelled.select("features", F.col(f"k{k}").alias("cluster"))
+            median = float(np.median([held[k, f] for f in range(folds) if (k, f) in held] or [np.nan]))
+            rows.append((k, median, float(_silhouette(own, "features", metric)), fits[k, mixtures.WHOLE].bic()))
     table = df.sparkSession.createDataFrame(
         rows, "k int, cv_likelihood double, silhouette double, bic double"
     )

@@ -6,8 +6,9 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
 
 from prosemill.functions.text import tokenize_ws
-from prosemill.operators import embed, features, models, terms
+from prosemill.operators import embed, features, mixtures, models, terms
 from prosemill.operators.sampling import train_test_split
+from prosemill.session import cut_lineage
 
 
 @pytest.fixture(scope="module")
@@ -119,6 +120,43 @@ def test_clusterings(blobs, spark):
     assert [r.k for r in both] == [2, 3] and both[1].cv_likelihood > both[0].cv_likelihood
 
 
+def test_mixtures_fitted_together(blobs, spark):
+    """As Spark's own on clear groups, and the likelihood of the last scan is that of the rows."""
+    df, x = blobs
+    data = mixtures.prepared(df, "id", "features", 3)
+    fits = mixtures.fit(data, [(k, f) for k in (1, 3) for f in (mixtures.WHOLE, 0, 1, 2)])
+    one = fits[1, mixtures.WHOLE]
+    assert one.settled and np.allclose(one.means[0], x.mean(axis=0)) and np.allclose(one.covs[0], np.cov(x.T, bias=True), atol=1e-4)
+    three, spark_three = fits[3, mixtures.WHOLE], models.gaussian_mixture(df, 3)
+    assert three.log_likelihood > spark_three.summary.logLikelihood - 1  # theirs may end in a lesser optimum
+    label = np.array([r.label for r in df.orderBy("id").collect()]).astype(int)
+    for c in range(3):  # the groups lie far apart: a component has the moments of one
+        j = int(np.argmin(((three.means - x[label == c].mean(axis=0)) ** 2).sum(axis=1)))
+        assert np.allclose(three.means[j], x[label == c].mean(axis=0), atol=0.1)
+        assert np.allclose(three.covs[j], np.cov(x[label == c].T, bias=True), atol=0.2)
+    assert three.bic() == pytest.approx(-2 * three.log_likelihood + (2 + 3 * 4 + 3 * 10) * np.log(240))
+    fold = {r.id: r.fold for r in data.collect()}
+    held = mixtures.held_out(data, fits)
+    assert set(held) == {(k, f) for k in (1, 3) for f in range(3)}
+    for (k, f), mean in held.items():
+        rows = x[[fold[i] == f for i in range(len(x))]]
+        assert mean == pytest.approx(mixtures._top_sum(fits[k, f].logs(rows)).mean())
+    labels = mixtures.clusters(data, "id", fits).collect()
+    assert len({(r.k3, int(np.argmax(x[r.id] // 3 * 3))) for r in labels}) >= 3 and {r.k1 for r in labels} == {0}
+
+
+def test_a_fold_is_not_seen_by_its_fit(blobs, spark):
+    df, x = blobs
+    data = mixtures.prepared(df, "id", "features", 3)
+    moved = cut_lineage(data.withColumn("x", F.when(F.col("fold") == 1, F.transform("x", lambda v: v * 100)).otherwise(F.col("x"))))
+    a, b = (mixtures.fit(d, [(2, 1)], max_iter=5)[2, 1] for d in (data, moved))
+    assert np.allclose(a.means, b.means) and np.allclose(a.covs, b.covs) and a.rows == b.rows
+    assert mixtures.fit(data.limit(0), [(2, 1)]) == {}
+    flat = spark.createDataFrame([(i, [1.0, 2.0]) for i in range(9)], "id long, vec array<double>")
+    got = models.sweep_k_gmm(features.as_vector(flat, "vec"), "id", (2,), folds=2, metric="squaredEuclidean")
+    assert got.first().cv_likelihood > 0  # equal rows: one narrow group
+
+
 def test_isolation_forest_finds_planted_rows(spark):
     rng = np.random.default_rng(3)
     x = rng.normal(size=(400, 5))
