@@ -218,11 +218,70 @@ def with_candidates(docs: DataFrame, text_col: str = "text", name: str = "found"
     firm = F.filter("__b", lambda s: s["base"])
     # of base matches that fail their check only long digit groups remain candidates
     failed = F.filter("__b", lambda s: ~s["base"] & (s["kind"] == "card") & (s["end"] - s["start"] >= 12))
-    rest = F.filter(
-        F.concat(failed, F.col("__l")),
-        lambda s: ~F.exists("__firm", lambda f: (f["start"] < s["end"]) & (s["start"] < f["end"])),
+    found = _let(firm, lambda f: F.concat(f, _apart(F.concat(failed, F.col("__l")), f)))
+    return voted.select(*columns, found.alias(name))
+
+
+def _let(value: Column, then) -> Column:
+    """then(value), with the value computed once."""
+    return F.get(F.transform(F.array(value), then), F.lit(0))
+
+
+def _running(items: Column, value, kind: str) -> Column:
+    """The items in groups of 256, each as (item, before): the largest value(item) of all items before.
+
+    An item costs one step of its group; what the groups before hold is found from one number each.
+    """
+    start = F.struct(F.lit(0).alias("top"), F.array().cast(f"array<struct<item:{kind},before:int>>").alias("out"))
+
+    def top(group: Column) -> Column:
+        return F.aggregate(group, F.lit(0), lambda a, x: F.greatest(a, value(x)))
+
+    def run(group: Column, before: Column) -> Column:
+        done = F.aggregate(
+            group, start,
+            lambda a, x: F.struct(
+                F.greatest(a["top"], value(x)).alias("top"),
+                F.concat(a["out"], F.array(F.struct(x.alias("item"), a["top"].alias("before")))).alias("out"),
+            ),
+        )["out"]
+        return F.transform(done, lambda r: F.struct(r["item"].alias("item"), F.greatest(r["before"], before).alias("before")))
+
+    def groups(all_items: Column) -> Column:
+        return F.transform(
+            F.sequence(F.lit(0), F.floor((F.size(all_items) - 1) / GROUP).cast("int")),
+            lambda g: F.slice(all_items, g * GROUP + 1, F.lit(GROUP)),
+        )
+
+    def all_runs(cut: Column) -> Column:
+        return _let(
+            F.transform(cut, top),
+            lambda tops: F.transform(
+                cut, lambda group, i: run(group, F.aggregate(F.slice(tops, F.lit(1), i), F.lit(0), lambda a, x: F.greatest(a, x)))
+            ),
+        )
+
+    none = F.array().cast(f"array<array<struct<item:{kind},before:int>>>")
+    return _let(items, lambda every: F.when(F.size(every) > 0, _let(groups(every), all_runs)).otherwise(none))
+
+
+EVENT = f"struct<at:int,firm:boolean,far:int,span:{CANDIDATE[6:-1]}>"
+
+
+def _apart(spans: Column, firm: Column) -> Column:
+    """The spans that overlap no firm one: in the order of ends and firm starts, no firm end before is beyond their start."""
+    events = F.concat(
+        F.transform(firm, lambda f: F.struct(
+            f["start"].alias("at"), F.lit(True).alias("firm"), f["end"].alias("far"), f.alias("span"))),
+        F.transform(spans, lambda s: F.struct(
+            s["end"].alias("at"), F.lit(False).alias("firm"), s["start"].alias("far"), s.alias("span"))),
     )
-    return voted.withColumn("__firm", firm).select(*columns, F.concat("__firm", rest).alias(name))
+    ran = _running(F.sort_array(events), lambda e: F.when(e["firm"], e["far"]).otherwise(0), EVENT)
+    free = F.filter(F.flatten(ran), lambda r: ~r["item"]["firm"] & (r["before"] <= r["item"]["far"]))
+    # without firm spans there is nothing to compare with
+    return F.when(
+        (F.size(firm) > 0) & (F.size(spans) > 0), F.transform(free, lambda r: r["item"]["span"])
+    ).otherwise(spans)
 
 
 def aggregate_votes(patterns: list[tuple[str, tuple[int, ...], int]], rounds: int = EM_ROUNDS):
@@ -347,27 +406,41 @@ def listed(spans: Column) -> Column:
     )
 
 
+PLACED = "struct<start:int,order:int,kind:string,end:int>"
+
+
 def mask(text: Column, spans: Column) -> Column:
-    """`text` with every span replaced by its kind in angle brackets; overlapping spans become one."""
-    start = F.struct(F.lit(0).alias("at"), F.array().cast("array<string>").alias("parts"))
-    done = F.aggregate(
-        spans, start,
-        lambda a, s: F.struct(
-            F.greatest(a["at"], s["end"]).alias("at"),
-            F.when(
-                s["start"] >= a["at"],
-                F.concat(
-                    a["parts"],
-                    F.array(
-                        F.substring(text, a["at"] + 1, s["start"] - a["at"]),
-                        F.concat(F.lit("<"), s["kind"], F.lit(">")),
-                    ),
+    """`text` with every span replaced by its kind in angle brackets; overlapping spans become one.
+
+    spans: sorted.  The text is cut once for each group of spans, and within that for each span.
+    """
+    def reach(r: Column) -> Column:
+        return F.greatest(r["before"], r["item"]["end"])
+
+    def of_group(group: Column) -> Column:
+        base, end = F.get(group, F.lit(0))["before"], reach(F.element_at(group, -1))
+        return _let(
+            F.substring(text, base + 1, end - base),
+            lambda part: F.array_join(
+                F.transform(
+                    group,
+                    lambda r: F.when(
+                        r["item"]["start"] >= r["before"],
+                        F.concat(
+                            F.substring(part, r["before"] - base + 1, r["item"]["start"] - r["before"]),
+                            F.lit("<"), r["item"]["kind"], F.lit(">"),
+                        ),
+                    ).otherwise(F.lit("")),
                 ),
-            ).otherwise(a["parts"]).alias("parts"),
-        ),
-    )
-    whole = F.transform(
-        F.array(done),
-        lambda d: F.concat(F.array_join(d["parts"], ""), F.substring(text, d["at"] + 1, F.length(text))),
-    )
-    return F.when(F.size(spans) > 0, F.get(whole, F.lit(0))).otherwise(text)
+                "",
+            ),
+        )
+
+    def whole(groups: Column) -> Column:
+        end = reach(F.element_at(F.element_at(groups, -1), -1))
+        return F.concat(F.array_join(F.transform(groups, of_group), ""), F.substring(text, end + 1, F.length(text)))
+
+    def masked_text(own: Column) -> Column:
+        return F.when(F.size(own) > 0, _let(_running(own, lambda s: s["end"], PLACED), whole)).otherwise(text)
+
+    return _let(spans, masked_text)

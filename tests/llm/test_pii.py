@@ -117,3 +117,49 @@ def test_no_python_in_the_plan(documents, capsys):
 @pytest.mark.parametrize("kind", sorted(pii.LOOSE))
 def test_every_kind_has_cues(kind):
     assert pii.CUES[kind]
+
+
+def test_overlaps_and_masks_against_plain_loops(shared):
+    """Spans dropped beside firm ones, and masks, for more spans than a group holds."""
+    from pyspark.sql import functions as F
+
+    rng = random.Random(7)
+    rows = []
+    for n in (0, 1, 3, 40, 700):
+        make = lambda m: [
+            (rng.choice(pii.KINDS), a, a + rng.randint(1, 30), True, [1, 0, 0, 1, 1]) for a in (rng.randrange(4 * n + 1) for _ in range(m))
+        ]
+        rows += [(n, make(n), make(n), "é" + "".join(rng.choice("abcé ") for _ in range(4 * n + 40))), (n, make(n), [], "x" * 999), (n, [], make(n), "y" * 999)]
+    df = shared.createDataFrame(rows, f"n int, firm {pii.CANDIDATE}, loose {pii.CANDIDATE}, text string")
+    got = df.select(
+        "*", pii._apart(F.col("loose"), F.col("firm")).alias("free"), pii._placed(F.col("loose"), lambda s: s["base"]).alias("placed")
+    ).withColumn("masked", pii.mask(F.col("text"), F.col("placed"))).collect()
+    for r in got:
+        want = [s for s in r.loose if not any(f.start < s.end and s.start < f.end for f in r.firm)]
+        assert sorted(r.free) == sorted(want)
+        at, parts = 0, []
+        for s in r.placed:
+            if s.start >= at:
+                parts += [r.text[at:s.start], f"<{s.kind}>"]
+            at = max(at, s.end)
+        assert r.masked == "".join(parts) + r.text[at:]
+
+
+def test_a_page_of_addresses(documents):
+    """Time grows with the spans of a text, not with their square."""
+    import time
+
+    def seconds(n):
+        text = " ".join(f"user{i}@mail{i % 97}.example.com, +1 (017) 555-{i % 10000:04d};" for i in range(n // 2))
+        docs = documents([(1, text)])
+        start = time.perf_counter()
+        (row,) = pii.find(docs).collect()
+        middle = time.perf_counter()
+        (out,) = pii.masked(docs).collect()
+        assert len(row.spans) == n and out.text.count("<email>") == out.text.count("<phone>") == n // 2
+        return middle - start, time.perf_counter() - middle
+
+    seconds(2)
+    few, many = seconds(4_000), seconds(32_000)
+    assert many[0] < 12 * few[0] + 4 and many[1] < 12 * few[1] + 4, (few, many)  # eight times the spans
+    print(few, many)
