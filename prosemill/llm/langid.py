@@ -90,8 +90,9 @@ def training_sample(docs: DataFrame, lang: str, text: str, id_col: str, sample_b
     """(lang, text as bytes): texts of less than `sample_bytes` and a share in all for each language, by
     a hash of the id; of a text longer than the share, a piece.
 
-    The first pass counts bytes by language and hash bucket for each possible share, so that the window
-    below sorts the sample only, not the table.
+    The first pass counts bytes by language and hash bucket for each possible share, the second by finer
+    buckets inside the one in which the sample fills up, so that the window below sorts the sample and
+    one part in 2^28 of a language's texts at most, not the table.
     """
     known = docs.where(F.col(lang).isNotNull() & F.col(text).isNotNull()).select(
         F.col(lang).alias("lang"), F.col(text).cast("binary").alias("text"),
@@ -113,11 +114,29 @@ def training_sample(docs: DataFrame, lang: str, text: str, id_col: str, sample_b
     buckets = stored(
         per.select("*", *totals).select("lang", "bucket", share.cast("long").alias("share"), size.alias("bytes"))
         .withColumn("before", F.sum("bytes").over(upto) - F.col("bytes"))
-        .where(F.col("before") < sample_bytes).select("lang", "bucket", "share"),
+        .where(F.col("before") < sample_bytes),
         "langid-buckets",
     )
-    chosen = known.join(buckets, (buckets.lang == known.lang) & (buckets.bucket == bucket)).select(
-        known.lang, "text", "draw", "whole", F.least("whole", "share").alias("bytes")
+    fine = F.pmod(F.shiftrightunsigned("draw", 14), F.lit(1 << 14))
+    mine = known.withColumn("bucket", bucket).withColumn("fine", fine)
+    filling = buckets.where(F.col("before") + F.col("bytes") >= sample_bytes)  # one bucket of a language
+    inside = mine.select("lang", "bucket", "fine", "whole").join(filling, ["lang", "bucket"]).groupBy("lang", "fine").agg(
+        F.sum(F.least("whole", "share")).alias("bytes"), F.first("before").alias("before")
+    )
+    so_far = F.sum("bytes").over(every.orderBy("fine")) - F.col("bytes")  # at most 2^14 rows for a language
+    last = (
+        inside.withColumn("so_far", F.col("before") + so_far).where(F.col("so_far") < sample_bytes)
+        .groupBy("lang").agg(F.max("fine").alias("last"))
+    )
+    cuts = stored(
+        buckets.join(last, "lang", "left").select(
+            "lang", "bucket", "share",
+            F.when(F.col("before") + F.col("bytes") >= sample_bytes, F.col("last")).alias("last"),
+        ),
+        "langid-cuts",
+    )
+    chosen = mine.join(cuts, ["lang", "bucket"]).where("last is null or fine <= last").select(
+        "lang", "text", "draw", "whole", F.least("whole", "share").alias("bytes")
     )
     at = F.pmod(F.xxhash64("draw"), F.col("whole") - F.col("bytes") + 1).cast("int")
     piece = F.col("text").substr(at + 1, F.col("bytes").cast("int"))

@@ -8,9 +8,9 @@ thing sent to all tasks, and its size is a parameter; the candidates never move.
 rows, as exhaustive search demands.
 
 Defined results: vectors that are null, or hold null or non-finite components, and null ids take no
-part.  A vector's missing trailing components count as zero.  Fully equal rows count once; rows that
-share an id but not the vector are candidates each, and as queries their results are merged.  Scores
-are 64-bit integers (sums wrap beyond that range).  Other columns are ignored.
+part.  A vector's missing trailing components count as zero.  Repeated rows are rows each: a query's
+own row, told by a row number, is no candidate, rows equal to it are, and repeated queries get results
+each.  Scores are 64-bit integers (sums wrap beyond that range).  Other columns are ignored.
 """
 
 from __future__ import annotations
@@ -19,11 +19,11 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from prosemill.llm.common import stored
+from prosemill.llm.common import int_matrix, stored
 
 QUERY_BLOCK = 4096  # queries sent to the tasks at once
 STRIPE = 2048  # candidates scored at once; with it the score array stays in the cache
@@ -41,27 +41,9 @@ def integer_vectors(df: DataFrame, id_col: str, vec_col: str, scale: float) -> D
             F.col(id_col).alias("vec_id"),
             F.transform(x, lambda v: F.floor(F.lit(float(scale)) * v.cast("double"))).alias("terms"),
         )
-        .distinct()
     )
 
 
-def _matrix(column: pa.Array, width: int | None = None) -> np.ndarray:
-    """Rows of equal length, padded with zeros (cut at `width`: what no query has scores zero)."""
-    if isinstance(column, pa.ChunkedArray):
-        column = column.combine_chunks()
-    values = column.flatten().to_numpy(zero_copy_only=False).astype(np.int64)
-    sizes = column.value_lengths().to_numpy(zero_copy_only=False).astype(np.int64)
-    wide = int(sizes.max(initial=0)) if width is None else width
-    if len(sizes) and (sizes == wide).all():
-        return values.reshape(len(sizes), wide)
-    out = np.zeros((len(sizes), wide), np.int64)
-    row = np.repeat(np.arange(len(sizes)), sizes)
-    at = np.arange(len(values)) - np.repeat(np.cumsum(sizes) - sizes, sizes)
-    fits = at < wide
-    out[row[fits], at[fits]] = values[fits]
-    return out
-
-
 def _postings(matrix: np.ndarray) -> list[tuple[np.ndarray | slice, np.ndarray]]:
     lists = []
     for d in range(matrix.shape[1]):
@@ -90,39 +72,41 @@ def _scores(queries: np.ndarray, postings: list, n: int) -> np.ndarray:
 
 def _searcher(block, k: int):
     schema = pa.schema(
-        [("query_id", pa.int64()), ("vec_id", pa.int64()), ("score", pa.int64())]
+        [("query_row", pa.int64()), ("query_id", pa.int64()), ("row", pa.int64()), ("vec_id", pa.int64()),
+         ("score", pa.int64())]
     )
 
     def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        query_ids, queries = block.value
+        query_rows, query_ids, queries = block.value
         wide = queries.shape[1]
-        nq = len(query_ids)
-        best: list[tuple] = []  # (query index, vec_id, score) arrays of what may still win
+        nq = len(query_rows)
+        best: list[tuple] = []  # (query index, row, vec_id, score) arrays of what may still win
         held = 0
 
         def trim() -> None:
             nonlocal best, held
             if not best:
                 return
-            q, v, s = (np.concatenate(x) for x in zip(*best))
-            order = np.lexsort((v, ~s, q))  # ~s falls as s rises, without overflow
-            q, v, s = q[order], v[order], s[order]
+            q, r, v, s = (np.concatenate(x) for x in zip(*best))
+            order = np.lexsort((r, v, ~s, q))  # ~s falls as s rises, without overflow
+            q, r, v, s = q[order], r[order], v[order], s[order]
             first = np.searchsorted(q, q, side="left")
             keep = np.arange(len(q)) - first < k
-            best = [(q[keep], v[keep], s[keep])]
+            best = [(q[keep], r[keep], v[keep], s[keep])]
             held = int(keep.sum())
 
         for batch in batches:
+            rows_all = batch.column("row").to_numpy(zero_copy_only=False)
             ids_all = batch.column("vec_id").to_numpy(zero_copy_only=False)
-            matrix_all = _matrix(batch.column("terms"), wide)
+            matrix_all = int_matrix(batch.column("terms"), wide)
             for lo in range(0, len(ids_all), STRIPE):
-                ids, matrix = ids_all[lo : lo + STRIPE], matrix_all[lo : lo + STRIPE]
-                order = np.argsort(ids, kind="stable")
-                ids, matrix = ids[order], matrix[order]
+                rows, ids, matrix = (x[lo : lo + STRIPE] for x in (rows_all, ids_all, matrix_all))
+                order = np.lexsort((rows, ids))
+                rows, ids, matrix = rows[order], ids[order], matrix[order]
                 postings = _postings(matrix)
                 for at in range(0, nq, GROUP):
                     scores = _scores(queries[at : at + GROUP], postings, len(ids))
-                    own = query_ids[at : at + GROUP, None] == ids[None, :]
+                    own = query_rows[at : at + GROUP, None] == rows[None, :]
                     few = min(len(ids), k)
                     ranked = np.where(own, np.iinfo(np.int64).min, scores)
                     floor = np.partition(ranked, len(ids) - few, axis=1)[:, len(ids) - few, None]
@@ -131,22 +115,25 @@ def _searcher(block, k: int):
                     room = few - above.sum(axis=1, keepdims=True)
                     picked = (above | (level & (np.cumsum(level, axis=1) <= room))) & ~own
                     q, c = np.nonzero(picked)
-                    best.append((q + at, ids[c], scores[q, c]))
+                    best.append((q + at, rows[c], ids[c], scores[q, c]))
                     held += len(q)
                 if held > 8 * nq * k + 100_000:
                     trim()
         trim()
         if best:
-            q, v, s = best[0]
+            q, r, v, s = best[0]
             yield pa.RecordBatch.from_arrays(
-                [pa.array(query_ids[q]), pa.array(v), pa.array(s)], schema=schema
+                [pa.array(query_rows[q]), pa.array(query_ids[q]), pa.array(r), pa.array(v), pa.array(s)], schema=schema
             )
 
     return search
 
 
+FOUND = "query_row long, query_id long, row long, vec_id long, score long"
+
+
 def _merge(found: DataFrame, k: int) -> DataFrame:
-    order = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
+    order = Window.partitionBy("query_row").orderBy(F.desc("score"), "vec_id", "row")
     return (
         found.withColumn("rank", F.row_number().over(order))
         .where(F.col("rank") <= k)
@@ -154,34 +141,31 @@ def _merge(found: DataFrame, k: int) -> DataFrame:
     )
 
 
-def top_k(vectors: DataFrame, queries: DataFrame, k: int = 5, block: int = QUERY_BLOCK) -> DataFrame:
-    """(query_id, rank, vec_id, score): each query's k best rows of `vectors`, ties to smaller ids.
+def top_k(vectors: DataFrame, query: Column, k: int = 5, block: int = QUERY_BLOCK) -> DataFrame:
+    """(query_id, rank, vec_id, score): the k best other rows for each row where `query` holds.
 
-    Both tables are as `integer_vectors` gives them.  Candidates of a query are the rows of other ids.
+    vectors: as `integer_vectors` gives them.  Ties go to smaller ids.
     """
     spark = vectors.sparkSession
-    rows = stored(vectors, "topk-rows")
-    asked = stored(queries, "topk-queries")
-    n = asked.count()
-    blocks = -(-n // block)
+    rows = stored(vectors.withColumn("row", F.monotonically_increasing_id()), "topk-rows")
+    asked = rows.where(query)
+    blocks = -(-asked.count() // block)
     parts = []
     for b in range(blocks):
-        chunk = (
-            asked.where(F.pmod(F.xxhash64("vec_id", "terms"), F.lit(blocks)) == b).toArrow()
-        )
+        chunk = asked.where(F.pmod(F.xxhash64("row"), F.lit(blocks)) == b).toArrow()
         if not chunk.num_rows:
             continue
         sent = spark.sparkContext.broadcast(
-            (chunk.column("vec_id").to_numpy(), _matrix(chunk.column("terms")))
+            (chunk.column("row").to_numpy(), chunk.column("vec_id").to_numpy(), int_matrix(chunk.column("terms")))
         )
-        found = rows.mapInArrow(_searcher(sent, k), "query_id long, vec_id long, score long")
+        merged = _merge(rows.mapInArrow(_searcher(sent, k), FOUND), k)
         if blocks == 1:
-            return _merge(found, k)
-        parts.append(stored(_merge(found, k), "topk-part"))
+            return merged
+        parts.append(stored(merged, "topk-part"))  # a block's queries are in no other
         sent.unpersist()
     if not parts:
         return spark.createDataFrame([], "query_id long, rank int, vec_id long, score long")
     out = parts[0]
     for p in parts[1:]:
         out = out.unionByName(p)
-    return _merge(out.drop("rank"), k)
+    return out

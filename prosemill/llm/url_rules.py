@@ -13,7 +13,8 @@ third of all rows costs its distinct paths only; Spark broadcasts the rules when
 statistics allow and otherwise shuffles both sides by prefix.
 
 Defined results: a null URL or one without `://` has empty host and path, fits no rule and gets the
-default verdict.  Repeated rows are judged each.  Other columns are ignored.
+default verdict.  Repeated rows are judged each.  Other columns travel along; columns of the input
+named host, path, rule or verdict give way to the results.
 """
 
 from __future__ import annotations
@@ -21,6 +22,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+RESULTS = ("host", "path", "rule", "verdict")
 PREFIX_DIGITS = 8  # hex digits of the digest that the join uses
 
 
@@ -65,34 +67,41 @@ def judge(pages: DataFrame, rules: DataFrame, default: str = "allow", url: str =
     ).first()
     labels, chars = list(shapes.labels), list(shapes.chars)
 
-    host, path = host_and_path(F.col(url))
-    urls = pages.withColumn("host", host).withColumn("path", path)
+    # the input's columns may have any names: what is made here is named apart from them
+    mark = "_"
+    while any(c.startswith(mark) for c in pages.columns):
+        mark += "_"
+    own_host, own_path, cut, best = (f"{mark}{c}" for c in ("host", "path", "cut", "best"))
+    host, path = host_and_path(F.col(f"`{url}`"))
+    urls = pages.withColumn(own_host, host).withColumn(own_path, path)
+    kept = [F.col(f"`{c}`") for c in pages.columns if c not in RESULTS]
+    results = [F.col(own_host).alias("host"), F.col(own_path).alias("path")]
     if not labels:
-        return urls.withColumn("rule", F.lit(None).cast("string")).withColumn("verdict", F.lit(default))
-    urls = urls.withColumn("_cut", F.substring("path", 1, max(chars)))
+        return urls.select(*kept, *results, F.lit(None).cast("string").alias("rule"), F.lit(default).alias("verdict"))
+    urls = urls.withColumn(cut, F.substring(own_path, 1, max(chars)))
     parts = F.split("host", r"\.")
     suffixes = F.array_compact(
         F.array(*[F.when(F.size(parts) >= n, F.substring_index("host", ".", -n)) for n in labels])
     )
     heads = F.array_compact(
-        F.array(*[F.when(F.length("_cut") >= n, F.substring("_cut", 1, n)) for n in chars])
+        F.array(*[F.when(F.length("cut") >= n, F.substring("cut", 1, n)) for n in chars])
     )
     expressions = (
-        urls.where("host <> ''")
-        .select("host", "_cut")
+        urls.select(F.col(own_host).alias("host"), F.col(cut).alias("cut"))
+        .where("host <> ''")
         .distinct()
         .withColumn("rule_host", F.explode(suffixes))
         .withColumn("rule_path", F.explode(heads))
         .withColumn("digest", _digest(F.col("rule_host"), F.col("rule_path")))
         .withColumn("prefix", F.substring("digest", 1, PREFIX_DIGITS))
     )
-    best = (
+    found = (
         expressions.alias("e")
         .join(known.alias("k"), "prefix")
         .where(
             "e.digest = k.digest and e.rule_host = k.rule_host and e.rule_path = k.rule_path"
         )
-        .groupBy("e.host", "e._cut")
+        .groupBy(F.col("e.host").alias(own_host), F.col("e.cut").alias(cut))
         .agg(
             F.max(
                 F.struct(
@@ -101,12 +110,9 @@ def judge(pages: DataFrame, rules: DataFrame, default: str = "allow", url: str =
                     F.col("k.action").alias("action"),
                     F.concat("k.rule_host", "k.rule_path").alias("rule"),
                 )
-            ).alias("best")
+            ).alias(best)
         )
     )
-    return (
-        urls.join(best, ["host", "_cut"], "left")
-        .withColumn("rule", F.col("best.rule"))
-        .withColumn("verdict", F.coalesce("best.action", F.lit(default)))
-        .drop("best", "_cut")
+    return urls.join(found, [own_host, cut], "left").select(
+        *kept, *results, F.col(best)["rule"].alias("rule"), F.coalesce(F.col(best)["action"], F.lit(default)).alias("verdict")
     )

@@ -106,3 +106,15 @@ def test_no_labels_and_no_rows(documents):
     assert train(docs) is None
     assert identify(docs, None).collect()[0].lang_pred == "und" and identified(docs, None).count() == 0
     assert identify(docs.limit(0), None).count() == 0
+
+
+def test_sample_of_very_many_short_texts(shared):
+    """The window sees the sample and no whole bucket beside it; it is the same as a cut of all texts by hash."""
+    from pyspark.sql import functions as F
+
+    docs = shared.range(1_000_000).select(
+        F.col("id").alias("doc_id"), F.lit("en").alias("lang"), F.concat(F.lit("some text "), F.col("id")).alias("text"))
+    sample = training_sample(docs, "lang", "text", "doc_id", 2_000)
+    got = sample.agg(F.sum(F.length("text")).alias("bytes"), F.count(F.lit(1)).alias("n")).first()
+    assert 2_000 <= got.bytes < 2_000 + 500
+    assert sample.select("text").distinct().count() == got.n

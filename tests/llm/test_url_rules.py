@@ -52,3 +52,19 @@ def test_default_and_nothing(shared):
     table = url_rules.rule_table(shared, URL_RULES)
     assert url_rules.judge(pages, table, default="block").first().verdict == "block"
     assert url_rules.judge(pages.limit(0), table).count() == 0
+
+
+def test_columns_of_any_name(shared):
+    """Columns named as results give way to them; all others travel along."""
+    names = ["best", "_cut", "__best", "host", "path", "rule", "verdict", "prefix", "digest", "rule_host", "a.b"]
+    rows = [(i, u, *["clash"] * len(names)) for i, u in enumerate(URLS)]
+    schema = "page_id long, url string, " + ", ".join(f"`{n}` string" for n in names)
+    for rules in (URL_RULES, []):
+        table = url_rules.rule_table(shared, rules)
+        got = url_rules.judge(shared.createDataFrame(rows, schema), table)
+        kept = [n for n in names if n not in url_rules.RESULTS]
+        assert got.columns == ["page_id", "url", *kept, *url_rules.RESULTS]
+        plain = url_rules.judge(shared.createDataFrame([r[:2] for r in rows], "page_id long, url string"), table)
+        want = {r.page_id: (r.host, r.path, r.rule, r.verdict) for r in plain.collect()}
+        assert {r.page_id: (r.host, r.path, r.rule, r.verdict) for r in got.collect()} == want
+        assert got.where("best <> 'clash' or `a.b` <> 'clash'").count() == 0
