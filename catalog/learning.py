@@ -14,9 +14,9 @@ from pyspark.sql import functions as F
 from catalog.base import SQL_DOC_TERMS, doc_tokens, documents, query, r6, sql_hash, table
 from catalog.corpus import SQL_COUNTS, SQL_CUT_TERMS
 from prosemill.operators import embed, evaluate, features, models
-from prosemill.operators.sampling import train_test_split
+from prosemill.operators.sampling import holdout_tail, train_test_split
 from prosemill.operators.vectors import avg_vector as mean_vector
-from prosemill.session import scratch_path
+from prosemill.session import cut_lineage, scratch_path
 from prosemill.sources import files
 
 
@@ -27,7 +27,7 @@ def items(spark, sf):
 
 
 def item_split(spark, sf, test=0.25):
-    rows = train_test_split(items(spark, sf), "vec_id", test).persist()
+    rows = cut_lineage(train_test_split(items(spark, sf), "vec_id", test))
     return rows.where("split = 'train'").drop("split"), rows.where("split = 'test'").drop("split")
 
 
@@ -38,21 +38,30 @@ def rated_documents(spark, sf):
         "doc_id",
     )
     weighted, _ = features.tfidf_features(rated, F.col("text"), min_df=0.01, max_df=0.85)
-    rows = train_test_split(weighted.select("doc_id", "label", "features"), "doc_id", 0.25).persist()
+    rows = cut_lineage(train_test_split(weighted.select("doc_id", "label", "features"), "doc_id", 0.25))
     return rows.where("split = 'train'").drop("split"), rows.where("split = 'test'").drop("split")
 
 
-def scored(model, test, key, classes):
-    """Test rows, their label, and whether the prediction is one of the classes."""
+def learned(model, train) -> bool:
+    """Whether the model is right on more of its training rows than naming the commonest class would be."""
+    counts = models.predict(model, train).groupBy("label").agg(
+        F.count(F.lit(1)).alias("n"), F.sum((F.col("label") == F.col("prediction")).cast("long")).alias("hits")
+    )
+    hits, most = counts.agg(F.sum("hits"), F.max("n")).first()
+    return hits > most
+
+
+def scored(model, train, test, key, classes):
+    """Test rows, their label, whether the prediction is one of the classes, and whether the model learned."""
     return models.predict(model, test).select(
         key, F.col("label").cast("int").alias("label"),
-        F.col("prediction").between(0, classes - 1).alias("known"),
+        F.col("prediction").between(0, classes - 1).alias("known"), F.lit(learned(model, train)).alias("learned"),
     )
 
 
 def sql_test_part(rows: str, key: str, share: float) -> str:
-    """(key, label, known) of the test part of `rows` (key, label)."""
-    return f"""SELECT {key}, label, true AS known FROM (
+    """(key, label, known, learned) of the test part of `rows` (key, label)."""
+    return f"""SELECT {key}, label, true AS known, true AS learned FROM (
       SELECT *, row_number() OVER (ORDER BY {sql_hash(key)}, {key}) AS place, count(*) OVER () AS n
       FROM ({rows})) WHERE place <= ceil({share} * n)"""
 
@@ -255,7 +264,7 @@ def load_model(spark, sf):
 @query("logistic_regression", sql_test_part(SQL_RATED, "doc_id", 0.25))
 def logistic_regression(spark, sf):
     train, test = rated_documents(spark, sf)
-    return scored(models.logistic_regression(train), test, "doc_id", 2)
+    return scored(models.logistic_regression(train), train, test, "doc_id", 2)
 
 
 @query(
@@ -273,7 +282,7 @@ def logreg_regularisation(spark, sf):
 @query("random_forest", SQL_ITEM_TEST)
 def random_forest(spark, sf):
     train, test = item_split(spark, sf)
-    return scored(models.random_forest(train, trees=200, max_depth=10), test, "vec_id", 10)
+    return scored(models.random_forest(train, trees=200, max_depth=10), train, test, "vec_id", 10)
 
 
 @query(
@@ -292,15 +301,13 @@ def random_forest_variants(spark, sf):
 
 @query("boosted_trees_multiclass", SQL_ITEM_TEST)
 def boosted_trees_multiclass(spark, sf):
-    # ten ensembles of fewer and flatter trees than the default of 100 rounds, depth 6
     train, test = item_split(spark, sf)
-    return scored(models.boosted_trees_multiclass(train, rounds=3, depth=3), test, "vec_id", 10)
+    return scored(models.boosted_trees_multiclass(train), train, test, "vec_id", 10)
 
 
 @query("boosted_trees_binary", sql_test_part(SQL_RATED, "doc_id", 0.2))
 def boosted_trees_binary(spark, sf):
     # average word vectors, centred PCA, boosted trees: the review classifier
-    # (fewer and flatter trees than the default of 100 rounds, depth 6)
     rated = documents(spark, sf).join(
         table(spark, sf, "labels").select("doc_id", F.col("quality").cast("double").alias("label")), "doc_id"
     )
@@ -308,29 +315,47 @@ def boosted_trees_binary(spark, sf):
     means = mean_vector(rated, "doc_id", doc_tokens(), vectors, 100)
     rows = features.as_vector(means.join(rated.select("doc_id", "label"), "doc_id"), "vector")
     reduced, _ = features.pca(rows.select("doc_id", "label", "features"), "features", 55)
-    split = train_test_split(
+    split = cut_lineage(train_test_split(
         reduced.select("doc_id", "label", F.col("pca").alias("features")), "doc_id", 0.2
-    ).persist()
-    model = models.boosted_trees_binary(split.where("split = 'train'"), rounds=10, depth=4)
-    return scored(model, split.where("split = 'test'"), "doc_id", 2)
+    ))
+    train = split.where("split = 'train'")
+    return scored(models.boosted_trees_binary(train), train, split.where("split = 'test'"), "doc_id", 2)
 
 
 @query("mlp_classifier", SQL_ITEM_TEST)
 def mlp_classifier(spark, sf):
     train, test = item_split(spark, sf)
-    return scored(models.mlp_classifier(train, max_iter=20), test, "vec_id", 10)
+    return scored(models.mlp_classifier(train, max_iter=20), train, test, "vec_id", 10)
 
 
-@query("training_history", "SELECT 0 AS first_epoch, true AS falls, true AS never_rises")
+@query(
+    "training_history",
+    f"""SELECT model, CAST(e AS INTEGER) AS epoch, part, CAST(rows AS BIGINT) AS rows, true AS finite, true AS improves
+    FROM (VALUES ('boosted trees', 10), ('net', 5)) AS m(model, epochs), range(0, 10) AS r(e),
+      (SELECT CASE WHEN bucket >= 8000 THEN 'validation' ELSE 'train' END AS part, count(*) AS rows
+       FROM (SELECT {sql_hash('vec_id', 43)} % 10000 AS bucket FROM embeddings) GROUP BY part)
+    WHERE e < epochs""",
+)
 def training_history(spark, sf):
+    """Loss and accuracy of training and held-out rows per epoch; `improves`: training loss fell in each epoch
+    of the boosted trees, and from the first to the last epoch of the net."""
     from pyspark.sql.window import Window
 
-    train, _ = item_split(spark, sf)
-    history = models.training_history(models.logistic_regression(train))
-    step = F.col("loss") - F.lag("loss").over(Window.orderBy("epoch"))  # one row per epoch
-    return history.withColumn("step", step).agg(
-        F.min("epoch").alias("first_epoch"),
-        (F.min("step") < 0).alias("falls"), (F.max("step") <= 1e-9).alias("never_rises"),
+    rows = cut_lineage(holdout_tail(items(spark, sf), "vec_id", 0.2))
+    train, held = rows.where("NOT holdout"), rows.where("holdout")
+    trees = models.boosted_trees_multiclass(train, rounds=10).history({"train": train, "validation": held})
+    _, net = models.mlp_history(train, held)
+    both = trees.withColumn("model", F.lit("boosted trees")).unionByName(net.withColumn("model", F.lit("net")))
+    by_epoch = Window.partitionBy("model", "part").orderBy("epoch")  # a row per epoch
+    whole = Window.partitionBy("model")
+    step = F.col("loss") - F.lag("loss").over(by_epoch)
+    total = F.col("loss") - F.first("loss").over(by_epoch)
+    of_trees = F.max(F.when(F.col("part") == "train", F.col("step"))).over(whole) < 0
+    of_net = F.min(F.when(F.col("part") == "train", F.col("total"))).over(whole) < 0
+    return both.withColumn("step", step).withColumn("total", total).select(
+        "model", "epoch", "part", "rows",
+        (F.col("loss").between(0, 1e12) & F.col("accuracy").between(0, 1)).alias("finite"),
+        F.when(F.col("model") == "net", of_net).otherwise(of_trees).alias("improves"),
     )
 
 

@@ -7,10 +7,8 @@ from collections.abc import Iterator, Sequence
 import numpy as np
 import pandas as pd
 from pyspark.ml.classification import (
-    GBTClassifier,
     LogisticRegression,
     MultilayerPerceptronClassifier,
-    OneVsRest,
     RandomForestClassifier,
 )
 from pyspark.ml.clustering import GaussianMixture, KMeans
@@ -21,7 +19,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from prosemill.operators import mixtures
+from prosemill.operators import boosting, mixtures
 from prosemill.operators.neighbours import silhouette as exact_silhouette
 from prosemill.operators.scaling import nth_smallest
 from prosemill.session import cut_lineage
@@ -53,44 +51,63 @@ def random_forest(
     ).fit(train)
 
 
-def _gbt(label: str, features: str, rounds: int, depth: int, step: float, seed: int):
-    return GBTClassifier(
-        maxIter=rounds, maxDepth=depth, stepSize=step, seed=seed, labelCol=label,
-        featuresCol=features,
-    )
-
-
 def boosted_trees_binary(
     train: DataFrame, label: str = "label", features: str = "features",
-    rounds: int = 100, depth: int = 6, step: float = 0.3, seed: int = 42,
+    rounds: int = 100, depth: int = 6, step: float = 0.3, **options,
 ):
-    return _gbt(label, features, rounds, depth, step, seed).fit(train)
+    """Boosted trees of a 0/1 label."""
+    return boosting.fit(train, label, features, 2, rounds, depth, step, **options)
 
 
 def boosted_trees_multiclass(
     train: DataFrame, label: str = "label", features: str = "features",
-    rounds: int = 100, depth: int = 6, step: float = 0.3, seed: int = 42, parallelism: int = 4,
+    rounds: int = 100, depth: int = 6, step: float = 0.3, **options,
 ):
-    """One boosted ensemble per class against the rest."""
-    return OneVsRest(
-        classifier=_gbt(label, features, rounds, depth, step, seed),
-        labelCol=label, featuresCol=features, parallelism=parallelism,
-    ).fit(train)
+    """Softmax boosting: a tree per class and round, all classes grown in the same scans."""
+    return boosting.fit(train, label, features, None, rounds, depth, step, **options)
 
 
 def mlp_classifier(
     train: DataFrame, label: str = "label", features: str = "features",
-    hidden: Sequence[int] = (64, 32), max_iter: int = 20, block: int = 128, seed: int = 42,
+    hidden: Sequence[int] = (64, 32), max_iter: int = 20, block: int = 128, seed: int = 42, start=None,
 ):
-    """Feed-forward net: inputs, hidden layers, one output per class."""
+    """Feed-forward net: inputs, hidden layers, one output per class; `start` are weights to go on from."""
     inputs = train.select(features).first()[0].size
     classes = int(train.agg(F.max(label)).first()[0]) + 1
     return MultilayerPerceptronClassifier(
         layers=[inputs, *hidden, classes], maxIter=max_iter, blockSize=block, seed=seed,
-        labelCol=label, featuresCol=features,
+        labelCol=label, featuresCol=features, initialWeights=start,
     ).fit(train)
 
 
+def _log_loss_and_accuracy(model, df: DataFrame, label: str) -> tuple[int, float, float]:
+    """Rows, mean log loss and accuracy, in one pass."""
+    truth = F.col(label).cast("int")
+    p = F.coalesce(F.get(vector_to_array("probability"), truth), F.lit(0.0))
+    return tuple(model.transform(df).agg(
+        F.count(F.lit(1)), F.avg(-F.log(F.greatest(p, F.lit(1e-300)))),
+        F.avg((F.col("prediction") == truth).cast("double")),
+    ).first())
+
+
+def mlp_history(
+    train: DataFrame, validation: DataFrame, label: str = "label", features: str = "features", epochs: int = 5,
+    steps: int = 10, **options,
+):
+    """(model, history): a net fitted epoch by epoch, each of `steps` steps from the weights of the last one.
+
+    The history has (epoch, part, rows, loss, accuracy) of the training and the validation rows.
+    """
+    model, rows = None, []
+    for epoch in range(epochs):
+        start = None if model is None else model.weights
+        model = mlp_classifier(train, label, features, max_iter=steps, start=start, **options)
+        for part, df in (("train", train), ("validation", validation)):
+            rows.append((epoch, part, *_log_loss_and_accuracy(model, df, label)))
+    schema = "epoch int, part string, rows long, loss double, accuracy double"
+    return model, train.sparkSession.createDataFrame(rows, schema)
+
+
 def one_hot(df: DataFrame, code: str, out: str) -> DataFrame:
     """The label number as a 0/1 vector with one place per class."""
     return OneHotEncoder(inputCol=code, outputCol=out, dropLast=False).fit(df).transform(df)

@@ -65,6 +65,16 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def discard(df: DataFrame) -> None:
+    """Delete the files of a table from `cut_lineage` that nothing reads any more."""
+    spark = df.sparkSession
+    for folder in {f.rsplit("/", 1)[0] for f in df.inputFiles()}:
+        if not folder.rsplit("/", 1)[-1].startswith("stored-"):
+            raise ValueError(f"not a stored table: {folder}")
+        at = spark._jvm.org.apache.hadoop.fs.Path(folder)
+        at.getFileSystem(spark._jsc.hadoopConfiguration()).delete(at, True)
+
+
 def frozen(df: DataFrame) -> DataFrame:
     """`df` checkpointed with its partitions and their order, for what numbers rows by place."""
     shared_dir(df.sparkSession)
