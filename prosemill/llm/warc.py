@@ -1,7 +1,7 @@
 """WARC archives: monolithic gzip files normalised to one gzip member per record, with an index.
 
 `write_monolithic` writes pages as WARC/1.1 records; every part file is a single gzip stream, as
-whole-file compression leaves it.  `normalise` inflates each such stream once, record by record, and
+whole-file compression leaves it, and bounded in records and in bytes.  `normalise` inflates each such stream once, record by record, and
 rewrites every record as a gzip member of its own; a sidecar index gives archive, offset and length
 of each member.  `read_all` reads whole archives back; `read_indexed` reads chosen records at their
 places in the index.
@@ -23,6 +23,7 @@ percent-encoded.  Other columns are ignored.
 
 from __future__ import annotations
 
+import re
 import zlib
 from collections.abc import Iterator
 
@@ -34,6 +35,7 @@ from prosemill.session import scratch_path
 
 LEAST = 100  # payload bytes from which equal payloads are revisits
 RECORDS_PER_FILE = 2000
+FILE_BYTES = 256 << 20  # of the records of a raw file, before compression
 BLOCK = 1 << 20
 EMPTY_MEMBER = zlib.compressobj(9, zlib.DEFLATED, 31).flush()
 END = b"\r\n\r\n"
@@ -91,11 +93,26 @@ def _record(r: str = "") -> Column:
     )
 
 
-def write_monolithic(records: DataFrame, path: str, records_per_file: int = RECORDS_PER_FILE) -> None:
-    """WARC files of at most `records_per_file` records, each file one gzip stream."""
+def write_monolithic(
+    records: DataFrame, path: str, records_per_file: int = RECORDS_PER_FILE, file_bytes: int = FILE_BYTES
+) -> None:
+    """WARC files of at most `records_per_file` records and `file_bytes` bytes, each one gzip stream.
+
+    Bytes are counted before compression; a longer record is a file of its own.  Records go into a folder
+    by how many of their size, rounded up to a power of two, fit into a file (`room`).  Where that is
+    fewer than `records_per_file`, a task's rows are cut by their place into runs of that many (`run`).
+    """
+    row = records.select(_record().alias("value"))
+    longest = F.pow(F.lit(2.0), F.ceil(F.log2(F.octet_length("value") + 1)))
+    room = F.greatest(F.lit(1), F.least(F.lit(records_per_file), F.floor(F.lit(file_bytes) / longest))).cast("int")
+    place = F.monotonically_increasing_id().bitwiseAND(F.lit((1 << 33) - 1))  # within the task
+    run = F.when(F.col("room") < records_per_file, F.floor(F.col("place") / F.col("room"))).otherwise(0)
     (
-        records.select(_record().alias("value"))
-        .write.option("compression", "gzip")
+        row.withColumn("place", place)
+        .withColumn("room", room)
+        .select("value", "room", run.cast("long").alias("run"))
+        .write.partitionBy("room", "run")
+        .option("compression", "gzip")
         .option("lineSep", "\n")
         .option("maxRecordsPerFile", records_per_file)
         .text(path)
@@ -161,11 +178,16 @@ def _rows(batches: Iterator[tuple], schema: pa.Schema, width) -> Iterator[pa.Rec
 _MEMBERS = pa.schema([("archive", pa.string()), ("record", pa.int64()), ("member", pa.binary())])
 
 
-def _members(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _archive_name(path: str, root: str) -> str:
+    """A file's path below `root` as a folder name; other paths give other names."""
+    return re.sub(r"[^A-Za-z0-9-]", lambda m: f"_{ord(m[0]):x}_", path.removeprefix(root + "/").removesuffix(".gz"))
+
+
+def _members(batches: Iterator[pa.RecordBatch], root: str) -> Iterator[pa.RecordBatch]:
     def each():
         for batch in batches:
             for path, content in zip(batch.column("path").to_pylist(), batch.column("content")):
-                archive = path.rsplit("/", 1)[-1].split(".")[0]
+                archive = _archive_name(path, root)
                 for k, record in enumerate(inflate_records(memoryview(content.as_buffer()))):
                     packer = zlib.compressobj(6, zlib.DEFLATED, 31)
                     yield archive, k, packer.compress(record) + packer.flush()
@@ -202,8 +224,10 @@ def normalise(spark: SparkSession, source: str, target: str) -> None:
 
     index: archive, record, offset, length of every record, as the written files have them.
     """
+    at = spark._jvm.org.apache.hadoop.fs.Path(source)
+    root = at.getFileSystem(spark._jsc.hadoopConfiguration()).makeQualified(at).toString()
     members = _files(spark, source, "*.gz").select("path", "content").mapInArrow(
-        _members, "archive string, record long, member binary"
+        lambda batches: _members(batches, root), "archive string, record long, member binary"
     )
     (
         members.sortWithinPartitions("archive", "record")
