@@ -27,17 +27,14 @@ def query(name: str, sql: str | None = None):
 
 
 def table(spark: SparkSession, sf: str, name: str, spread: bool = False) -> DataFrame:
-    """A test table; `spread` deals a small one round-robin over the cores.
+    """A test table; `spread` deals one that is read in fewer tasks than the session has cores.
 
-    The test tables are single row groups, which Spark cannot split.  A table of more than
-    128 MB is never dealt; nothing in the library reads tables this way.
+    The test tables are single row groups, which Spark cannot split.  Nothing in the library reads
+    tables this way.
     """
     df = spark.read.parquet(f"{sf}/{name}.parquet")
-    if not spread:
-        return df
-    size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
-    parts = min(spark.sparkContext.defaultParallelism, size >> 20)
-    return df.repartition(parts) if parts > 1 and size < 128 << 20 else df
+    cores = spark.sparkContext.defaultParallelism
+    return df.repartition(cores) if spread and df.rdd.getNumPartitions() < cores else df
 
 
 def documents(spark: SparkSession, sf: str) -> DataFrame:

@@ -9,7 +9,7 @@ from catalog.corpus import SQL_COUNTS, SQL_INDEX, training_index
 from prosemill.functions import vectors as V
 from prosemill.operators import neighbours
 from prosemill.operators import vectors as O
-from prosemill.operators.scaling import with_position
+from prosemill.operators.scaling import lookup_join, with_position
 from prosemill.operators.terms import word_counts
 from prosemill.session import cut_lineage
 
@@ -73,8 +73,8 @@ def l2_normalize(spark, sf):
 )
 def cosine_distance(spark, sf):
     e = table(spark, sf, "embeddings", True)
-    first = e.groupBy("label").agg(F.min_by("embedding", "vec_id").alias("first"))
-    both = e.join(F.broadcast(first), "label")
+    first = cut_lineage(e.groupBy("label").agg(F.min_by("embedding", "vec_id").alias("first")))
+    both = lookup_join(e, first, "label")  # broadcast only if its bytes allow
     return both.select("vec_id", r6(V.cosine_distance(F.col("embedding"), F.col("first"))).alias("distance"))
 
 
