@@ -12,6 +12,7 @@ from prosemill.functions.text import concat_text, lower_text, preprocess_text, t
 from prosemill.operators import evaluate, features, models
 from prosemill.operators.sampling import sample_fraction, train_test_split
 from prosemill.operators.tables import group_categories
+from prosemill.session import cut_lineage
 
 
 def prepare_news(
@@ -35,10 +36,10 @@ def news_split(
     """(train, test, label indexer): TF-IDF features and numbered categories."""
     weighted, _ = features.tfidf_features(news, F.col("text"), min_df=min_df, max_df=max_df)
     coded, indexer = features.label_encode(weighted, "category", "label")
-    rows = train_test_split(
+    rows = cut_lineage(train_test_split(
         coded.select(id_col, "category", F.col("label").cast("double").alias("label"), "features"),
         id_col, test, seed,
-    ).persist()
+    ))
     return (
         rows.where("split = 'train'").drop("split"),
         rows.where("split = 'test'").drop("split"),

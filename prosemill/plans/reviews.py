@@ -67,11 +67,11 @@ def classify_reviews(
             means.join(reviews.select(id_col, "reviewText2", "rating"), id_col)
         )
         reduced, _ = features.pca(features.as_vector(rows, "vector"), "features", components)
-        split = train_test_split(
+        split = cut_lineage(train_test_split(
             reduced.select(id_col, "reviewText2", "rating",
                            F.col("rating").cast("double").alias("label"), F.col("pca").alias("features")),
             id_col, test, seed,
-        ).persist()
+        ))
         model = models.boosted_trees_binary(split.where("split = 'train'"), **boosting)
         scored = models.predict(model, split.where("split = 'test'")).select(
             id_col, "reviewText2", "rating", "prediction",
