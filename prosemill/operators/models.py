@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from prosemill.operators import boosting, mixtures
+from prosemill.operators import boosting, forests, mixtures
 from prosemill.operators.neighbours import silhouette as exact_silhouette
 from prosemill.operators.scaling import nth_smallest
 from prosemill.session import cut_lineage
@@ -148,21 +148,19 @@ def regularisation_sweep(
 
 def forest_variants(
     train: DataFrame, test: DataFrame, label: str = "label", features: str = "features",
-    trees: int = 200, variants: Sequence[dict] = (
+    trees: int = 200, max_depth: int = 10, variants: Sequence[dict] = (
         {"impurity": "gini"}, {"impurity": "entropy"},
         {"featureSubsetStrategy": "log2"}, {"featureSubsetStrategy": "all"},
         {"featureSubsetStrategy": "sqrt"}, {"minInfoGain": 0.01}, {"bootstrap": False},
     ), **options,
 ) -> DataFrame:
-    """(variant, accuracy) of random forests with other settings."""
-    rows = []
-    for v in variants:
-        model = random_forest(train, label, features, trees, **{**options, **v})
-        got = predict(model, test).agg(
-            F.avg((F.col(label) == F.col("prediction")).cast("double"))
-        ).first()[0]
-        rows.append((", ".join(f"{k}={x}" for k, x in v.items()), got))
-    return train.sparkSession.createDataFrame(rows, "variant string, accuracy double")
+    """(variant, accuracy, train_accuracy) of random forests with other settings, all grown together."""
+    grown = forests.fit(
+        train, [forests.Setting(**v) for v in variants], label, features, trees=trees, depth=max_depth, **options
+    )
+    names = [", ".join(f"{k}={x}" for k, x in v.items()) for v in variants]
+    rows = list(zip(names, forests.accuracies(grown, test), forests.accuracies(grown, train)))
+    return train.sparkSession.createDataFrame(rows, "variant string, accuracy double, train_accuracy double")
 
 
 # --- clusterings -------------------------------------------------------------
