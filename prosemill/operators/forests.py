@@ -9,7 +9,8 @@ settings are compared on the same draws.  Equal settings are grown once.
   nodes of all trees, at most `cells` sums in a task (a level with more takes more scans), Spark adds the
   sums of the tasks, and each node's cut is found from its own sums.
 * **Nodes of at most `node_rows` rows** are finished apart: their rows are sent once, by node, and a task
-  grows each subtree to its end.  At most `copies` rows are on the way at a time.
+  grows each subtree to its end.  At most `copies` rows are on the way at a time (None: four times the
+  table's).  A table of at most `node_rows` rows is sent whole to each group of trees.
 * Both use the same search for a cut, so the trees do not depend on `node_rows` (tested).  Ties go to
   the smaller feature, then to the smaller bin.
 
@@ -35,7 +36,6 @@ from prosemill.session import cut_lineage, discard
 
 NODE_ROWS = 50_000
 CELLS = 8 << 20
-COPIES = 64_000_000
 # Sums whose cuts are searched at once.
 CHUNK = 1 << 20
 
@@ -105,11 +105,9 @@ def _subsets(tree: int, nodes: np.ndarray, setting: Setting, shape: Shape) -> np
     return np.sort(order[:, :m], axis=1)
 
 
-def _impurity(counts: np.ndarray, kind: str) -> np.ndarray:
-    n = np.maximum(counts.sum(axis=-1), 1)
-    p = counts / n[..., None]
-    if kind == "gini":
-        return 1 - (p * p).sum(axis=-1)
+def _entropy(counts: np.ndarray, rows: np.ndarray) -> np.ndarray:
+    """The entropy of class counts that add up to `rows`, in bits (none: 0)."""
+    p = counts / np.maximum(rows, 1)[..., None]
     return -(p * np.log2(np.where(p > 0, p, 1))).sum(axis=-1)
 
 
@@ -117,12 +115,19 @@ def _best_cuts(sums: np.ndarray, features: np.ndarray, setting: Setting):
     """(cut or not, feature, bin, class counts on the left) of each node from its (feature, bin, class) sums."""
     n, m, b, k = sums.shape
     left = sums.cumsum(axis=2)
-    total = left[:, :1, -1:, :]
-    right = total - left
-    nl, nr = left.sum(axis=-1), right.sum(axis=-1)
-    both = np.maximum(nl + nr, 1)
-    below = (nl * _impurity(left, setting.impurity) + nr * _impurity(right, setting.impurity)) / both
-    gain = _impurity(total[:, 0, 0], setting.impurity)[:, None, None] - below
+    total = left[:, 0, -1]
+    rows_of = total.sum(axis=1)[:, None, None]
+    nl = left.sum(axis=-1)
+    nr = rows_of - nl
+    if setting.impurity == "gini":  # in whole numbers: the squares on the right are T T - 2 L T + L L
+        ll = np.einsum("nmbk,nmbk->nmb", left, left)
+        lt = np.einsum("nmbk,nk->nmb", left, total)
+        tt = (total * total).sum(axis=1)[:, None, None]
+        gain = (ll / np.maximum(nl, 1) + (tt - 2 * lt + ll) / np.maximum(nr, 1) - tt / rows_of) / rows_of
+    else:
+        right = total[:, None, None] - left
+        below = (nl * _entropy(left, nl) + nr * _entropy(right, nr)) / rows_of
+        gain = _entropy(total[:, None, None], rows_of) - below
     gain = np.where((nl > 0) & (nr > 0), gain, -1.0).reshape(n, m * b)
     at, rows = gain.argmax(axis=1), np.arange(n)
     best = gain[rows, at]
@@ -415,6 +420,25 @@ def _finish_small(stored: DataFrame, trees, some, forest, shape: Shape, rows: in
     return [(some[place][0], *node) for place, *node in _nodes(grown, shape.classes)]
 
 
+def _grow_whole(stored: DataFrame, trees, shape: Shape) -> list:
+    """(tree, node, feature, bin, counts) of all trees over a small table, sent once to each group of trees."""
+    groups = min(len(trees), 4 * stored.sparkSession.sparkContext.defaultParallelism)
+
+    def grow(key, table):
+        ids, bins = table.column("id").to_numpy(), _matrix(table.column("bins").combine_chunks())
+        y, grown = table.column("y").to_numpy(), []
+        for t in range(key[0].as_py(), len(trees), groups):
+            setting, number = trees[t]
+            w = _draws(ids, number, setting, shape.seed)
+            mine = w > 0
+            grown.append(_node_table(t, _grow(bins[mine], y[mine], w[mine], number, 0, setting, shape)))
+        return pa.concat_tables(grown)
+
+    group = F.explode(F.sequence(F.lit(0), F.lit(groups - 1))).alias("group")
+    sent = stored.select(group, "id", "bins", "y").repartition(groups, "group")
+    return list(_nodes(sent.groupBy("group").applyInArrow(grow, _NODES), shape.classes))
+
+
 def _passes(items: Sequence, size, most: int) -> Iterator[list]:
     """`items` in runs whose sizes add up to at most `most` (a larger item is a run of its own)."""
     held, total = [], 0
@@ -432,13 +456,15 @@ def _passes(items: Sequence, size, most: int) -> Iterator[list]:
 def fit(
     train: DataFrame, settings: Sequence[Setting], label: str = "label", features: str = "features",
     key: str | None = None, trees: int = 200, depth: int = 10, classes: int | None = None, seed: int = 42,
-    bins: int = BINS, node_rows: int = NODE_ROWS, cells: int = CELLS, copies: int = COPIES,
+    bins: int = BINS, node_rows: int = NODE_ROWS, cells: int = CELLS, copies: int | None = None,
 ) -> list[Forest]:
     """One forest per setting, in their order: `trees` trees of at most `depth` levels of cuts.
 
     `key` tells rows apart when they are drawn (None: their features and label do).  Labels are 0 to
     `classes` - 1 (None: as many as the greatest label says).
     """
+    if depth < 1 or trees < 1:
+        raise ValueError("a forest has a tree and a level")
     if key is not None:
         train = train.withColumn("id", F.xxhash64(key))
     dense, y = _dense(train, features).alias("x"), F.col(label).cast("int").alias("y")
@@ -471,9 +497,12 @@ def fit(
     def width(item):
         return grown[item[0]][0].subset(shape.features) * shape.bins * shape.classes
 
-    large = [(t, 0) for t in range(len(grown))] if n > node_rows and depth > 0 else []
-    small = [(t, 0) for t in range(len(grown))] if not large else []
-    sizes: dict[tuple, int] = {}
+    large, small, sizes = [], [], {}
+    if n > node_rows:
+        large = [(t, 0) for t in range(len(grown))]
+    else:
+        for t, node, feature, bin_, counts in _grow_whole(stored, grown, shape):
+            found[t][node] = (feature, bin_, counts)
     while large:
         below = []
         cuts: dict[tuple, tuple] = {}
@@ -490,9 +519,9 @@ def fit(
                     sizes[t, child] = sum(counts)
                     (below if sizes[t, child] > node_rows else small).append((t, child))
         large = below
-    for some in _passes(small, lambda item: sizes.get(item, n), copies):
+    for some in _passes(small, sizes.get, copies or max(4 * n, 1 << 20)):
         for t, node, feature, bin_, counts in _finish_small(
-            stored, grown, some, forest, shape, sum(sizes.get(item, n) for item in some)
+            stored, grown, some, forest, shape, sum(sizes[item] for item in some)
         ):
             found[t][node] = (feature, bin_, counts)
     discard(stored)

@@ -32,7 +32,7 @@ def test_trees_do_not_depend_on_how_they_are_grown(data):
     options = {"key": "id", "trees": 2, "depth": 4}
     want = [flat(f) for f in forests.fit(df, SETTINGS, **options)]
     for other in (
-        {"node_rows": 0}, {"node_rows": 60}, {"node_rows": 0, "cells": 2000}, {"copies": 500},
+        {"node_rows": 0, "cells": 20_000}, {"node_rows": 60}, {"node_rows": 120, "copies": 500},
     ):
         got = forests.fit(df.repartition(7), SETTINGS, **options, **other)
         assert [flat(f) for f in got] == want, other
