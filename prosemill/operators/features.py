@@ -28,6 +28,8 @@ from prosemill.operators.scaling import lookup_join, with_position
 from prosemill.operators.terms import document_frequency
 from prosemill.session import cut_lineage
 
+PROJECT_CELLS = 1 << 21  # numbers that a task multiplies at once (16 MB)
+
 
 def tfidf_features(
     df: DataFrame,
@@ -90,6 +92,29 @@ def svd_basis(df: DataFrame, col: str, k: int) -> tuple[np.ndarray, np.ndarray]:
         rows.unpersist()
 
 
+def projected(at: list, values: list, basis: np.ndarray, cells: int = PROJECT_CELLS) -> np.ndarray:
+    """The sparse rows (at, values) times the basis, a slice of rows at a time.
+
+    A weight takes a row of the basis while it is added, so a slice holds weights for at most
+    `cells` numbers, or one row.
+    """
+    counts = np.array([len(x) for x in at], dtype=np.int64)
+    out = np.zeros((len(at), basis.shape[1]))
+    full = np.flatnonzero(counts)
+    upto = np.cumsum(counts[full])
+    most = max(1, cells // max(1, basis.shape[1]))
+    lo = 0
+    while lo < len(full):
+        before = upto[lo - 1] if lo else 0
+        hi = max(lo + 1, int(np.searchsorted(upto, before + most, side="right")))
+        own = full[lo:hi]
+        places = np.concatenate([at[r] for r in own]).astype(np.int64)
+        parts = np.concatenate([values[r] for r in own])[:, None] * basis[places]
+        out[own] = np.add.reduceat(parts, upto[lo:hi] - counts[own] - before, axis=0)
+        lo = hi
+    return out
+
+
 def truncated_svd(
     df: DataFrame, col: str = "features", k: int = 12, out: str = "svd"
 ) -> tuple[DataFrame, np.ndarray]:
@@ -103,14 +128,7 @@ def truncated_svd(
 
     @F.pandas_udf("array<double>")
     def project(i: pd.Series, v: pd.Series) -> pd.Series:
-        counts = np.array([len(x) for x in i], dtype=np.int64)
-        out = np.zeros((len(i), found))
-        full = np.flatnonzero(counts)
-        if len(full):
-            at = np.concatenate(i[full].to_list()).astype(np.int64)
-            parts = np.concatenate(v[full].to_list())[:, None] * basis[at]
-            out[full] = np.add.reduceat(parts, np.cumsum(counts[full]) - counts[full], axis=0)
-        return pd.Series(list(out))
+        return pd.Series(list(projected(i.to_list(), v.to_list(), basis)))
 
     # the stored form of a vector: a dense one has no indices
     raw = F.unwrap_udt(col)
