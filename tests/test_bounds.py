@@ -3,8 +3,10 @@
 import tracemalloc
 
 import numpy as np
+import pytest
+from pyspark.sql import functions as F
 
-from prosemill.operators import features
+from prosemill.operators import features, vectors
 
 
 def test_projection_holds_a_slice_of_rows_at_once():
@@ -23,3 +25,21 @@ def test_projection_holds_a_slice_of_rows_at_once():
     peak = tracemalloc.get_traced_memory()[1]
     tracemalloc.stop()
     assert peak < 8e6  # all weights at once take 43 MB twice over
+
+
+@pytest.mark.parametrize("max_bytes,part_hits", [(1 << 30, 10), (0, 1 << 20), (0, 20)])
+def test_mean_vectors_do_not_sort_the_joined_rows(spark, max_bytes, part_hits):
+    rng = np.random.default_rng(3)
+    table = {f"w{i}": rng.normal(size=4).tolist() for i in range(30)}
+    texts = {f"d{i}": [f"w{j}" for j in rng.integers(0, 40, 25)] for i in range(40)}  # w30 .. w39 are unknown
+    texts |= {"none": ["w35"], "empty": []}
+    df = spark.createDataFrame([(k, v) for k, v in texts.items()] + [(None, ["w1"])], "id string, t array<string>")
+    words = spark.createDataFrame([*table.items(), ("w0", [1.0, 2.0, 3.0, 4.0])], "word string, vector array<double>")
+    means = vectors.avg_vector(df, "id", F.col("t"), words, 4, max_bytes, part_hits)
+    got = {r.id: r.vector for r in means.collect()}
+    for k, v in texts.items():
+        rows = [table[w] for w in v if w in table] + [[1.0, 2.0, 3.0, 4.0] for w in v if w == "w0"]
+        assert got[k] == pytest.approx(np.mean(rows, axis=0) if rows else [0.0] * 4)
+    assert got[None] == [0.0] * 4 and len(got) == len(texts) + 1
+    plan = means._jdf.queryExecution().executedPlan().toString()
+    assert "ObjectHashAggregate" not in plan and "SortAggregate" not in plan
