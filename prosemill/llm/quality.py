@@ -11,9 +11,9 @@ trusted texts have no advantage over equal ones without a label, at any size.  A
 texts use say nothing either way.
 
 The raw counts cover all texts in one pass, which adds up a task's counts in an array of `buckets`
-places before anything is shuffled.  The target counts come from the same pass; the trusted ids are a
-sample of at most `trusted` labelled rows (allowed for a classifier), taken by a hash of the id, so
-their broadcast is bounded.  The model is two numbers per bucket.
+places before anything is shuffled.  The target counts come from the same pass, over every trusted
+text; the trusted ids are broadcast only if their bytes allow, else joined by a shuffle.  The model is
+two numbers per bucket.
 
 Defined results: null text has no words and fails the base rules, as empty text does.  A text without
 n-grams scores 0.  Without trusted texts all scores are 0.  Rows are judged each, repeated rows
@@ -30,9 +30,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from prosemill.llm.common import U64, mix, slices, stored, word_hashes, word_spans
+from prosemill.operators.scaling import lookup_join, nth_smallest
 
 BUCKETS = 1 << 16
-TRUSTED = 20_000  # labelled rows the target is fitted on, at most
 FENCE = 0.05  # the share of trusted texts that the threshold is measured from
 SYMBOLS = b"#*$%&|<>"
 SHRINK = 20.0  # n-grams by which a bucket's ratio is drawn towards 1
@@ -82,21 +82,21 @@ def _counter(buckets: int):
     return count
 
 
-def trusted_ids(labels: DataFrame, most: int = TRUSTED, id_col: str = "doc_id",
+def trusted_ids(labels: DataFrame, most: int | None = None, id_col: str = "doc_id",
                 quality_col: str = "quality") -> DataFrame:
-    """Ids of at most `most` rows labelled 1, by a hash of the id."""
+    """Ids of the rows labelled 1: all of them, or `most` by a hash of the id."""
     good = labels.where(F.col(quality_col) == 1).where(F.col(id_col).isNotNull())
-    return (
-        good.select(F.col(id_col).alias("trusted_id")).distinct()
-        .orderBy(F.xxhash64(F.lit(3), "trusted_id"), "trusted_id").limit(most)
-    )
+    ids = good.select(F.col(id_col).alias("trusted_id")).distinct()
+    return ids if most is None else ids.orderBy(F.xxhash64(F.lit(3), "trusted_id"), "trusted_id").limit(most)
 
 
 def _marked(docs: DataFrame, trusted: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """(doc_id, text, trusted); `trusted` (trusted_id) has a bounded number of rows."""
-    return docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text")).join(
-        F.broadcast(trusted.withColumn("__yes", F.lit(True))), F.col("doc_id") == F.col("trusted_id"), "left"
-    ).select("doc_id", "text", F.coalesce("__yes", F.lit(False)).alias("trusted"))
+    """(doc_id, text, trusted) with `trusted` (trusted_id) looked up."""
+    rows = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
+    known = trusted.select(F.col("trusted_id").alias("doc_id"), F.lit(True).alias("__yes"))
+    return lookup_join(rows, known, "doc_id", "left").select(
+        "doc_id", "text", F.coalesce("__yes", F.lit(False)).alias("trusted")
+    )
 
 
 def corpus_counts(marked: DataFrame, buckets: int = BUCKETS) -> tuple[np.ndarray, np.ndarray]:
@@ -203,11 +203,25 @@ def threshold_of(measured: DataFrame, trusted: DataFrame) -> float:
     The scores are those that leave the text itself out, of texts that pass the base rules; their spread
     sets the distance, so the threshold follows the size of the tables.  Without trusted texts all pass.
     """
-    scores = measured.where(~F.col("base_failed")).join(
-        F.broadcast(trusted), F.col("doc_id") == F.col("trusted_id"), "left_semi"  # `TRUSTED` ids at most
-    )
-    low, middle = scores.agg(F.percentile("score", F.array(F.lit(FENCE), F.lit(0.5))).alias("p")).first().p or (None, None)
-    return float("-inf") if low is None else round(2 * low - middle, 9)
+    passed = measured.where(~F.col("base_failed")).select("doc_id", "score")
+    scores = lookup_join(passed, trusted.select(F.col("trusted_id").alias("doc_id")), "doc_id", "left_semi")
+    scores = stored(scores.select("score"), "quality-trusted-scores")
+    n = scores.count()
+    if not n:
+        return float("-inf")
+    low, middle = (_quantile(scores, n, q) for q in (FENCE, 0.5))
+    return round(2 * low - middle, 9)
+
+
+def _quantile(scores: DataFrame, n: int, q: float) -> float:
+    """The exact quantile of the n scores between its two neighbours, as `percentile` has it, from histograms."""
+    place = q * (n - 1)
+    at = int(place)
+    value, below, equal = nth_smallest(scores, F.col("score"), at + 1)
+    if place == at or below + equal >= at + 2:
+        return value
+    after, _, _ = nth_smallest(scores, F.col("score"), at + 2)
+    return (at + 1 - place) * value + (place - at) * after
 
 
 def assess(docs: DataFrame, trusted: DataFrame, threshold: float | None = None, buckets: int = BUCKETS,
@@ -216,6 +230,7 @@ def assess(docs: DataFrame, trusted: DataFrame, threshold: float | None = None,
 
     Without a threshold it is taken from the trusted texts' scores.
     """
+    trusted = stored(trusted.select("trusted_id").where("trusted_id is not null").distinct(), "quality-trusted")
     marked = _marked(docs, trusted, id_col, text_col)
     sent = docs.sparkSession.sparkContext.broadcast(corpus_counts(marked, buckets))
     failed = (F.col("n_words") < 50) | (100 * F.col("n_repeat_words") > 50 * F.col("n_words"))

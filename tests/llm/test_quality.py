@@ -7,6 +7,7 @@ import re
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from prosemill.llm import quality
 from prosemill.llm.queries import QUERIES
@@ -98,3 +99,15 @@ def test_threshold_follows_the_trusted_scores(shared, documents):
     assert quality.threshold_of(measured, ids([200, 999])) == float("-inf")
     half = quality.threshold_of(measured, ids(range(0, 101, 2)))
     assert half == pytest.approx(2 * 0.5 - 5.0, abs=0.5)  # half the trusted texts, nearly the same
+
+
+def test_every_trusted_row_is_used(shared):
+    labels = shared.range(25_000).select(F.col("id").alias("doc_id"), F.lit(1).alias("quality"))
+    assert quality.trusted_ids(labels).count() == 25_000
+
+
+@pytest.mark.parametrize("n", [1, 2, 20, 21, 1000])
+def test_quantiles_are_those_of_percentile(shared, n):
+    scores = shared.range(n).select(F.round(F.pmod(F.xxhash64("id"), F.lit(997)) / 100 - 4, 9).alias("score"))
+    want = scores.agg(F.percentile("score", F.array(F.lit(0.05), F.lit(0.5))).alias("p")).first().p
+    assert [quality._quantile(scores, n, q) for q in (0.05, 0.5)] == pytest.approx(want, abs=1e-9)
