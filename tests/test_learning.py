@@ -270,3 +270,17 @@ def test_long_texts_are_cut_without_loss(spark, monkeypatch):
     assert all(r.n <= 16 and len(r.ids) <= 16 + 6 and r.first <= 3 for r in pieces.collect())
     _, none = embed.word2vec_cbow(df.limit(0), F.col("tokens"), dim=4)
     assert none.count() == 0
+
+
+@pytest.mark.parametrize("kind", TRAINERS)
+def test_steps_give_up_the_tables_of_the_steps_before(spark, sentences, kind):
+    from pathlib import Path
+
+    from prosemill.session import shared_dir
+
+    def left(epochs):
+        before = set(Path(shared_dir(spark)).glob("stored-*"))
+        TRAINERS[kind](sentences, F.col("tokens"), dim=4, epochs=epochs, steps=1)
+        return len(set(Path(shared_dir(spark)).glob("stored-*")) - before)
+
+    assert left(3) == left(1)
