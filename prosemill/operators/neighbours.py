@@ -24,6 +24,9 @@ from prosemill.session import cut_lineage
 
 # Distances are compared after rounding to this many places, ties by id.
 PLACES = 9
+# The blocks of a silhouette, and the rows of a block at most.
+BLOCKS, MOST_BLOCK_ROWS = 32, 1 << 16
+CELLS = 1 << 21  # distances that a task holds at once
 
 
 def _matrix(s: pd.Series) -> np.ndarray:
@@ -231,10 +234,13 @@ def _rank(found: DataFrame, k: int) -> DataFrame:
 
 
 def silhouette(
-    df: DataFrame, vec_col: str, cluster: str, block_rows: int = 4096
+    df: DataFrame, vec_col: str, cluster: str, block_rows: int | None = None
 ) -> DataFrame:
     """Mean Euclidean silhouette, exact.
 
+    Every block meets every block, so rows travel once for each block: about `BLOCKS` blocks as long
+    as a task can hold two of them, so that what is shuffled grows with the rows.
+
     Copies of a row within a cluster are one weighted row.  Needs the distance
     of every two distinct rows; for more than a few million of them use the
     squared distance, which needs one pass.
@@ -248,6 +254,7 @@ def silhouette(
         .withColumn("id", F.md5(F.concat_ws(",", F.col("cluster").cast("string"), F.transform("vec", lambda x: x.cast("string")))))
     )
     n = rows.count()
+    block_rows = block_rows or min(max(math.ceil(n / BLOCKS), 4096), MOST_BLOCK_ROWS)
     blocks = max(1, math.ceil(n / block_rows))
     mine = rows.withColumn("a", F.pmod(F.xxhash64("id"), F.lit(blocks)).cast("int"))
     every = F.explode(F.sequence(F.lit(0), F.lit(blocks - 1)))
@@ -265,10 +272,15 @@ def silhouette(
         member = np.eye(len(kinds))[code] * b.copies.to_numpy()[:, None]
         y2 = (y * y).sum(axis=1)
         totals = []
-        for at in range(0, len(x), 512):
-            part = x[at:at + 512]
+        # a row meets itself where a block meets itself only
+        places = dict(zip(b.id, range(len(b)))) if a.a.iloc[0] == a.b.iloc[0] else {}
+        own = a.id.map(places).to_numpy(dtype=np.float64)
+        step = min(512, max(1, CELLS // len(y)))
+        for at in range(0, len(x), step):
+            part = x[at:at + step]
             d2 = (part * part).sum(axis=1)[:, None] + y2 - 2 * part @ y.T
-            d2[a.id.to_numpy()[at:at + 512, None] == b.id.to_numpy()[None, :]] = 0
+            same = np.flatnonzero(~np.isnan(own[at:at + step]))
+            d2[same, own[at:at + step][same].astype(np.int64)] = 0
             totals.append(np.sqrt(np.maximum(d2, 0)) @ member)
         wide = len(kinds)
         return pd.DataFrame(

@@ -6,7 +6,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from prosemill.operators import features, vectors
+from prosemill.operators import features, neighbours, vectors
 
 
 def test_projection_holds_a_slice_of_rows_at_once():
@@ -43,3 +43,25 @@ def test_mean_vectors_do_not_sort_the_joined_rows(spark, max_bytes, part_hits):
     assert got[None] == [0.0] * 4 and len(got) == len(texts) + 1
     plan = means._jdf.queryExecution().executedPlan().toString()
     assert "ObjectHashAggregate" not in plan and "SortAggregate" not in plan
+
+
+def test_silhouette_blocks_follow_the_rows(spark, monkeypatch):
+    rng = np.random.default_rng(8)
+    x, cluster = rng.normal(size=(90, 3)), rng.integers(0, 3, 90)
+    x[60:70] = x[50:60]  # equal rows, some in other clusters
+    df = spark.createDataFrame([(v.tolist(), int(c)) for v, c in zip(x, cluster)], "v array<double>, c int")
+    d = np.sqrt(((x[:, None] - x[None]) ** 2).sum(axis=2))
+    scores = []
+    for i in range(len(x)):
+        mean = {c: d[i, cluster == c].sum() / ((cluster == c).sum() - (c == cluster[i])) for c in range(3)}
+        a, b = mean.pop(cluster[i]), min(mean.values())
+        scores.append((b - a) / max(a, b))
+    for rows in (None, 7, 1000):
+        got = neighbours.silhouette(df, "v", "c", rows).first().silhouette
+        assert got == pytest.approx(np.mean(scores), abs=1e-7)
+    asked = []
+    monkeypatch.setattr(neighbours.math, "ceil", lambda v: asked.append(v) or int(-(-v // 1)))
+    wide = spark.range(40_000).select(F.array(F.col("id").cast("double")).alias("v"), F.lit(0).alias("c"))
+    monkeypatch.setattr(neighbours, "BLOCKS", 4)
+    neighbours.silhouette(wide, "v", "c")
+    assert asked == [10_000, 4]  # four blocks of ten thousand rows, not ten of 4096
