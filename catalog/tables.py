@@ -86,15 +86,12 @@ def read_jsonl_many(spark, sf):
 def read_volumes(spark, sf):
     path = scratch_path(spark, "volumes")
     docs = documents(spark, sf).withColumn("text", F.coalesce("text", F.lit("")))
-    # one file per document, French and Spanish ones as ISO-8859-1 where possible;
-    # the text sink writes the bytes of the string as they are and ends the line
+    # one text file per document, many in an archive, French and Spanish ones as ISO-8859-1 where possible
     latin = F.col("text").rlike(r"^[\x{0}-\x{ff}]*$") & F.col("lang").isin("fr", "es")
-    content = F.when(latin, F.encode("text", "ISO-8859-1").cast("string")).otherwise(F.col("text"))
-    docs.select(F.col("doc_id").alias("volume"), content.alias("value")).write.partitionBy(
-        "volume"
-    ).text(path)
-    read = files.read_volumes(spark, f"{path}/volume=*/*.txt", r"volume=(\d+)/")
-    return read.select("volume", F.expr("left(text, length(text) - 1)").alias("text"))
+    content = F.when(latin, F.encode("text", "ISO-8859-1")).otherwise(F.col("text").cast("binary"))
+    name = F.concat(F.lit("v"), F.coalesce(F.col("doc_id").cast("string"), F.lit("")), F.lit(".txt"))
+    files.write_text_archives(docs.select(name.alias("name"), content.alias("content")), path)
+    return files.read_volumes(spark, path, archives=True)
 
 
 @query(

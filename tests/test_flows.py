@@ -62,6 +62,27 @@ def test_volumes_in_two_encodings(spark, tmp_path):
     assert (tmp_path / "counts" / "volume=1").is_dir()
 
 
+def test_volumes_in_archives(spark, tmp_path):
+    texts = {1: "Stroke café\nstroke".encode(), 2: "é".encode("latin-1"), 3: b"", 4: b"x" * 512, 5: b"a\0\r\nb\0", 6: b"y" * 1023}
+    df = spark.createDataFrame([(f"v{i}.txt", t) for i, t in texts.items()], "name string, content binary")
+    files.write_text_archives(df.coalesce(1), str(tmp_path / "a"), 4)
+    assert len(list((tmp_path / "a").glob("*.txt"))) == 2
+    got = {r.volume: r.text for r in files.read_volumes(spark, str(tmp_path / "a"), archives=True).collect()}
+    assert got == {1: "Stroke café\nstroke", 2: "é", 3: "", 4: "x" * 512, 5: "a\0\nb\0", 6: "y" * 1023}
+
+
+def test_volumes_of_a_query_share_files(spark, tmp_path, monkeypatch):
+    from catalog import tables
+
+    rows = [(i, None if i == 7 else f"text {i} é", "fr" if i % 2 else "zh", "s", 9) for i in range(60)]
+    schema = "doc_id long, text string, lang string, source string, n_chars long"
+    spark.createDataFrame(rows, schema).write.parquet(str(tmp_path / "documents.parquet"))
+    monkeypatch.setattr(tables, "scratch_path", lambda _, name: str(tmp_path / name))
+    got = {r.volume: r.text for r in tables.read_volumes(spark, str(tmp_path)).collect()}
+    assert got == {r[0]: r[1] or "" for r in rows}
+    assert len([p for p in (tmp_path / "volumes").rglob("*.txt")]) < 20
+
+
 def test_descriptions(spark, tmp_path):
     (tmp_path / "d.csv").write_text('Description\n"Jane Doe: a nurse from Boston, CA"\n"Solo"\n')
     rows = descriptions.entity_table(spark, str(tmp_path / "d.csv")).orderBy("row").collect()
