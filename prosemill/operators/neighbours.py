@@ -27,20 +27,27 @@ PLACES = 9
 # The blocks of a silhouette, and the rows of a block at most.
 BLOCKS, MOST_BLOCK_ROWS = 32, 1 << 16
 CELLS = 1 << 21  # distances that a task holds at once
+# The blocks of a neighbour search, and the rows of a block at least.
+KNN_BLOCKS, LEAST_BLOCK_ROWS = 16, 1024
 
 
 def _matrix(s: pd.Series) -> np.ndarray:
     return np.stack(s.to_numpy()).astype(np.float64) if len(s) else np.empty((0, 0))
 
 
-def _k_best(ids: np.ndarray, other: np.ndarray, a: np.ndarray, b: np.ndarray, k: int) -> pd.DataFrame:
-    """The k nearest rows of b for each row of a (unit vectors), itself excluded."""
+def _k_best(
+    ids: np.ndarray, other: np.ndarray, a: np.ndarray, b: np.ndarray, k: int, bound: np.ndarray | None = None
+) -> pd.DataFrame:
+    """The k nearest rows of b for each row of a (unit vectors), itself and those beyond its bound excluded."""
     parts = []
-    for at in range(0, len(a), 256):
-        mine = ids[at:at + 256]
-        dist = np.round(1.0 - a[at:at + 256] @ b.T, PLACES) + 0.0
+    step = min(256, max(1, CELLS // max(len(b), 1)))
+    for at in range(0, len(a), step):
+        mine = ids[at:at + step]
+        dist = np.round(1.0 - a[at:at + step] @ b.T, PLACES) + 0.0
         dist[mine[:, None] == other[None, :]] = np.inf
         near = np.isfinite(dist)
+        if bound is not None:
+            near &= dist <= bound[at:at + step, None]
         if dist.shape[1] > k:
             near &= dist <= np.partition(dist, k - 1, axis=1)[:, k - 1:k]
         row, col = np.nonzero(near)
@@ -58,11 +65,14 @@ def _k_best(ids: np.ndarray, other: np.ndarray, a: np.ndarray, b: np.ndarray, k:
 
 
 def knn_graph(
-    df: DataFrame, id_col: str, vec_col: str, k: int = 40, block_rows: int = 4096,
+    df: DataFrame, id_col: str, vec_col: str, k: int = 40, block_rows: int | None = None,
     max_cells: int | None = None,
 ) -> DataFrame:
     """(id, nbr, dist, rank): the k nearest rows by cosine distance, exact, for every row.
 
+    Where the data has no structure, every row visits every block, so there are about `KNN_BLOCKS` blocks as long
+    as a task can hold two of them, and what is shuffled grows with the rows.
+
     Rows with the same direction are one group, represented by its smallest id.
     The neighbours of the representatives give the k + 1 nearest rows of each
     group; every row takes that list without itself.  A group of any size thus
@@ -107,7 +117,7 @@ def knn_graph(
     )
 
 
-def _distinct_knn(unit: DataFrame, k: int, block_rows: int, max_cells: int | None) -> DataFrame:
+def _distinct_knn(unit: DataFrame, k: int, block_rows: int | None, max_cells: int | None) -> DataFrame:
     """(id, nbr, dist, rank) for distinct unit vectors (id, vec).
 
     1. Unit vectors are assigned to the nearest pivot: one for each block of rows, at
@@ -120,6 +130,7 @@ def _distinct_knn(unit: DataFrame, k: int, block_rows: int, max_cells: int | Non
     4. The candidates of all visited blocks are merged.
     """
     n = unit.count()
+    block_rows = block_rows or min(max(math.ceil(n / KNN_BLOCKS), LEAST_BLOCK_ROWS), MOST_BLOCK_ROWS)
     cells = max(1, min(max_cells or math.ceil(math.sqrt(n)), n // block_rows))
     pivots = np.array([r.vec for r in sample_n(unit, "id", cells).orderBy("id").collect()])
     if not len(pivots):
@@ -179,25 +190,26 @@ def _distinct_knn(unit: DataFrame, k: int, block_rows: int, max_cells: int | Non
             least[np.arange(len(pdf)), own] = 0
             reach = np.sqrt(2 * (pdf.bound.fillna(np.inf).to_numpy() + 10.0**-PLACES))
             open_ = least <= reach[:, None] + 1e-7
-            yield pdf[["id", "vec", "cell", "block"]].assign(
+            yield pdf[["id", "vec", "bound", "cell", "block"]].assign(
                 targets=[[order[j] for j in np.flatnonzero(o)] for o in open_]
             )
 
-    going = (
-        rows.join(bound, "id", "left")
-        .mapInPandas(
-            visits, "id long, vec array<double>, cell int, block int, targets array<int>"
+    # stored once for each row, not for each visit
+    aimed = cut_lineage(
+        rows.join(bound, "id", "left").mapInPandas(
+            visits, "id long, vec array<double>, bound double, cell int, block int, targets array<int>"
         )
-        .select("id", "vec", F.col("cell").alias("home"), F.col("block").alias("from"),
+    )
+    going = (
+        aimed.select("id", "vec", "bound", F.col("cell").alias("home"), F.col("block").alias("from"),
                 F.explode("targets").alias("cell"))
         .withColumn(
             "block",
             F.explode(F.sequence(F.lit(0), F.element_at(per_cell, F.col("cell")) - 1)),
         )
         .where((F.col("cell") != F.col("home")) | (F.col("block") != F.col("from")))
-        .select("id", "vec", "cell", "block")
+        .select("id", "vec", "bound", "cell", "block")
     )
-    going = cut_lineage(going)
     # one count per visited cell: (row, block) visits, spread evenly over its blocks
     load = {r.cell: r.n for r in going.groupBy("cell").agg(F.count(F.lit(1)).alias("n")).collect()}
     if not load:
@@ -214,7 +226,8 @@ def _distinct_knn(unit: DataFrame, k: int, block_rows: int, max_cells: int | Non
     def meet(a: pd.DataFrame, b: pd.DataFrame) -> pd.DataFrame:
         if not len(a) or not len(b):
             return _k_best(np.array([], "int64"), np.array([], "int64"), np.empty((0, 1)), np.empty((0, 1)), k)
-        return _k_best(a.id.to_numpy(), b.id.to_numpy(), _matrix(a.vec), _matrix(b.vec), k)
+        bound = a.bound.fillna(np.inf).to_numpy(dtype=np.float64)
+        return _k_best(a.id.to_numpy(), b.id.to_numpy(), _matrix(a.vec), _matrix(b.vec), k, bound)
 
     keys = ["cell", "block", "chunk"]
     more = guests.groupBy(*keys).cogroup(hosts.groupBy(*keys)).applyInPandas(

@@ -101,3 +101,23 @@ def test_silhouette_is_exact(spark, block_rows):
         want.append((b - a) / max(a, b))
     got = neighbours.silhouette(df, "v", "c", block_rows).first().silhouette
     assert got == pytest.approx(np.mean(want), abs=1e-9)
+
+
+def test_a_neighbour_search_stores_a_vector_once(spark, monkeypatch):
+    rng = np.random.default_rng(3)
+    df = spark.createDataFrame([(i, rng.normal(size=4).tolist()) for i in range(120)], "id long, v array<double>")
+    stored, kept = [], neighbours.cut_lineage
+
+    def keep(table):
+        stored.append(kept(table))
+        return stored[-1]
+
+    monkeypatch.setattr(neighbours, "cut_lineage", keep)
+    monkeypatch.setattr(neighbours, "KNN_BLOCKS", 6)
+    monkeypatch.setattr(neighbours, "LEAST_BLOCK_ROWS", 1)
+    in_blocks = neighbours.knn_graph(df, "id", "v", 5)
+    assert sum(t.select("cell", "block").distinct().count() > 1 for t in stored if "block" in t.columns)
+    assert all(t.count() <= 120 for t in stored if "vec" in t.columns)
+    key = ["id", "rank", "nbr"]
+    whole = neighbours.knn_graph(df, "id", "v", 5, block_rows=1000)
+    assert in_blocks.select(key).orderBy(key).collect() == whole.select(key).orderBy(key).collect()
