@@ -284,3 +284,12 @@ def test_steps_give_up_the_tables_of_the_steps_before(spark, sentences, kind):
         return len(set(Path(shared_dir(spark)).glob("stored-*")) - before)
 
     assert left(3) == left(1)
+
+
+def test_the_trainer_of_spark_has_a_part_for_every_so_many_tokens(spark, monkeypatch):
+    sentences = spark.createDataFrame([(f"a b c d{i % 5}",) for i in range(50)], "t string").select(F.split("t", " ").alias("tokens"))
+    assert embed.spark_skipgram(sentences, F.col("tokens"), dim=4).getNumPartitions() == 1
+    monkeypatch.setattr(embed, "TASK_TOKENS", 60)
+    model = embed.spark_skipgram(sentences, F.col("tokens"), dim=4)
+    assert model.getNumPartitions() == 4
+    assert embed.skipgram_vectors(model).count() == 8
