@@ -293,3 +293,34 @@ def test_the_trainer_of_spark_has_a_part_for_every_so_many_tokens(spark, monkeyp
     model = embed.spark_skipgram(sentences, F.col("tokens"), dim=4)
     assert model.getNumPartitions() == 4
     assert embed.skipgram_vectors(model).count() == 8
+
+
+def test_units_travel_once_to_a_block_of_words(spark, monkeypatch):
+    """A unit has one row for a block that has it, however many of its words; sums are right both ways."""
+    rng = random.Random(5)
+    of = {w: {u: rng.randint(1, 3) for u in rng.sample(range(100, 130), 6)} for w in range(40)}
+    parts = spark.createDataFrame([(w, u, n) for w in of for u, n in of[w].items()], "id long, unit_id long, times long")
+    monkeypatch.setattr(embed, "BLOCK_LINKS", 60)
+    links = embed._links(parts, 1)
+    assert links.blocks == 4
+    block = {r.id: r.block for r in links.words.collect()}
+    needs = [(r.block, r.id) for r in links.needs.collect()]
+    assert sorted(needs) == sorted({(block[w], u) for w in of for u in of[w]}) and len(needs) < 240
+    h = {u: np.array([u, 1.0], np.float32) for u in range(100, 130)}
+    ins = spark.createDataFrame([(u, h[u].tobytes()) for u in h], "id long, h binary")
+    whole = {w: sum(of[w].values()) for w in of}
+    for schema in ("id long, h binary", "id long, h array<double>"):
+        got = embed._composed(links, ins, 2, schema).collect()
+        assert len(got) == len(of)
+        for r in got:
+            row = np.frombuffer(r.h, np.float32) if "binary" in schema else np.array(r.h)
+            assert np.allclose(row, sum(n * h[u] for u, n in of[r.id].items()) / whole[r.id], rtol=1e-5)
+    moved = {w: np.array([1.0, w], np.float32) for w in of if w % 3}  # some words have no gradient, others two
+    grads = spark.createDataFrame(
+        [(embed.INPUT, w, salt, moved[w].tobytes(), 1.0) for w in moved for salt in range(1 + w % 2)], embed.ADDENDS
+    )
+    got = embed._unit_gradients(links, grads, 2).collect()
+    assert len(got) == len({(r.salt, r.id) for r in got})
+    for u in h:
+        want = sum((moved[w] * (1 + w % 2) * of[w][u] / whole[w] for w in moved if u in of[w]), np.zeros(2))
+        assert np.allclose(sum((np.frombuffer(r.row, np.float32) for r in got if r.id == u), np.zeros(2)), want, rtol=1e-4)
