@@ -215,6 +215,36 @@ def test_parts_do_not_change_the_vectors(spark, sentences, kind, monkeypatch):
     assert all(np.allclose(one[w], several[w], atol=1e-3) for w in one)
 
 
+@pytest.mark.parametrize("kind", TRAINERS)
+def test_waves_do_not_change_the_vectors(spark, sentences, kind, monkeypatch):
+    """Parts and blocks in waves give the vectors of one wave, and leave no table of a wave."""
+    from pathlib import Path
+
+    from prosemill.session import shared_dir
+
+    monkeypatch.setattr(embed, "PART_TOKENS", 300)
+    monkeypatch.setattr(embed, "BLOCK_LINKS", 30)
+    monkeypatch.setattr(embed, "CORE_BYTES", 1)
+
+    def trained(wave):
+        monkeypatch.setattr(embed, "WAVE_BYTES", wave)
+        before = set(Path(shared_dir(spark)).glob("stored-*"))
+        _, table = TRAINERS[kind](sentences.repartition(3), F.col("tokens"), dim=4, epochs=2, steps=2)
+        left = set(Path(shared_dir(spark)).glob("stored-*")) - before
+        return {r.word: np.array(r.vector) for r in table.collect()}, len(left)
+
+    asked, spans = [], embed._spans
+    monkeypatch.setattr(embed, "_spans", lambda *a: asked.append(spans(*a)) or asked[-1])
+    one, left = trained(1 << 20)
+    assert all(len(s) == 1 for s in asked)
+    asked.clear()
+    several, left_of_several = trained(1000)
+    assert all(1 < len(s) and [lo for lo, _ in s[1:]] == [hi for _, hi in s[:-1]] for s in asked)
+    assert all(np.allclose(one[w], several[w], atol=1e-3) for w in one) and one.keys() == several.keys()
+    # of the last means of units, a table for each wave is there to be read
+    assert left_of_several == left + (len(asked[-1]) if kind == "fasttext" else 0)
+
+
 @pytest.mark.parametrize("cbow", [True, False])
 def test_piece_gradient(cbow):
     """The gradient of the piece's objective, by small differences."""
