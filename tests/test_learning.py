@@ -325,6 +325,19 @@ def test_the_trainer_of_spark_has_a_part_for_every_so_many_tokens(spark, monkeyp
     assert embed.skipgram_vectors(model).count() == 8
 
 
+def test_the_trainer_of_spark_makes_the_tokens_once(spark):
+    made = spark.sparkContext.accumulator(0)
+
+    @F.udf("array<string>")
+    def tokens(text):
+        made.add(1)
+        return text.split()
+
+    texts = spark.createDataFrame([(f"a b c d{i % 5}",) for i in range(50)], "t string")
+    assert embed.skipgram_vectors(embed.spark_skipgram(texts, tokens("t"), dim=4)).count() == 8
+    assert made.value == 50
+
+
 def test_units_travel_once_to_a_block_of_words(spark, monkeypatch):
     """A unit has one row for a block that has it, however many of its words; sums are right both ways."""
     rng = random.Random(5)
