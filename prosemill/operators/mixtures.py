@@ -24,6 +24,7 @@ from prosemill.operators.sampling import fold_of
 from prosemill.session import cut_lineage
 
 SAMPLE = 4096
+HELD = 1 << 19  # numbers of rows and their products that a task holds at once
 FLOOR = 1e-6  # added to the variances
 WHOLE = -1  # the fold of a fit that sees all rows
 
@@ -41,14 +42,18 @@ class Mixture:
     settled: bool = False
 
     def logs(self, x: np.ndarray) -> np.ndarray:
-        """ln (weight * density) of each row and component."""
-        out = np.empty((len(x), len(self.weights)))
-        for j, (w, mean, cov) in enumerate(zip(self.weights, self.means, self.covs)):
-            root = np.linalg.cholesky(cov)
-            z = np.linalg.solve(root, (x - mean).T)
-            log_det = 2 * np.log(np.diag(root)).sum()
-            out[:, j] = np.log(w + 1e-300) - 0.5 * (x.shape[1] * np.log(2 * np.pi) + log_det + (z * z).sum(axis=0))
-        return out
+        """ln (weight * density) of each row and component; one product gives the distances to all components."""
+        k, d = self.means.shape
+        roots = np.linalg.cholesky(self.covs)
+        turned = np.linalg.solve(roots, np.broadcast_to(np.eye(d), roots.shape))  # the roots' inverses
+        log_det = 2 * np.log(np.diagonal(roots, axis1=1, axis2=2)).sum(axis=1)
+        centre = self.means.mean(axis=0)  # small numbers lose less
+        shift = np.einsum("kij,kj->ki", turned, self.means - centre).ravel()
+        z = (x - centre) @ turned.reshape(k * d, d).T
+        z -= shift
+        z *= z
+        far = z @ np.repeat(np.eye(k), d, axis=0)
+        return np.log(self.weights + 1e-300) - 0.5 * (d * np.log(2 * np.pi) + log_det) - 0.5 * far
 
     def bic(self) -> float:
         """-2 ln L + p ln n with p = (k-1) + k d + k d (d+1)/2."""
@@ -101,7 +106,7 @@ def _rows(batch: pa.RecordBatch) -> np.ndarray:
 
 def _scan(fits: dict[tuple[int, int], Mixture]):
     """For mapInArrow over (fold, x): (k, fold, component, sums) of a task's rows; the component -1
-    holds the rows and their log-likelihood."""
+    holds the rows and their log-likelihood.  The products of a row's numbers serve all components and fits."""
     def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sums: dict = {}
 
@@ -109,18 +114,26 @@ def _scan(fits: dict[tuple[int, int], Mixture]):
             sums[key] = sums[key] + value if key in sums else value
 
         for batch in batches:
-            fold, every = batch.column("fold").to_numpy(), _rows(batch)
-            for (k, f), fit in fits.items():
-                x = every[fold != f]
-                if not len(x):
-                    continue
-                logs = fit.logs(x)
-                total = _top_sum(logs)
-                put((k, f, -1), np.array([len(x), total.sum()]))
-                r = np.exp(logs - total[:, None])
-                for j in range(k):
-                    weighted = r[:, j, None] * x
-                    put((k, f, j), np.concatenate([[r[:, j].sum()], weighted.sum(axis=0), (weighted.T @ x).ravel()]))
+            folds, rows = batch.column("fold").to_numpy(), _rows(batch)
+            step = max(1, HELD // (1 + rows.shape[1] + rows.shape[1] ** 2)) if len(rows) else 1
+            for lo in range(0, len(rows), step):
+                fold, every = folds[lo : lo + step], rows[lo : lo + step]
+                products = (every[:, :, None] * every[:, None, :]).reshape(len(every), -1)
+                moments = np.hstack([np.ones((len(every), 1)), every, products])
+                for (k, f), fit in fits.items():
+                    seen = fold != f
+                    x = every[seen]
+                    if not len(x):
+                        continue
+                    logs = fit.logs(x)
+                    top = logs.max(axis=1)
+                    share = np.exp(logs - top[:, None])
+                    whole = share.sum(axis=1)
+                    put((k, f, -1), np.array([len(x), (top + np.log(whole)).sum()]))
+                    share /= whole[:, None]
+                    added = share.T @ (moments if len(x) == len(every) else moments[seen])
+                    for j in range(k):
+                        put((k, f, j), added[j])
         keys = sorted(sums)
         yield pa.RecordBatch.from_arrays(
             [pa.array([key[i] for key in keys], pa.int32()) for i in range(3)]

@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from prosemill.operators import boosting, forests, mixtures
-from prosemill.operators.neighbours import silhouette as exact_silhouette
+from prosemill.operators.neighbours import silhouettes as exact_silhouettes
 from prosemill.operators.scaling import nth_smallest
 from prosemill.session import cut_lineage
 
@@ -259,14 +259,19 @@ def cv_median(scores: DataFrame) -> DataFrame:
     return scores.groupBy("k").agg(F.percentile("log_likelihood", 0.5).alias("cv_median"))
 
 
-def _silhouette(df: DataFrame, features: str, metric: str) -> float:
-    """NaN where all rows are in one cluster."""
-    if df.select("cluster").distinct().limit(2).count() < 2:
-        return float("nan")
+def _silhouettes(df: DataFrame, features: str, clusters: Sequence[str], metric: str) -> dict[str, float]:
+    """The silhouette of each clustering, NaN where all rows are in one cluster; exact ones share the distances."""
+    if not clusters:
+        return {}
+    ends = df.agg(*[f(c).alias(f"{f.__name__}_{c}") for c in clusters for f in (F.min, F.max)]).first()
+    open_ = [c for c in clusters if ends[f"min_{c}"] != ends[f"max_{c}"]]
+    out = dict.fromkeys(clusters, float("nan"))
     if metric == "squaredEuclidean":
-        return silhouette_squared(df, features)
-    rows = df.select(vector_to_array(features).alias("vec"), "cluster")
-    return exact_silhouette(rows, "vec", "cluster").first()[0]
+        return out | {c: silhouette_squared(df, features, c) for c in open_}
+    if open_:
+        rows = df.select(vector_to_array(features).alias("vec"), *open_)
+        out |= {open_[r.place]: r.silhouette for r in exact_silhouettes(rows, "vec", open_).collect()}
+    return out
 
 
 def sweep_k_gmm(
@@ -278,12 +283,12 @@ def sweep_k_gmm(
     fits = mixtures.fit(data, [(k, f) for k in ks for f in (mixtures.WHOLE, *range(folds))], **options)
     held = mixtures.held_out(data, fits)
     labelled = cut_lineage(mixtures.clusters(data, id_col, fits)).withColumn("features", array_to_vector("x"))
+    found = [k for k in ks if (k, mixtures.WHOLE) in fits]
+    scores = _silhouettes(labelled, "features", [f"k{k}" for k in dict.fromkeys(found)], metric)
     rows = []
-    for k in ks:
-        if (k, mixtures.WHOLE) in fits:
-            own = labelled.select("features", F.col(f"k{k}").alias("cluster"))
-            median = float(np.median([held[k, f] for f in range(folds) if (k, f) in held] or [np.nan]))
-            rows.append((k, median, float(_silhouette(own, "features", metric)), fits[k, mixtures.WHOLE].bic()))
+    for k in found:
+        median = float(np.median([held[k, f] for f in range(folds) if (k, f) in held] or [np.nan]))
+        rows.append((k, median, float(scores[f"k{k}"]), fits[k, mixtures.WHOLE].bic()))
     table = df.sparkSession.createDataFrame(
         rows, "k int, cv_likelihood double, silhouette double, bic double"
     )
@@ -294,15 +299,18 @@ def sweep_k_kmeans(
     df: DataFrame, id_col: str, ks: Sequence[int] = tuple(range(4, 13)), features: str = "features",
     metric: str = "euclidean", **options,
 ) -> DataFrame:
-    """(k, silhouette): Euclidean, which compares every two distinct rows, or squaredEuclidean in one pass."""
+    """(k, silhouette): Euclidean, which compares every two distinct rows once for all k, or squaredEuclidean in one
+    pass each."""
     data = df.select(id_col, features).persist()
     try:
-        rows = [
-            (k, float(_silhouette(kmeans(data, k, features, **options).transform(data), features, metric)))
-            for k in ks
-        ]
+        labelled = data
+        for k in dict.fromkeys(ks):
+            labelled = kmeans(data, k, features, **options).transform(labelled).withColumnRenamed("cluster", f"k{k}")
+        labelled = cut_lineage(labelled)
     finally:
         data.unpersist()
+    scores = _silhouettes(labelled, features, [f"k{k}" for k in dict.fromkeys(ks)], metric)
+    rows = [(k, float(scores[f"k{k}"])) for k in ks]
     return df.sparkSession.createDataFrame(rows, "k int, silhouette double")
 
 

@@ -9,7 +9,7 @@ per cluster for each of its rows, never a pair table.
 from __future__ import annotations
 
 import math
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pandas as pd
@@ -27,6 +27,8 @@ PLACES = 9
 # The blocks of a silhouette, and the rows of a block at most.
 BLOCKS, MOST_BLOCK_ROWS = 32, 1 << 16
 CELLS = 1 << 21  # distances that a task holds at once
+SCORED_ROWS = 4096  # rows whose sums of all blocks a task adds at once
+NO_CLUSTER = 1 << 40
 # The blocks of a neighbour search, and the rows of a block at least.
 KNN_BLOCKS, LEAST_BLOCK_ROWS = 16, 1024
 
@@ -249,80 +251,124 @@ def _rank(found: DataFrame, k: int) -> DataFrame:
 def silhouette(
     df: DataFrame, vec_col: str, cluster: str, block_rows: int | None = None
 ) -> DataFrame:
-    """Mean Euclidean silhouette, exact.
+    """Mean Euclidean silhouette, exact, as the one of `silhouettes`."""
+    return silhouettes(df, vec_col, [cluster], block_rows).select("silhouette")
+
+
+def silhouettes(
+    df: DataFrame, vec_col: str, clusters: Sequence[str], block_rows: int | None = None
+) -> DataFrame:
+    """(place, silhouette): the mean Euclidean silhouette, exact, of each clustering of the same rows.
+
+    All clusterings share the distances, which are taken once.  A row of a block has one sum for each
+    cluster of each clustering: sums are taken over the rows of a block that share all their clusters,
+    then added by cluster.  A row without a cluster scores 0 and is no neighbour.
 
     Every block meets every block, so rows travel once for each block: about `BLOCKS` blocks as long
     as a task can hold two of them, so that what is shuffled grows with the rows.
 
-    Copies of a row within a cluster are one weighted row.  Needs the distance
+    Copies of a row within its clusters are one weighted row.  Needs the distance
     of every two distinct rows; for more than a few million of them use the
     squared distance, which needs one pass.
     """
+    spark = df.sparkSession
     rows = cut_lineage(
         df.groupBy(
             F.transform(F.col(vec_col), lambda x: x.cast("double") + 0.0).alias("vec"),
-            F.col(cluster).cast("int").alias("cluster"),
+            F.array(*[F.coalesce(F.col(c).cast("int").cast("long"), F.lit(NO_CLUSTER)) for c in clusters]).alias("own"),
         )
         .agg(F.count(F.lit(1)).alias("copies"))
-        .withColumn("id", F.md5(F.concat_ws(",", F.col("cluster").cast("string"), F.transform("vec", lambda x: x.cast("string")))))
+        .withColumn("id", F.monotonically_increasing_id())
     )
     n = rows.count()
     block_rows = block_rows or min(max(math.ceil(n / BLOCKS), 4096), MOST_BLOCK_ROWS)
     blocks = max(1, math.ceil(n / block_rows))
+    sizes = (
+        rows.select("copies", F.posexplode("own").alias("place", "cluster")).where(F.col("cluster") != NO_CLUSTER)
+        .groupBy("place", "cluster").agg(F.sum("copies").alias("size")).orderBy("place", "cluster").collect()
+    )  # a row for each cluster
+    kinds = [np.array([s.cluster for s in sizes if s.place == p], np.int64) for p in range(len(clusters))]
+    size = [np.array([s["size"] for s in sizes if s.place == p], np.float64) for p in range(len(clusters))]
+    starts = np.cumsum([0, *map(len, kinds)])
     mine = rows.withColumn("a", F.pmod(F.xxhash64("id"), F.lit(blocks)).cast("int"))
     every = F.explode(F.sequence(F.lit(0), F.lit(blocks - 1)))
     left = mine.withColumn("b", every)
-    right = mine.withColumnRenamed("a", "b").withColumn("a", every)
-    schema = "id string, cluster int, copies long, other int, total double"
+    # columns of its own, or Spark drops those it shares with the other side
+    right = mine.select(*[F.col(c).alias(c) for c in rows.columns], F.col("a").alias("b")).withColumn("a", every)
+
+    def places(own: np.ndarray) -> np.ndarray:
+        """Of rows with their clusters, each cluster's column among those of all clusterings; -1 if it has none."""
+        out = np.full(own.shape, -1)
+        for p, of in enumerate(kinds):
+            if len(of):
+                at = np.minimum(np.searchsorted(of, own[:, p]), len(of) - 1)
+                out[:, p] = np.where(of[at] == own[:, p], starts[p] + at, -1)
+        return out
 
     def meet(a: pd.DataFrame, b: pd.DataFrame) -> pd.DataFrame:
         if not len(a) or not len(b):
-            return pd.DataFrame(columns=["id", "cluster", "copies", "other", "total"]).astype(
-                {"cluster": "int32", "copies": "int64", "other": "int32", "total": "float64"}
-            )
+            return pd.DataFrame({"id": np.zeros(0, "int64"), "own": [], "copies": np.zeros(0, "int64"), "totals": []})
         x, y = _matrix(a.vec), _matrix(b.vec)
-        kinds, code = np.unique(b.cluster.to_numpy(), return_inverse=True)
-        member = np.eye(len(kinds))[code] * b.copies.to_numpy()[:, None]
-        y2 = (y * y).sum(axis=1)
-        totals = []
+        shared, of = np.unique(np.stack(b.own.to_numpy()), axis=0, return_inverse=True)
+        order = np.argsort(of.ravel(), kind="stable")
+        first = np.searchsorted(of.ravel()[order], np.arange(len(shared)))
+        y, copies = y[order], b.copies.to_numpy()[order].astype(np.float64)
+        member = np.zeros((len(shared), starts[-1]))
+        place = places(shared)
+        group, at = np.nonzero(place >= 0)
+        member[group, place[group, at]] = 1.0
+        # |x|^2 + |y|^2 - 2 xy as one product
+        x = np.hstack([-2 * x, (x * x).sum(axis=1)[:, None], np.ones((len(x), 1))])
+        y = np.hstack([y, np.ones((len(y), 1)), (y * y).sum(axis=1)[:, None]]).T
         # a row meets itself where a block meets itself only
-        places = dict(zip(b.id, range(len(b)))) if a.a.iloc[0] == a.b.iloc[0] else {}
-        own = a.id.map(places).to_numpy(dtype=np.float64)
-        step = min(512, max(1, CELLS // len(y)))
+        itself = a.a.iloc[0] == a.b.iloc[0]
+        if itself:
+            ids = b.id.to_numpy()[order]
+            by_id = np.argsort(ids)
+            twin = by_id[np.searchsorted(ids[by_id], a.id.to_numpy())]
+        totals = np.empty((len(x), starts[-1]))
+        step = min(512, max(1, CELLS // y.shape[1]))
         for at in range(0, len(x), step):
-            part = x[at:at + step]
-            d2 = (part * part).sum(axis=1)[:, None] + y2 - 2 * part @ y.T
-            same = np.flatnonzero(~np.isnan(own[at:at + step]))
-            d2[same, own[at:at + step][same].astype(np.int64)] = 0
-            totals.append(np.sqrt(np.maximum(d2, 0)) @ member)
-        wide = len(kinds)
-        return pd.DataFrame(
-            {
-                "id": np.repeat(a.id.to_numpy(), wide),
-                "cluster": np.repeat(a.cluster.to_numpy(), wide),
-                "copies": np.repeat(a.copies.to_numpy(), wide),
-                "other": np.tile(kinds, len(a)).astype("int32"),
-                "total": np.concatenate(totals).ravel(),
-            }
-        )
-
-    sums = (
-        left.groupBy("a", "b")
-        .cogroup(right.groupBy("a", "b"))
-        .applyInPandas(meet, schema)
-        .groupBy("id", "cluster", "copies", "other")
-        .agg(F.sum("total").alias("total"))
-    )
-    sizes = rows.groupBy(F.col("cluster").alias("other")).agg(F.sum("copies").alias("size"))
-    joined = lookup_join(sums, sizes, "other")
-    own = F.col("cluster") == F.col("other")
-    per_row = joined.groupBy("id", "copies").agg(
-        F.max(F.when(own, F.col("total") / F.nullif(F.col("size") - 1, F.lit(0)))).alias("within"),
-        F.min(F.when(~own, F.col("total") / F.col("size"))).alias("between"),
+            d = x[at:at + step] @ y
+            if itself:
+                d[np.arange(len(d)), twin[at:at + step]] = 0
+            np.maximum(d, 0, out=d)
+            np.sqrt(d, out=d)
+            if (copies != 1).any():
+                d *= copies
+            totals[at:at + step] = np.add.reduceat(d, first, axis=1) @ member
+        return pd.DataFrame({"id": a.id, "own": a.own, "copies": a.copies, "totals": list(totals)})
+
+    def score(rows: pd.DataFrame) -> pd.DataFrame:
+        """Of a group of rows with the sums of each block, each clustering's scores added, and the rows."""
+        _, one, of = np.unique(rows.id.to_numpy(), return_index=True, return_inverse=True)
+        total = np.zeros((len(one), starts[-1]))
+        np.add.at(total, of.ravel(), np.stack(rows.totals.to_numpy()))
+        place = places(np.stack(rows.own.to_numpy()[one]))
+        copies = rows.copies.to_numpy()[one].astype(np.float64)
+        sums = []
+        for p, n in enumerate(size):
+            mean = total[:, starts[p]:starts[p + 1]].copy()
+            known = np.flatnonzero(place[:, p] >= 0)
+            own = place[known, p] - starts[p]
+            within = np.full(len(one), np.nan)
+            alone = n[own] == 1 if len(n) else np.zeros(0, bool)
+            within[known] = np.where(alone, np.nan, mean[known, own] / np.where(alone, 1, n[own] - 1))
+            mean /= n
+            mean[known, own] = np.inf
+            between = mean.min(axis=1, initial=np.inf)
+            most = np.maximum(within, between)
+            good = (place[:, p] >= 0) & np.isfinite(between) & ~np.isnan(within) & (most > 0)
+            sums.append(((between[good] - within[good]) / most[good] * copies[good]).sum())
+        return pd.DataFrame({"place": np.arange(len(size), dtype="int32"), "s": sums, "n": copies.sum()})
+
+    if not n:
+        return spark.range(len(clusters)).select(F.col("id").cast("int").alias("place"), F.lit(None).cast("double").alias("silhouette"))
+    met = left.groupBy("a", "b").cogroup(right.groupBy("a", "b")).applyInPandas(
+        meet, "id long, own array<long>, copies long, totals array<double>"
     )
-    s = F.coalesce(
-        (F.col("between") - F.col("within"))
-        / F.nullif(F.greatest("within", "between"), F.lit(0.0)),
-        F.lit(0.0),
+    groups = -(-n // SCORED_ROWS)
+    scores = met.groupBy(F.pmod(F.xxhash64("id", F.lit(3)), F.lit(groups))).applyInPandas(
+        score, "place int, s double, n double"
     )
-    return per_row.agg((F.sum(s * F.col("copies")) / F.sum("copies")).alias("silhouette"))
+    return scores.groupBy("place").agg((F.sum("s") / F.sum("n")).alias("silhouette"))

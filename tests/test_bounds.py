@@ -65,3 +65,33 @@ def test_silhouette_blocks_follow_the_rows(spark, monkeypatch):
     monkeypatch.setattr(neighbours, "BLOCKS", 4)
     neighbours.silhouette(wide, "v", "c")
     assert asked == [10_000, 4]  # four blocks of ten thousand rows, not ten of 4096
+
+
+def test_silhouettes_of_several_clusterings(spark):
+    """Each as if alone; a row without a cluster scores 0 and is no neighbour."""
+    rng = np.random.default_rng(9)
+    x = rng.normal(size=(80, 3))
+    x[40:50] = x[30:40]
+    a, b = [int(v) if v < 4 else None for v in rng.integers(0, 5, 80)], [int(v) * 7 - 3 for v in rng.integers(0, 3, 80)]
+    df = spark.createDataFrame(
+        [(v.tolist(), p, q, 1) for v, p, q in zip(x, a, b)], "v array<double>, a int, b int, c int"
+    )
+    d = np.sqrt(((x[:, None] - x[None]) ** 2).sum(axis=2))
+
+    def mean(own):
+        scores = []
+        for i, c in enumerate(own):
+            of = {k: [d[i, j] for j in range(80) if own[j] == k and j != i] for k in set(own) - {None}}
+            within, rest = of.pop(c, []), [np.mean(v) for v in of.values()]
+            if c is None or not within or not rest:
+                scores.append(0.0)
+            else:
+                scores.append((min(rest) - np.mean(within)) / max(min(rest), np.mean(within)))
+        return np.mean(scores)
+
+    for block_rows in (None, 9):
+        got = neighbours.silhouettes(df, "v", ["a", "b", "c"], block_rows).orderBy("place").collect()
+        assert [r.place for r in got] == [0, 1, 2]
+        assert [r.silhouette for r in got] == pytest.approx([mean(a), mean(b), 0.0], abs=1e-6)
+    none = neighbours.silhouettes(df.limit(0), "v", ["a", "b"]).collect()
+    assert [r.silhouette for r in none] == [None, None]

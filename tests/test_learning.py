@@ -157,6 +157,49 @@ def test_a_fold_is_not_seen_by_its_fit(blobs, spark):
     assert got.first().cv_likelihood > 0  # equal rows: one narrow group
 
 
+def test_scans_of_mixtures_in_slices(monkeypatch):
+    """Densities and sums of a task's rows, by their definition, however many rows are held at once."""
+    import pyarrow as pa
+
+    rng = np.random.default_rng(4)
+    x, fold = rng.normal(size=(60, 3)) + 50, rng.integers(0, 3, 60).astype(np.int32)
+    fits = {(k, f): mixtures._start(x, k, np.random.default_rng(k)) for k in (1, 3) for f in (mixtures.WHOLE, 1)}
+    batch = pa.RecordBatch.from_arrays([pa.array(fold), pa.array(x.tolist(), pa.list_(pa.float64()))], ["fold", "x"])
+    for held in (1 << 19, 100):
+        monkeypatch.setattr(mixtures, "HELD", held)
+        got = {(r["k"], r["fold"], r["component"]): r["sums"] for r in next(mixtures._scan(fits)([batch])).to_pylist()}
+        for (k, f), m in fits.items():
+            own = x[fold != f]
+            p = np.stack([
+                w * np.exp(-0.5 * np.einsum("ni,ij,nj->n", own - mu, np.linalg.inv(c), own - mu))
+                / np.sqrt(np.linalg.det(2 * np.pi * c)) for w, mu, c in zip(m.weights, m.means, m.covs)
+            ], axis=1)
+            assert np.allclose(m.logs(own), np.log(p))
+            assert got[k, f, -1] == pytest.approx([len(own), np.log(p.sum(axis=1)).sum()])
+            r = p / p.sum(axis=1, keepdims=True)
+            for j in range(k):
+                want = [r[:, j].sum(), *(r[:, j] @ own), *np.einsum("n,ni,nj->ij", r[:, j], own, own).ravel()]
+                assert got[k, f, j] == pytest.approx(want)
+
+
+def test_a_sweep_takes_the_distances_once(blobs, monkeypatch):
+    df, _ = blobs
+    asked, exact = [], models.exact_silhouettes
+    monkeypatch.setattr(models, "exact_silhouettes", lambda *a: asked.append(a[2]) or exact(*a))
+    alone = [models.sweep_k_kmeans(df, "id", (k,)).first().silhouette for k in (2, 3)]
+    assert asked == [["k2"], ["k3"]]
+    asked.clear()
+    both = [r.silhouette for r in models.sweep_k_kmeans(df, "id", (2, 3)).collect()]
+    assert asked == [["k2", "k3"]] and both == pytest.approx(alone)
+    whole = df.withColumn("one", F.lit(0)).withColumn("two", (F.col("label") > 0).cast("int"))
+    for metric in ("euclidean", "squaredEuclidean"):
+        got = models._silhouettes(whole, "features", ["one", "two"], metric)
+        assert np.isnan(got["one"]) and 0 < got["two"] < 1
+    asked.clear()
+    models.sweep_k_gmm(df, "id", (2, 3), folds=2, max_iter=2)
+    assert len(asked) == 1
+
+
 def test_isolation_forest_finds_planted_rows(spark):
     rng = np.random.default_rng(3)
     x = rng.normal(size=(400, 5))
